@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallyhouse import session
 from tallyhouse.operators.dimensions import Load
-from tallyhouse.plans.full_load import Warehouse, star_tables, utc_now
+from tallyhouse.plans.full_load import StarBuilder, Warehouse, utc_now
 from tallyhouse.plans.star import TABLE_KEYS, Star
 from tallyhouse.sources.adapter import StagingAdapter
 
@@ -30,7 +30,7 @@ class Inputs:
         self.adapter = StagingAdapter(spark, folder)
         self._tables: dict[str, DataFrame] = {}
         self._house: Warehouse | None = None
-        self._built: dict[str, DataFrame] | None = None
+        self._builder: StarBuilder | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Inputs:
@@ -54,12 +54,12 @@ class Inputs:
         """A star table, written to the shared folder the first time a report of the session needs it."""
         if name not in self._tables:
             lake = self.house.star_lake
-            if self._built is None:
+            if self._builder is None:
                 load = Load("session", utc_now(), lake.reserve_version("session"))
-                self._built = star_tables(self.staged, load)
-                self._version = load.version
-            lake.write_base(name, self._built[name], self._version)
-            lake.publish(self._version, name)
+                self._builder = StarBuilder(self.staged, load)
+            version = self._builder.load.version
+            lake.write_base(name, self._builder.table(name), version)
+            lake.publish(version, name)
             self._tables[name] = lake.latest(name, TABLE_KEYS[name])
         return self._tables[name]
 
@@ -67,9 +67,10 @@ class Inputs:
     def star(self) -> Star:
         return Star(self.star_table)
 
-    def checked_tables(self) -> dict[str, DataFrame]:
-        """Star tables as lazy plans, with keys any SQL engine can recompute."""
-        return star_tables(self.staged, Load("check", utc_now(), 1, "sha2"))
+    def checked_table(self, name: str) -> DataFrame:
+        """A star table as a lazy plan, with keys any SQL engine can recompute and without load stamps."""
+        rows = StarBuilder(self.staged, Load("check", utc_now(), 1, "sha2")).table(name)
+        return rows.drop("_batch_id", "_loaded_at", "_version", "start_date", "end_date")
 
 
 def portable(rows: DataFrame) -> DataFrame:

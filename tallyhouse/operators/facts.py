@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +28,17 @@ class Lookups:
     employee: DataFrame
     shipper: DataFrame
 
+    DIMENSIONS: ClassVar = (PRODUCT, CUSTOMER, EMPLOYEE, SHIPPER)
+
     @classmethod
-    def of(cls, dims: dict[str, DataFrame]) -> Lookups:
-        def lookup(dimension: Dimension) -> DataFrame:
-            return current_lookup(dims[dimension.table], dimension.natural, dimension.surrogate)
+    def current(cls, read: Callable[[str], DataFrame]) -> Lookups:
+        """Out of stored dimensions, which may hold several versions of a member."""
+        return cls(*[current_lookup(read(d.table), d.natural, d.surrogate) for d in cls.DIMENSIONS])
 
-        return cls(*map(lookup, (PRODUCT, CUSTOMER, EMPLOYEE, SHIPPER)))
+    @classmethod
+    def fresh(cls, build: Callable[[str], DataFrame]) -> Lookups:
+        """Out of dimensions just built from a snapshot: one row per member."""
+        return cls(*[build(d.table).select(d.natural, d.surrogate) for d in cls.DIMENSIONS])
 
 
 def resolve(rows: DataFrame, column: str, lookup: DataFrame, dimension: Dimension, required: bool = False) -> DataFrame:
@@ -97,10 +104,8 @@ def order_facts(
 
 def employee_territory_facts(bridge: DataFrame, employee_dim: DataFrame, territory_dim: DataFrame) -> DataFrame:
     """Bridge of employees and territories; pairs without both dimension rows are dropped."""
-    rows = resolve(bridge, "employee_id", current_lookup(employee_dim, EMPLOYEE.natural, EMPLOYEE.surrogate), EMPLOYEE, True)
-    rows = resolve(
-        rows, "territory_id", current_lookup(territory_dim, TERRITORY.natural, TERRITORY.surrogate), TERRITORY, True
-    )
+    rows = resolve(bridge, "employee_id", employee_dim, EMPLOYEE, required=True)
+    rows = resolve(rows, "territory_id", territory_dim, TERRITORY, required=True)
     return rows.select(
         *BRIDGE_KEYS, F.lit(0).cast("short").alias("is_deleted"), F.lit("").alias("source_lsn")
     )

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,26 +43,54 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def star_tables(staged: Callable[[str], DataFrame], load: dims.Load, photos: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every warehouse table as a lazy DataFrame over staged tables, dimensions first."""
-    customers, employees, suppliers, orders = map(staged, ("customers", "employees", "suppliers", "orders"))
-    tables = {
-        "dim_date": dims.date_dimension(orders, load),
-        "dim_geography": dims.geography_dimension(customers, employees, suppliers, orders, load),
-        "dim_customer": dims.customer_dimension(customers, load),
-        "dim_employee": dims.employee_dimension(employees, load, photos),
-        "dim_supplier": dims.supplier_dimension(suppliers, load),
-        "dim_shipper": dims.shipper_dimension(staged("shippers"), load),
-        "dim_territory": dims.territory_dimension(staged("territories"), staged("regions"), load),
-    }
-    tables["dim_product"] = dims.product_dimension(
-        staged("products"), staged("categories"), tables["dim_supplier"], load
-    )
-    tables["fact_employee_territories"] = employee_territory_facts(
-        staged("employee_territories"), tables["dim_employee"], tables["dim_territory"]
-    ).transform(load.stamp)
-    tables["fact_orders"] = full_order_facts(orders, staged("order_details"), Lookups.of(tables), load)
-    return tables
+class StarBuilder:
+    """Warehouse tables as lazy DataFrames over staged tables; each plan is made when first asked for."""
+
+    TABLES = (
+        "dim_date", "dim_geography", "dim_customer", "dim_employee", "dim_supplier", "dim_shipper", "dim_territory",
+        "dim_product", "fact_employee_territories", "fact_orders",
+    )
+
+    def __init__(self, staged: Callable[[str], DataFrame], load: dims.Load, photos: DataFrame | None = None):
+        self.staged, self.load, self.photos = cache(staged), load, photos
+        self.table = cache(lambda name: getattr(self, f"_{name}")())
+
+    def _dim_date(self) -> DataFrame:
+        return dims.date_dimension(self.staged("orders"), self.load)
+
+    def _dim_geography(self) -> DataFrame:
+        roles = map(self.staged, ("customers", "employees", "suppliers", "orders"))
+        return dims.geography_dimension(*roles, self.load)
+
+    def _dim_customer(self) -> DataFrame:
+        return dims.customer_dimension(self.staged("customers"), self.load)
+
+    def _dim_employee(self) -> DataFrame:
+        return dims.employee_dimension(self.staged("employees"), self.load, self.photos)
+
+    def _dim_supplier(self) -> DataFrame:
+        return dims.supplier_dimension(self.staged("suppliers"), self.load)
+
+    def _dim_shipper(self) -> DataFrame:
+        return dims.shipper_dimension(self.staged("shippers"), self.load)
+
+    def _dim_territory(self) -> DataFrame:
+        return dims.territory_dimension(self.staged("territories"), self.staged("regions"), self.load)
+
+    def _dim_product(self) -> DataFrame:
+        return dims.product_dimension(
+            self.staged("products"), self.staged("categories"), self.table("dim_supplier"), self.load
+        )
+
+    def _fact_employee_territories(self) -> DataFrame:
+        pairs = employee_territory_facts(
+            self.staged("employee_territories"), self.table("dim_employee"), self.table("dim_territory")
+        )
+        return self.load.stamp(pairs)
+
+    def _fact_orders(self) -> DataFrame:
+        lookups = Lookups.fresh(self.table)
+        return full_order_facts(self.staged("orders"), self.staged("order_details"), lookups, self.load)
 
 
 @dataclass
@@ -147,9 +176,9 @@ def load_star(house: Warehouse, tables=None, batch_id: str | None = None, key_me
     wanted = list(tables or TABLE_KEYS)
     written: dict[str, DataFrame] = {}
     try:
-        built = star_tables(house.staged, load)
-        for name in [t for t in built if t in wanted]:
-            written[name] = lake.write_base(name, built[name], version)
+        builder = StarBuilder(house.staged, load)
+        for name in [t for t in builder.TABLES if t in wanted]:
+            written[name] = lake.write_base(name, builder.table(name), version)
         gated = {name: source for name, source in COUNT_GATES.items() if name in wanted}
         if gated:
             counts = quality.reconcile(

@@ -107,7 +107,7 @@ def _apply(house: Warehouse, events: DataFrame, batch_id: str, bounded: bool) ->
     lake = house.star_lake
     load = Load(batch_id, utc_now(), lake.reserve_version(batch_id))
     orders, lines = house.staged("orders"), house.staged("order_details")
-    lookups = Lookups.of({t: house.latest(t) for t in ("dim_product", "dim_customer", "dim_employee", "dim_shipper")})
+    lookups = Lookups.current(house.latest)
     batch = incremental_facts(events, orders, lines, lookups, house.star.facts, bounded=bounded)
     touched = batch.events.select("order_id").distinct()
     loss = quality.lookup_loss(

@@ -7,7 +7,9 @@ its keys with expressions every SQL engine shares, so results can be checked els
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.lsn import operation_name
@@ -18,12 +20,24 @@ from tallyhouse.sources.schemas import BY_NAME, LINES_INSTANCE, ORDERS_INSTANCE
 EVENT_OPERATIONS = {"error": 1, "signup": 2, "view": 3, "click": 4, "purchase": 4}
 
 
-def _days(count: Column) -> Column:
-    return F.make_dt_interval(count.cast("int"))
+def _nulls(*names: str) -> list[str]:
+    return [f"NULL AS {name}" for name in names]
+
+
+def _address(key: str) -> list[str]:
+    """Address columns; empty, blank and NULL regions are the same place."""
+    return [
+        "NULL AS address", "city", f"CASE WHEN {key} % 3 = 0 THEN '' WHEN {key} % 3 = 1 THEN '  ' END AS region",
+        f"{key} % 40 AS postal_code", "country",
+    ]
+
 
+def _category_id(kind: str) -> str:
+    return f"cast(conv(substr(sha2({kind}, 256), 1, 7), 16, 10) AS int)"
 
-def _no_text(name: str) -> Column:
-    return F.lit(None).cast("string").alias(name)
+
+def _territory_id(key: str) -> str:
+    return f"concat('T', lpad(cast({key} AS string), 2, '0'))"
 
 
 class StagingAdapter:
@@ -31,180 +45,136 @@ class StagingAdapter:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        if table not in self._sources:
+            self._sources[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self._sources[table]
 
     def table(self, name: str) -> DataFrame:
         rows = getattr(self, name)()
-        return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BY_NAME[name].schema])
+        return rows.selectExpr(*[f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in BY_NAME[name].schema])
 
-    def _places(self, nation_key: str) -> DataFrame:
-        regions = self.source("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("country"))
-        return (
-            self.source("nation")
-            .join(regions, "n_regionkey")
-            .select(F.col("n_nationkey").alias(nation_key), F.col("n_name").alias("city"), "country")
-        )
+    @cached_property
+    def _places(self) -> DataFrame:
+        regions = self.source("region").selectExpr("r_regionkey AS n_regionkey", "r_name AS country")
+        nations = self.source("nation").join(regions, "n_regionkey")
+        return nations.selectExpr("n_nationkey AS nation_key", "n_name AS city", "country")
 
-    @staticmethod
-    def _address(key: str) -> list[Column]:
-        # Empty, blank and NULL regions are the same place.
-        blank = F.when(F.col(key) % 3 == 0, "").when(F.col(key) % 3 == 1, "  ")
-        return [
-            _no_text("address"), F.col("city"), blank.alias("region"),
-            (F.col(key) % 40).cast("string").alias("postal_code"), F.col("country"),
-        ]
+    def _placed(self, table: str, nation_key: str) -> DataFrame:
+        return self.source(table).withColumnRenamed(nation_key, "nation_key").join(self._places, "nation_key")
 
     def customers(self) -> DataFrame:
-        return self.source("customer").join(self._places("c_nationkey"), "c_nationkey").select(
-            F.col("c_custkey").cast("string").alias("customer_id"),
-            F.col("c_name").alias("company_name"),
-            F.concat(F.lit(" "), "c_mktsegment").alias("contact_name"),
-            _no_text("contact_title"),
-            *self._address("c_custkey"),
-            F.col("c_acctbal").cast("decimal(19,4)").cast("string").alias("phone"),
-            _no_text("fax"),
+        return self._placed("customer", "c_nationkey").selectExpr(
+            "cast(c_custkey AS string) AS customer_id",
+            "c_name AS company_name",
+            "concat(' ', c_mktsegment) AS contact_name",
+            *_address("c_custkey"),
+            "cast(cast(c_acctbal AS decimal(19,4)) AS string) AS phone",
+            *_nulls("contact_title", "fax"),
         )
 
     def suppliers(self) -> DataFrame:
-        return self.source("supplier").join(self._places("s_nationkey"), "s_nationkey").select(
-            F.col("s_suppkey").alias("supplier_id"),
-            F.col("s_name").alias("company_name"),
-            _no_text("contact_name"),
-            _no_text("contact_title"),
-            *self._address("s_suppkey"),
-            _no_text("phone"),
-            _no_text("fax"),
-            _no_text("home_page"),
+        return self._placed("supplier", "s_nationkey").selectExpr(
+            "s_suppkey AS supplier_id",
+            "s_name AS company_name",
+            *_address("s_suppkey"),
+            *_nulls("contact_name", "contact_title", "phone", "fax", "home_page"),
         )
 
     def employees(self) -> DataFrame:
-        """One employee per supplier row; every ten report to one of them, number 1 to nobody."""
-        number = F.col("s_suppkey")
-        return self.source("supplier").join(self._places("s_nationkey"), "s_nationkey").select(
-            (number + 1).alias("employee_id"),
-            F.col("s_name").alias("last_name"),
-            F.lit("Rep").alias("first_name"),
-            F.when(number % 4 != 0, "Account Manager").alias("title"),
-            _no_text("title_of_courtesy"),
-            F.lit(None).cast("timestamp").alias("birth_date"),
-            (F.lit("1990-01-01").cast("timestamp") + _days(number % 1000)).alias("hire_date"),
-            *self._address("s_suppkey"),
-            _no_text("home_phone"),
-            _no_text("extension"),
-            self._photo(number, F.col("s_name")),
-            _no_text("notes"),
-            F.when(number > 0, F.floor(number / 10) + 1).alias("reports_to"),
-            _no_text("photo_path"),
+        """One employee per supplier row; every ten report to one of them, number 1 to nobody.
+
+        Photos are wrapper bytes, then a GIF, PNG or JPEG with a tail, or no signature; some are missing.
+        """
+        head = "CASE s_suppkey % 5 WHEN 0 THEN '474946383961' WHEN 1 THEN '89504E470D0A1A0A' WHEN 2 THEN 'FFD8FF' ELSE '00' END"
+        tail = "CASE WHEN s_suppkey % 5 = 2 THEN 'FFD9007461696C' ELSE '' END"
+        wrapper, body = ("encode(concat('wrapper:', s_name), 'UTF-8')", "encode(concat(s_name, ':body'), 'UTF-8')")
+        return self._placed("supplier", "s_nationkey").selectExpr(
+            "s_suppkey + 1 AS employee_id",
+            "s_name AS last_name",
+            "'Rep' AS first_name",
+            "CASE WHEN s_suppkey % 4 <> 0 THEN 'Account Manager' END AS title",
+            "date_add(DATE '1990-01-01', cast(s_suppkey % 1000 AS int)) AS hire_date",
+            *_address("s_suppkey"),
+            f"CASE WHEN s_suppkey % 5 < 4 THEN concat({wrapper}, unhex({head}), {body}, unhex({tail})) END AS photo",
+            "CASE WHEN s_suppkey > 0 THEN s_suppkey DIV 10 + 1 END AS reports_to",
+            *_nulls("title_of_courtesy", "birth_date", "home_phone", "extension", "notes", "photo_path"),
         )
 
-    @staticmethod
-    def _photo(number: Column, name: Column) -> Column:
-        """Wrapper bytes, then a GIF, PNG or JPEG with a tail, or no signature at all; some are missing."""
-        wrapper = F.encode(F.concat(F.lit("wrapper:"), name), "UTF-8")
-        body = F.encode(F.concat(name, F.lit(":body")), "UTF-8")
-        kinds = (
-            ("474946383961", ""), ("89504E470D0A1A0A", ""), ("FFD8FF", "FFD9007461696C"), ("00", ""),
-        )
-        photo = None
-        for kind, (head, tail) in enumerate(kinds):
-            built = F.concat(wrapper, F.unhex(F.lit(head)), body, F.unhex(F.lit(tail)))
-            photo = F.when(number % 5 == kind, built) if photo is None else photo.when(number % 5 == kind, built)
-        return photo.alias("photo")
-
-    @staticmethod
-    def _category_id(kind: Column) -> Column:
-        return F.conv(F.substring(F.sha2(kind, 256), 1, 7), 16, 10).cast("int")
-
     def categories(self) -> DataFrame:
         kinds = self.source("part").select("p_type").distinct()
-        return kinds.select(
-            self._category_id(F.col("p_type")).alias("category_id"),
-            F.col("p_type").alias("category_name"),
-            _no_text("description"),
-            F.lit(None).cast("binary").alias("picture"),
+        return kinds.selectExpr(
+            f"{_category_id('p_type')} AS category_id", "p_type AS category_name", *_nulls("description", "picture")
         )
 
     def products(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.source("part").select(
-            key.alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.when(key % 13 != 0, key % 10).alias("supplier_id"),
-            F.when(key % 11 != 0, self._category_id(F.col("p_type"))).alias("category_id"),
-            F.col("p_brand").alias("quantity_per_unit"),
-            F.col("p_retailprice").alias("unit_price"),
-            F.col("p_size").alias("units_in_stock"),
-            ((key % 7) * 10).alias("units_on_order"),
-            (key % 30).alias("reorder_level"),
-            (key % 10 == 0).alias("discontinued"),
+        return self.source("part").selectExpr(
+            "p_partkey AS product_id",
+            "p_name AS product_name",
+            "CASE WHEN p_partkey % 13 <> 0 THEN p_partkey % 10 END AS supplier_id",
+            f"CASE WHEN p_partkey % 11 <> 0 THEN {_category_id('p_type')} END AS category_id",
+            "p_brand AS quantity_per_unit",
+            "p_retailprice AS unit_price",
+            "p_size AS units_in_stock",
+            "(p_partkey % 7) * 10 AS units_on_order",
+            "p_partkey % 30 AS reorder_level",
+            "p_partkey % 10 = 0 AS discontinued",
         )
 
     def shippers(self) -> DataFrame:
         """Order priorities read `n-NAME`; each one is a shipper."""
         kinds = self.source("orders").select("o_orderpriority").distinct()
-        return kinds.select(
-            F.substring("o_orderpriority", 1, 1).alias("shipper_id"),
-            F.substring("o_orderpriority", 3, 40).alias("company_name"),
-            _no_text("phone"),
+        return kinds.selectExpr(
+            "substr(o_orderpriority, 1, 1) AS shipper_id", "substr(o_orderpriority, 3) AS company_name", "NULL AS phone"
         )
 
     def regions(self) -> DataFrame:
-        return self.source("region").select(
-            F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_description")
-        )
+        return self.source("region").selectExpr("r_regionkey AS region_id", "r_name AS region_description")
 
     def territories(self) -> DataFrame:
-        key = F.col("n_nationkey")
-        return self.source("nation").select(
-            self._territory_id(key).alias("territory_id"),
-            F.concat("n_name", F.lit(" ")).alias("territory_description"),
-            F.when(key % 9 == 8, 99).otherwise(F.col("n_regionkey")).alias("region_id"),
+        return self.source("nation").selectExpr(
+            f"{_territory_id('n_nationkey')} AS territory_id",
+            "concat(n_name, ' ') AS territory_description",
+            "CASE WHEN n_nationkey % 9 = 8 THEN 99 ELSE n_regionkey END AS region_id",
         )
 
-    @staticmethod
-    def _territory_id(key: Column) -> Column:
-        return F.concat(F.lit("T"), F.lpad(key.cast("string"), 2, "0"))
-
     def employee_territories(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        homes = F.array(F.col("s_nationkey").cast("long"), (key * 7 + 3) % 25)
-        pairs = self.source("supplier").select(key, F.explode(F.array_distinct(homes)).alias("home"))
-        return pairs.select(
-            (key + 1).alias("employee_id"), self._territory_id(F.col("home")).alias("territory_id")
-        )
+        homes = "explode(array_distinct(array(cast(s_nationkey AS bigint), (s_suppkey * 7 + 3) % 25))) AS home"
+        pairs = self.source("supplier").selectExpr("s_suppkey + 1 AS employee_id", homes)
+        return pairs.selectExpr("employee_id", f"{_territory_id('home')} AS territory_id")
 
     def orders(self) -> DataFrame:
-        key, placed = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
-        ship = self.customers().select(
-            F.col("customer_id").cast("long").alias("o_custkey"),
-            F.col("company_name").alias("ship_name"),
-            *[F.col(c).alias(f"ship_{c}") for c in ("address", "city", "region", "postal_code", "country")],
+        parts = ("address", "city", "region", "postal_code", "country")
+        ship = self.customers().selectExpr(
+            "cast(customer_id AS bigint) AS o_custkey", "company_name AS ship_name", *[f"{c} AS ship_{c}" for c in parts]
+        )
+        placed = "cast(o_orderdate AS timestamp)"
+        return self.source("orders").join(ship, "o_custkey", "left").selectExpr(
+            "o_orderkey AS order_id",
+            "CASE WHEN o_orderkey % 29 <> 0 THEN cast(o_custkey AS string) END AS customer_id",
+            "CASE WHEN o_orderkey % 23 <> 0 THEN o_orderkey % 9 + 1 END AS employee_id",
+            f"{placed} AS order_date",
+            f"{placed} + make_dt_interval(28) AS required_date",
+            f"CASE WHEN o_orderstatus <> 'O' THEN {placed} + make_dt_interval(cast(o_orderkey % 45 AS int)) END AS shipped_date",
+            "CASE WHEN o_orderkey % 17 <> 0 THEN cast(substr(o_orderpriority, 1, 1) AS int) END AS ship_via",
+            "cast(o_totalprice AS decimal(19,4)) % 100 AS freight",
+            "ship_name",
+            *[f"ship_{c}" for c in parts],
         )
-        return self.source("orders").join(ship, "o_custkey", "left").select(
-            key.alias("order_id"),
-            F.when(key % 29 != 0, F.col("o_custkey").cast("string")).alias("customer_id"),
-            F.when(key % 23 != 0, key % 9 + 1).alias("employee_id"),
-            placed.alias("order_date"),
-            (placed + _days(F.lit(28))).alias("required_date"),
-            F.when(F.col("o_orderstatus") != "O", placed + _days(key % 45)).alias("shipped_date"),
-            F.when(key % 17 != 0, F.substring("o_orderpriority", 1, 1).cast("int")).alias("ship_via"),
-            (F.col("o_totalprice").cast("decimal(19,4)") % 100).alias("freight"),
-            "ship_name", "ship_address", "ship_city", "ship_region", "ship_postal_code", "ship_country",
-        )
 
     def order_details(self) -> DataFrame:
         """One line per (order, part): the input repeats some pairs."""
         order = ("l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
         lines = newest(self.source("lineitem"), ["l_orderkey", "l_partkey"], [F.asc(c) for c in order])
-        prices = self.source("part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-        return lines.join(prices, "l_partkey", "left").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("p_retailprice").alias("unit_price"),
-            F.col("l_quantity").alias("quantity"),
-            F.col("l_discount").alias("discount"),
+        prices = self.source("part").selectExpr("p_partkey AS l_partkey", "p_retailprice")
+        return lines.join(prices, "l_partkey", "left").selectExpr(
+            "l_orderkey AS order_id",
+            "l_partkey AS product_id",
+            "p_retailprice AS unit_price",
+            "l_quantity AS quantity",
+            "l_discount AS discount",
         )
 
     def raw_events(self) -> DataFrame:
