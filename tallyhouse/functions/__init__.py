@@ -11,6 +11,7 @@ from tallyhouse.functions.dates import (  # noqa: F401
     year_label,
 )
 from tallyhouse.functions.keys import (  # noqa: F401
+    base64_text,
     canonical,
     clean_text,
     content_hash,

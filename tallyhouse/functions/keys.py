@@ -24,6 +24,11 @@ def clean_text(value: Column) -> Column:
     return F.nullif(F.trim(value.cast("string")), F.lit(""))
 
 
+def base64_text(data: Column) -> Column:
+    """Bytes as base64 on one line; empty text for NULL."""
+    return F.nvl(F.translate(F.base64(data), "\r\n", ""), F.lit(""))
+
+
 def content_hash(*values: Column) -> Column:
     """SHA-256 over the canonical values, used to see whether a row changed."""
     return F.sha2(F.concat_ws(HASH_SEPARATOR, *map(canonical, values)), 256)

@@ -8,14 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.functions.lsn import DELETE, OPERATION_NAMES, UPDATE_BEFORE, operation_name
+from tallyhouse.functions.lsn import DELETE, INSERT, OPERATION_NAMES, UPDATE_AFTER, UPDATE_BEFORE, operation_name
 from tallyhouse.operators.latest import newest
 from tallyhouse.sources.schemas import (
     BY_NAME,
     CAPTURES,
     CHANGE_ORDER,
-    LINES_INSTANCE,
-    ORDERS_INSTANCE,
     CaptureSource,
     TableSpec,
 )
@@ -51,30 +49,23 @@ def _is_object(document: Column) -> Column:
     return F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
 
 
-def _typed(document: Column, spec: TableSpec, field: T.StructField) -> Column:
-    name = spec.source_name(field.name)
-    if isinstance(field.dataType, T.IntegralType):
-        return F.try_variant_get(document, f"$.{name}", field.dataType.simpleString())
-    text = _text(document, name)
-    if isinstance(field.dataType, T.TimestampType):
-        # Source times carry no zone: keep the wall time as written.
-        return text.try_cast("timestamp_ntz").cast("timestamp")
-    if field.name in spec.trimmed:
-        return F.regexp_replace(text, r"\s+$", "")
-    return text.try_cast(field.dataType)
+def _row_type(spec: TableSpec, columns=None) -> str:
+    """Struct type of a payload; source times carry no zone, so their wall time is kept as written."""
 
+    def json_type(field: T.StructField) -> str:
+        return "timestamp_ntz" if isinstance(field.dataType, T.TimestampType) else field.dataType.simpleString()
 
-def _payload_is_bad(document: Column, key: Column, operation: Column, spec: TableSpec) -> Column:
-    """True when a value the staged row needs is missing or does not convert."""
+    fields = [f"{spec.source_name(f.name)}:{json_type(f)}" for f in spec.schema if columns is None or f.name in columns]
+    return f"struct<{','.join(fields)}>"
 
-    def unreadable(field: T.StructField) -> Column:
-        value = _typed(document, spec, field)
-        given = _text(document, spec.source_name(field.name)).isNotNull()
-        return value.isNull() if field.name in REQUIRED_COLUMNS[spec.name] else value.isNull() & given
 
-    bad_row = reduce(Column.__or__, map(unreadable, spec.schema))
-    bad_key = reduce(Column.__or__, [_typed(key, spec, spec.schema[k]).isNull() for k in spec.keys])
-    return F.when(operation == UPDATE_BEFORE, False).when(operation == DELETE, bad_key).otherwise(bad_row)
+def _row(document: Column, spec: TableSpec, columns=None) -> Column:
+    """The document as a typed row: missing fields are NULL, and one bad value makes the whole row NULL."""
+    return F.try_variant_get(document, "$", _row_type(spec, columns))
+
+
+def _incomplete(row: Column, spec: TableSpec, columns) -> Column:
+    return reduce(Column.__or__, [row[spec.source_name(c)].isNull() for c in columns])
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
@@ -82,32 +73,34 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
     Input: key, value, topic, partition, offset, received_at.
     """
-    parsed = messages.select(
-        "key", "value", "topic", "partition", "offset", "received_at",
-        F.try_parse_json(F.when(F.is_valid_utf8(F.col("value").cast("string")), F.col("value").cast("string"))).alias("event"),
-    )
+    text = F.col("value").cast("string")
+    position = ("key", "value", "topic", "partition", "offset", "received_at")
+    documents = messages.select(*position, F.try_parse_json(F.when(F.is_valid_utf8(text), text)).alias("event"))
     event = F.col("event")
-    parts = {name: F.try_variant_get(event, f"$.{name}", "variant") for name in ("business_key", "payload", "metadata")}
-    fields = parsed.withColumns(
-        {
-            **parts,
-            "capture_instance": _text(event, "capture_instance"),
-            "operation_code": F.try_variant_get(event, "$.operation_code", "int"),
-            "given_type": _text(event, "operation_type"),
-            "event_time_text": _text(event, "event_time"),
-        }
-    ).withColumns(
-        {
-            "start_lsn": F.nullif(_text(F.col("metadata"), "start_lsn"), F.lit("")),
-            "seqval": F.nullif(_text(F.col("metadata"), "seqval"), F.lit("")),
-            "event_time": F.col("event_time_text").try_cast("timestamp"),
-        }
-    )
+    nested = {n: F.try_variant_get(event, f"$.{n}", "variant").alias(n) for n in ("business_key", "payload", "metadata")}
+    fields = documents.select(
+        *position, "event", *nested.values(),
+        _text(event, "capture_instance").alias("capture_instance"),
+        F.try_variant_get(event, "$.operation_code", "int").alias("operation_code"),
+        _text(event, "operation_type").alias("given_type"),
+        _text(event, "event_time").alias("event_time_text"),
+        F.nullif(_text(event, "metadata.start_lsn"), F.lit("")).alias("start_lsn"),
+        F.nullif(_text(event, "metadata.seqval"), F.lit("")).alias("seqval"),
+    )
     operation = F.col("operation_code")
-    bad_payload = F.col("event_time").isNull() & F.col("event_time_text").isNotNull()
+    typed, bad_payload = {"event_time": F.col("event_time_text").try_cast("timestamp")}, F.lit(False)
     for capture in CAPTURES:
-        bad = _payload_is_bad(F.col("payload"), F.col("business_key"), operation, BY_NAME[capture.staged])
-        bad_payload = bad_payload | ((F.col("capture_instance") == capture.instance) & bad)
+        spec = BY_NAME[capture.staged]
+        this = F.col("capture_instance") == capture.instance
+        row, key = f"{spec.name}_row", f"{spec.name}_key"
+        typed[row] = F.when(this & operation.isin(INSERT, UPDATE_AFTER), _row(F.col("payload"), spec))
+        typed[key] = F.when(this & (operation == DELETE), _row(F.col("business_key"), spec, spec.keys))
+        bad_payload = (
+            bad_payload
+            | (this & operation.isin(INSERT, UPDATE_AFTER) & _incomplete(F.col(row), spec, REQUIRED_COLUMNS[spec.name]))
+            | (this & (operation == DELETE) & _incomplete(F.col(key), spec, spec.keys))
+        )
+    bad_payload = bad_payload | (F.col("event_time").isNull() & F.col("event_time_text").isNotNull())
     known = F.coalesce(F.col("capture_instance").isin(*[c.instance for c in CAPTURES]), F.lit(False))
     reason = (
         F.when(F.col("value").isNull(), EMPTY_VALUE)
@@ -123,15 +116,17 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         .when(F.col("seqval").isNull(), NO_SEQVAL)
         .when(bad_payload, INVALID_PAYLOAD)
     )
-    return fields.select(
-        "key", "value", "topic", "partition", "offset", "received_at",
+    # Laid out through a generator: a filter on the reason then stays above the parsing
+    # instead of being copied, with all the parsing in it, below every step.
+    parsed = F.struct(
         *EVENT_IDENTITY,
         F.coalesce("given_type", operation_name(operation)).alias("operation_type"),
         "event_time",
         F.to_json("business_key").alias("business_key"),
         F.to_json("payload").alias("payload"),
         reason.alias("reject_reason"),
-    )
+    )
+    return fields.withColumns(typed).select(*position, F.inline(F.array(parsed)))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -182,24 +177,25 @@ def row_changes(events: DataFrame, capture: CaptureSource) -> DataFrame:
     Before-images stay in the log only. A delete carries its key, the other columns are NULL.
     """
     spec = BY_NAME[capture.staged]
-    documents = events.where(
+    deleted = F.col("operation_code") == DELETE
+    rows = events.where(
         (F.col("capture_instance") == capture.instance) & (F.col("operation_code") != UPDATE_BEFORE)
     ).select(
         *CHANGE_ORDER,
-        F.parse_json("business_key").alias("_key"),
-        F.parse_json("payload").alias("_payload"),
+        F.when(deleted, _row(F.try_parse_json("business_key"), spec, spec.keys)).alias("key"),
+        F.when(~deleted, _row(F.try_parse_json("payload"), spec)).alias("row"),
     )
-    deleted = F.col("operation_code") == DELETE
 
     def column(field: T.StructField) -> Column:
-        value = F.when(~deleted, _typed(F.col("_payload"), spec, field))
+        name = spec.source_name(field.name)
+        value = F.col("row")[name].cast(field.dataType)
+        if field.name in spec.trimmed:
+            value = F.regexp_replace(value, r"\s+$", "")
         if field.name in spec.keys:
-            value = F.when(deleted, _typed(F.col("_key"), spec, field)).otherwise(value)
+            value = F.coalesce(value, F.col("key")[name])
         return value.alias(field.name)
 
-    return documents.select(
-        *map(column, spec.schema), *CHANGE_ORDER, deleted.cast("short").alias("is_deleted")
-    )
+    return rows.select(*map(column, spec.schema), *CHANGE_ORDER, deleted.cast("short").alias("is_deleted"))
 
 
 def last_change(changes: DataFrame, keys) -> DataFrame:

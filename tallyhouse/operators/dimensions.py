@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import (
+    base64_text,
     calendar_columns,
     calendar_days,
     clean_text,
@@ -159,7 +160,7 @@ def employee_dimension(employees: DataFrame, load: Load, photos: DataFrame | Non
         *_texts("first_name", "last_name", "title", "title_of_courtesy", "home_phone", "extension", "notes"),
         F.col("birth_date").cast("date").alias("birth_date"),
         F.col("hire_date").cast("date").alias("hire_date"),
-        F.nvl(F.base64("photo"), F.lit("")).alias("photo_base64"),
+        base64_text(F.col("photo")).alias("photo_base64"),
         path.alias("photo_path"),
     )
     keyed = EMPLOYEE.with_keys(rows, load.key_method)

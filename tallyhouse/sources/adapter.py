@@ -270,6 +270,22 @@ class StagingAdapter:
             "received_at",
         )
 
+    def wrapped_images(self) -> DataFrame:
+        """Documents as binary payloads: an image signature behind a wrapper, none, or nothing at all."""
+        wrapper = "cast(repeat('w', 78) AS binary)"
+        text = "encode(text, 'UTF-8')"
+        bmp = "unhex('424D3C000000000000003600000028000000')"
+        kinds = (
+            f"concat({wrapper}, unhex('89504E470D0A1A0A'), {text})",
+            f"concat({wrapper}, unhex('FFD8FF'), {text}, unhex('FFD9'), {wrapper})",
+            f"concat(unhex('474946383761'), {text})",
+            f"concat({wrapper}, {bmp}, unhex(repeat('00', 36)), encode('pixels', 'UTF-8'), {text})",
+            f"concat({text}, cast('' AS binary))",
+            f"concat(cast(repeat('w', 5000) AS binary), unhex('89504E470D0A1A0A'), {text})",
+        )
+        cases = " ".join(f"WHEN {kind} THEN {payload}" for kind, payload in enumerate(kinds))
+        return self.source("documents").selectExpr("doc_id", f"CASE doc_id % 7 {cases} END AS payload")
+
     def pipeline_runs(self) -> DataFrame:
         """One run per day of events."""
         day = F.date_trunc("day", "received_at")
