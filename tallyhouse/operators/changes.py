@@ -49,25 +49,32 @@ def _is_object(document: Column) -> Column:
     return F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
 
 
-def _row_type(spec: TableSpec, columns=None) -> str:
+def _row_type(spec: TableSpec, columns=None, as_text: bool = False) -> str:
     """Struct type of a payload; source times carry no zone, so their wall time is kept as written."""
 
     def json_type(field: T.StructField) -> str:
+        if as_text:
+            return "string"
         return "timestamp_ntz" if isinstance(field.dataType, T.TimestampType) else field.dataType.simpleString()
 
     fields = [f"{spec.source_name(f.name)}:{json_type(f)}" for f in spec.schema if columns is None or f.name in columns]
     return f"struct<{','.join(fields)}>"
 
 
-def _row(document: Column, spec: TableSpec, columns=None) -> Column:
-    """The document as a typed row: missing fields are NULL, and one bad value makes the whole row NULL."""
-    return F.try_variant_get(document, "$", _row_type(spec, columns))
+def _row(document: Column, spec: TableSpec, columns=None, as_text: bool = False) -> Column:
+    """The document as a row; fields that are missing or do not convert are NULL."""
+    return F.try_variant_get(document, "$", _row_type(spec, columns, as_text))
 
 
 def _incomplete(row: Column, spec: TableSpec, columns) -> Column:
     return reduce(Column.__or__, [row[spec.source_name(c)].isNull() for c in columns])
 
 
+def _unconverted(row: Column, text: Column, spec: TableSpec) -> Column:
+    names = map(spec.source_name, spec.schema.names)
+    return reduce(Column.__or__, [row[n].isNull() & text[n].isNotNull() for n in names])
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Read stream messages and say why each refused one is refused (`reject_reason` NULL = accepted).
 
@@ -93,13 +100,14 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         spec = BY_NAME[capture.staged]
         this = F.col("capture_instance") == capture.instance
         row, key = f"{spec.name}_row", f"{spec.name}_key"
-        typed[row] = F.when(this & operation.isin(INSERT, UPDATE_AFTER), _row(F.col("payload"), spec))
-        typed[key] = F.when(this & (operation == DELETE), _row(F.col("business_key"), spec, spec.keys))
-        bad_payload = (
-            bad_payload
-            | (this & operation.isin(INSERT, UPDATE_AFTER) & _incomplete(F.col(row), spec, REQUIRED_COLUMNS[spec.name]))
-            | (this & (operation == DELETE) & _incomplete(F.col(key), spec, spec.keys))
+        upsert, delete = this & operation.isin(INSERT, UPDATE_AFTER), this & (operation == DELETE)
+        typed[row] = F.when(upsert, _row(F.col("payload"), spec))
+        typed[f"{row}_text"] = F.when(upsert, _row(F.col("payload"), spec, as_text=True))
+        typed[key] = F.when(delete, _row(F.col("business_key"), spec, spec.keys))
+        bad_row = _incomplete(F.col(row), spec, REQUIRED_COLUMNS[spec.name]) | _unconverted(
+            F.col(row), F.col(f"{row}_text"), spec
         )
+        bad_payload = bad_payload | (upsert & bad_row) | (delete & _incomplete(F.col(key), spec, spec.keys))
     bad_payload = bad_payload | (F.col("event_time").isNull() & F.col("event_time_text").isNotNull())
     known = F.coalesce(F.col("capture_instance").isin(*[c.instance for c in CAPTURES]), F.lit(False))
     reason = (
