@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +71,37 @@ def _tombstones(facts: DataFrame, deletes: DataFrame, keys) -> DataFrame:
     )
 
 
+def of_touched(rows: DataFrame, events: DataFrame, bounded: bool = False) -> DataFrame:
+    """Rows of the orders a batch touched.
+
+    With `bounded` the batch holds at most LARGEST_BOUNDED_BATCH events, which proves the affected
+    ids small enough to broadcast; otherwise Spark chooses the join by measured size.
+    """
+    touched = affected_orders(events)
+    return rows.join(F.broadcast(touched) if bounded else touched, "order_id", "left_semi")
+
+
+def rebuilt_facts(
+    events: DataFrame, orders: DataFrame, details: DataFrame, lookups: Lookups, key_method: str = "xxhash64"
+) -> DataFrame:
+    """Facts of touched orders out of current staging, with the position of the order's last event."""
+    facts = order_facts(orders, details, lookups, key_method)
+    return facts.join(latest_event_per_order(events), "order_id").withColumn("source_lsn", F.col("start_lsn"))
+
+
+def winning_rows(*candidates: DataFrame) -> DataFrame:
+    """One row per fact key: the newest event, and of one event current staging before its tombstone."""
+    rows = reduce(DataFrame.unionByName, candidates)
+    return newest(rows, FACT_KEYS, [*newest_first(), F.asc("is_deleted")]).drop(*CHANGE_ORDER)
+
+
+def batch_tombstones(events: DataFrame, lookups: Lookups, live_facts: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
+    """Tombstones of the batch's line deletes and of its order deletes, over live facts of touched orders."""
+    facts = live_facts.select(*columns)
+    by_line = _tombstones(facts, deleted_lines(events, lookups), FACT_KEYS)
+    return by_line, _tombstones(facts, deleted_orders(events), ["order_id"])
+
+
 def incremental_facts(
     events: DataFrame,
     orders: DataFrame,
@@ -81,28 +113,11 @@ def incremental_facts(
 ) -> FactBatch:
     """Fact rows to append for a batch of events.
 
-    `orders` and `details` are current staging, `live_facts` the live warehouse rows. With
-    `bounded` the batch holds at most LARGEST_BOUNDED_BATCH events, which proves the affected
-    ids small enough to broadcast; otherwise Spark chooses the join by measured size.
-    Where an upsert and a tombstone carry the same event, current staging wins.
+    `orders` and `details` are current staging, `live_facts` the live warehouse rows.
     """
     events = event_keys(events)
-    touched = affected_orders(events)
-    if bounded:
-        touched = F.broadcast(touched)
-
-    def of_touched(rows: DataFrame) -> DataFrame:
-        return rows.join(touched, "order_id", "left_semi")
-
-    last_events = latest_event_per_order(events)
-    rebuilt = order_facts(of_touched(orders), of_touched(details), lookups, key_method)
-    upserts = rebuilt.join(last_events, "order_id").withColumn("source_lsn", F.col("start_lsn"))
-
-    columns = rebuilt.columns
-    facts = of_touched(live_facts).select(columns)
-    line_tombstones = _tombstones(facts, deleted_lines(events, lookups), FACT_KEYS)
-    order_tombstones = _tombstones(facts, deleted_orders(events), ["order_id"])
-
-    candidates = upserts.unionByName(line_tombstones).unionByName(order_tombstones)
-    winners = newest(candidates, FACT_KEYS, [*newest_first(), F.asc("is_deleted")])
-    return FactBatch(events, upserts, line_tombstones, order_tombstones, winners.select(columns))
+    orders, details, live_facts = (of_touched(rows, events, bounded) for rows in (orders, details, live_facts))
+    upserts = rebuilt_facts(events, orders, details, lookups, key_method)
+    columns = [c for c in upserts.columns if c not in CHANGE_ORDER]
+    tombstones = batch_tombstones(events, lookups, live_facts, columns)
+    return FactBatch(events, upserts, *tombstones, winning_rows(upserts, *tombstones))

@@ -106,12 +106,22 @@ class Warehouse:
         self.events = Lake(self.spark, f"{self.root}/events")
         self.control = Ledger(self.spark, f"{self.root}/control")
 
+    def refresh(self) -> None:
+        for lake in (self.staging, self.star_lake, self.events):
+            lake.refresh()
+
     def staged(self, table: str) -> DataFrame:
         """Staged rows with the applied change events."""
-        base = self.staging.base(table).select(*BY_NAME[table].schema.names)
-        changes = self.staging.changes(table)
+        base, changes = self.staging.parts(table)
+        base = base.select(*BY_NAME[table].schema.names)
         return base if changes is None else apply_changes(base, changes, BY_NAME[table].keys)
 
+    def aside(self, name: str, rows: DataFrame) -> DataFrame:
+        """Write the intermediate rows of a batch and read them back: retries see the same rows."""
+        folder = f"{self.root}/batches/{name}"
+        rows.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
+
     def latest(self, table: str) -> DataFrame:
         return self.star_lake.latest(table, TABLE_KEYS[table])
 
@@ -140,24 +150,26 @@ class Warehouse:
         text = None if error is None else error[:ERROR_LENGTH]
         self.control.add("service_state", schema, (sequence, service, status, now, text, json.dumps(details), now))
 
-    def record_quality(self, run_id: str, results: DataFrame) -> None:
-        rows = results.withColumns({"run_id": F.lit(run_id), "checked_at": F.current_timestamp()})
-        self.control.append("data_quality_results", rows.coalesce(1))
+    def gate(self, run_id: str, what: str, results: DataFrame) -> None:
+        """Record quality results, then stop the job if one failed. There is one row per checked table."""
+        rows = self.spark.createDataFrame(results.collect(), results.schema)
+        stamps = {"run_id": F.lit(run_id), "checked_at": F.lit(utc_now()).cast("timestamp")}
+        self.control.append("data_quality_results", rows.withColumns(stamps).coalesce(1))
+        quality.require(rows, what)
 
 
 def load_staging(house: Warehouse, read: Callable[[str], DataFrame], tables=None, batch_id: str | None = None) -> None:
     """Snapshot source tables into staging and reconcile the row counts before publishing."""
     names = list(tables or BY_NAME)
     batch_id = batch_id or str(uuid.uuid4())
+    house.refresh()
     started, lake = utc_now(), house.staging
     house.record_run(batch_id, "staging_load", "full", "running", started)
     version = lake.reserve_version(batch_id)
     sources = {name: read(name) for name in names}
     written = {name: lake.write_base(name, stage(rows, batch_id, started), version) for name, rows in sources.items()}
-    counts = quality.reconcile(sources, written)
-    house.record_quality(batch_id, counts)
     try:
-        quality.require(counts, "staging row counts")
+        house.gate(batch_id, "staging row counts", quality.reconcile(sources, written))
     except quality.QualityError as error:
         house.record_run(batch_id, "staging_load", "full", "failed", started, error=str(error))
         raise
@@ -169,6 +181,7 @@ def load_staging(house: Warehouse, read: Callable[[str], DataFrame], tables=None
 def load_star(house: Warehouse, tables=None, batch_id: str | None = None, key_method: str = "xxhash64") -> None:
     """Build, write, check and publish star tables. Nothing changes for readers when a gate fails."""
     batch_id = batch_id or str(uuid.uuid4())
+    house.refresh()
     started, lake = utc_now(), house.star_lake
     house.record_run(batch_id, "star_load", "full", "running", started)
     version = lake.reserve_version(batch_id)
@@ -181,11 +194,8 @@ def load_star(house: Warehouse, tables=None, batch_id: str | None = None, key_me
             written[name] = lake.write_base(name, builder.table(name), version)
         gated = {name: source for name, source in COUNT_GATES.items() if name in wanted}
         if gated:
-            counts = quality.reconcile(
-                {name: house.staged(source) for name, source in gated.items()}, {name: written[name] for name in gated}
-            )
-            house.record_quality(batch_id, counts)
-            quality.require(counts, "star row counts")
+            expected = {name: house.staged(source) for name, source in gated.items()}
+            house.gate(batch_id, "star row counts", quality.reconcile(expected, {n: written[n] for n in gated}))
     except Exception as error:
         house.record_run(batch_id, "star_load", "full", "failed", started, error=f"{type(error).__name__}: {error}")
         raise

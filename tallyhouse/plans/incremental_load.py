@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import incremental as step
 from tallyhouse.operators import quality
 from tallyhouse.operators.changes import EVENT_IDENTITY, event_keys, pending
 from tallyhouse.operators.dimensions import Load
 from tallyhouse.operators.facts import Lookups
-from tallyhouse.operators.incremental import clamp_batch, incremental_facts
 from tallyhouse.plans.full_load import ERROR_LENGTH, Warehouse, utc_now
+from tallyhouse.sources.schemas import CHANGE_ORDER
 
 SERVICE = "incremental-transform"
 DEFAULT_BATCH = 1000
@@ -72,13 +73,12 @@ def run_incremental(
     the same events. A failed batch stays pending with its error; with `max_attempts` an event that
     failed that often is left out.
     """
-    batch_id, size = str(uuid.uuid4()), clamp_batch(batch_size)
+    batch_id, size = str(uuid.uuid4()), step.clamp_batch(batch_size)
+    house.refresh()
     waiting = event_log(house)
     if max_attempts is not None:
         waiting = waiting.where(F.col("dw_attempt_count") < max_attempts)
-    folder = f"{house.root}/batches/{batch_id}"
-    pending(waiting, size).write.mode("overwrite").parquet(folder)
-    events = house.spark.read.parquet(folder)
+    events = house.aside(batch_id, pending(waiting, size))
     span = events.agg(
         F.count("*").alias("events"), F.min("start_lsn").alias("first_lsn"), F.max("start_lsn").alias("last_lsn")
     ).first()
@@ -101,24 +101,27 @@ def run_incremental(
 
 
 def _apply(house: Warehouse, events: DataFrame, batch_id: str, bounded: bool) -> int:
-    bad = quality.invalid_keys(event_keys(events)).first()[0]
+    """Write the rebuilt rows aside, check them, resolve them against tombstones and append the winners.
+
+    Each step reads what the one before wrote, so nothing expensive is planned or run twice.
+    """
+    events = event_keys(events)
+    bad = quality.invalid_keys(events).first()[0]
     if bad:
         raise quality.QualityError(f"{bad} change events without a valid order id")
     lake = house.star_lake
     load = Load(batch_id, utc_now(), lake.reserve_version(batch_id))
-    orders, lines = house.staged("orders"), house.staged("order_details")
     lookups = Lookups.current(house.latest)
-    batch = incremental_facts(events, orders, lines, lookups, house.star.facts, bounded=bounded)
-    touched = batch.events.select("order_id").distinct()
-    loss = quality.lookup_loss(
-        orders.join(touched, "order_id", "left_semi"), lines.join(touched, "order_id", "left_semi"), batch.upserts
+    orders, lines, facts = (
+        step.of_touched(rows, events, bounded)
+        for rows in (house.staged("orders"), house.staged("order_details"), house.star.facts)
     )
-    house.record_quality(batch_id, loss)
-    quality.require(loss, "fact lookups")
-    # Written aside, then appended: the append must not read facts and add to them in one plan.
-    folder = f"{house.root}/batches/{batch_id}-facts"
-    load.stamp(batch.output).write.mode("overwrite").parquet(folder)
-    output = house.spark.read.parquet(folder)
+    upserts = house.aside(f"{batch_id}-upserts", step.rebuilt_facts(events, orders, lines, lookups))
+    house.gate(batch_id, "fact lookups", quality.lookup_loss(orders, lines, upserts))
+    columns = [c for c in upserts.columns if c not in CHANGE_ORDER]
+    tombstones = step.batch_tombstones(events, lookups, facts, columns)
+    # Aside first: the append must not read facts and add to them in one plan.
+    output = house.aside(f"{batch_id}-facts", load.stamp(step.winning_rows(upserts, *tombstones)))
     rows = output.count()
     if rows:
         lake.append("fact_orders", output, batch_id)

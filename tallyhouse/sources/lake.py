@@ -8,6 +8,7 @@ overwrites its own folder. One writer at a time is assumed, as the jobs never ov
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -52,15 +53,17 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self.ledger = Ledger(spark, f"{root}/ledger")
+        self._folders: dict[str, str] | None = None
+
+    def refresh(self) -> None:
+        """Look at the ledger again; jobs do so when they start, as other jobs may have published since."""
+        self._folders = None
 
     # Versions come from the ledger, not from clocks, so a later write always wins.
     def next_version(self) -> int:
-        published = self.ledger.read("published")
-        batches = self.ledger.read("batches")
-        newest_versions = [
-            table.agg(F.max("version")).first()[0] for table in (published, batches) if table is not None
-        ]
-        return 1 + max((v for v in newest_versions if v is not None), default=0)
+        used = [rows.select("version") for rows in map(self.ledger.read, ("published", "batches")) if rows is not None]
+        newest_used = reduce(DataFrame.unionByName, used).agg(F.max("version")).first()[0] if used else 0
+        return 1 + newest_used
 
     def reserve_version(self, batch_id: str) -> int:
         version = self.next_version()
@@ -69,53 +72,63 @@ class Lake:
 
     def write_base(self, table: str, rows: DataFrame, version: int) -> DataFrame:
         """Write an unpublished base and return it as read back, with its lineage cut."""
-        folder = f"{self.root}/{table}/v{version}"
-        rows.write.mode("overwrite").parquet(f"{folder}/base")
-        return self.spark.read.parquet(f"{folder}/base")
+        folder = f"{self.root}/{table}/v{version}/base"
+        rows.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
 
     def publish(self, version: int, *tables: str) -> None:
         """Make the bases of this version current, all at once; their earlier change batches are left behind."""
-        rows = [(table, f"{self.root}/{table}/v{version}", version) for table in tables]
+        rows = [(table, f"{table}/v{version}", version) for table in tables]
         self.ledger.add("published", self.PUBLISHED, *rows)
+        self.refresh()
+
+    def folders(self) -> dict[str, str]:
+        """Current folder of every published table; the ledger has a handful of rows per table."""
+        if self._folders is None:
+            published = self.ledger.read("published")
+            if published is None:
+                return {}
+            current = published.groupBy("table_name").agg(F.max_by("folder", "version").alias("folder"))
+            self._folders = {row.table_name: f"{self.root}/{row.folder}" for row in current.collect()}
+        return self._folders
 
     def tables(self) -> list[str]:
-        """Names of the published tables; the ledger has a handful of rows per table."""
-        published = self.ledger.read("published")
-        if published is None:
-            return []
-        return [row[0] for row in published.select("table_name").distinct().orderBy("table_name").toLocalIterator()]
+        return sorted(self.folders())
 
     def folder(self, table: str) -> str:
-        published = self.ledger.read("published")
-        row = None
-        if published is not None:
-            row = published.where(F.col("table_name") == table).agg(F.max_by("folder", "version")).first()
-        if row is None or row[0] is None:
+        folders = self.folders()
+        if table not in folders:
             raise LookupError(f"table {table} was never published")
-        return row[0]
+        return folders[table]
 
     def base(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder(table)}/base")
 
-    def append(self, table: str, rows: DataFrame, batch_id: str) -> None:
-        """Add one batch of new row versions. The same batch id replaces what it wrote before."""
+    def append(self, table: str, rows: DataFrame, batch_id: str) -> DataFrame:
+        """Add one batch of new row versions and read it back. The same batch id replaces what it wrote before."""
         target = f"{self.folder(table)}/changes/{BATCH_COLUMN}={batch_id}"
         rows.write.mode("overwrite").parquet(target)
+        return self.spark.read.schema(rows.schema).parquet(target)
 
-    def changes(self, table: str) -> DataFrame | None:
+    def parts(self, table: str) -> tuple[DataFrame, DataFrame | None]:
+        """Base and change batches of a table; the batches keep their id in `apply_batch`."""
+        folder = self.folder(table)
+        base = self.spark.read.parquet(f"{folder}/base")
         try:
-            rows = self.spark.read.parquet(f"{self.folder(table)}/changes")
+            return base, self.spark.read.parquet(f"{folder}/changes")
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
-            return None
-        return rows.drop(BATCH_COLUMN)
+            return base, None
+
+    def changes(self, table: str) -> DataFrame | None:
+        changes = self.parts(table)[1]
+        return None if changes is None else changes.drop(BATCH_COLUMN)
 
     def history(self, table: str) -> DataFrame:
         """Every stored version of every row."""
-        changes = self.changes(table)
-        base = self.base(table)
-        return base if changes is None else base.unionByName(changes)
+        base, changes = self.parts(table)
+        return base if changes is None else base.unionByName(changes.drop(BATCH_COLUMN))
 
     def latest(self, table: str, keys: Sequence[str], resolve: Callable = latest_rows) -> DataFrame:
         """Newest version of each key, tombstones included.
@@ -123,9 +136,8 @@ class Lake:
         A base holds one row per key and every change is newer than the base, so only the
         change batches need ranking. Without change batches this is a plain scan.
         """
-        changes = self.changes(table)
-        base = self.base(table)
-        return base if changes is None else overlay(base, resolve(changes, keys), keys)
+        base, changes = self.parts(table)
+        return base if changes is None else overlay(base, resolve(changes.drop(BATCH_COLUMN), keys), keys)
 
     def compact(self, tables: dict[str, Iterable[str]]) -> int:
         """Fold the change batches of these tables (name -> keys) into new bases."""

@@ -39,23 +39,19 @@ def _logged(house: Warehouse, events: DataFrame, batch: str) -> DataFrame:
     The range is two scalars; it lets the scan skip files and row groups of older positions.
     """
     span = events.agg(F.min("start_lsn"), F.max("start_lsn")).first()
-    folder = house.events.folder(LOG_TABLE)
-    spark = house.spark
-    log = spark.read.parquet(f"{folder}/base").select(*changes.EVENT_IDENTITY)
-    if house.events.changes(LOG_TABLE) is not None:
-        later = spark.read.schema(f"{EMPTY_LOG}, {BATCH_COLUMN} string").parquet(f"{folder}/changes")
-        later = later.where(F.col(BATCH_COLUMN) != batch)
-        log = log.unionByName(later.select(*changes.EVENT_IDENTITY))
+    base, others = house.events.parts(LOG_TABLE)
+    log = base.select(*changes.EVENT_IDENTITY)
+    if others is not None:
+        log = log.unionByName(others.where(F.col(BATCH_COLUMN) != batch).select(*changes.EVENT_IDENTITY))
     return log.where(F.col("start_lsn").between(span[0] or "", span[1] or ""))
 
 
 def apply_batch(house: Warehouse, messages: DataFrame, batch_id: int | str) -> None:
     """Take one batch of messages. Dead letters are written before anything else moves on."""
     batch = f"b{batch_id}"
-    root, spark = house.root, house.spark
-    parsed_folder = f"{root}/batches/parsed-{batch}"
-    changes.parse_messages(messages).write.mode("overwrite").parquet(parsed_folder)
-    parsed = spark.read.parquet(parsed_folder)
+    house.refresh()
+    root = house.root
+    parsed = house.aside(f"parsed-{batch}", changes.parse_messages(messages))
 
     letters = changes.dead_letters(parsed, F.current_timestamp())
     letters.write.mode("overwrite").parquet(f"{root}/control/{LETTER_TABLE}/{BATCH_COLUMN}={batch}")
@@ -64,8 +60,7 @@ def apply_batch(house: Warehouse, messages: DataFrame, batch_id: int | str) -> N
     new = changes.unseen(events, _logged(house, events, batch)).withColumns(
         {"processed_at": F.current_timestamp(), "processing_error": F.lit(None).cast("string")}
     )
-    house.events.append(LOG_TABLE, new, batch)
-    logged = spark.read.parquet(f"{house.events.folder(LOG_TABLE)}/changes/{BATCH_COLUMN}={batch}")
+    logged = house.events.append(LOG_TABLE, new, batch)
     for capture in CAPTURES:
         house.staging.append(capture.staged, changes.row_changes(logged, capture), batch)
 
