@@ -63,6 +63,10 @@ class Inputs:
             self._tables[name] = lake.latest(name, TABLE_KEYS[name])
         return self._tables[name]
 
+    def adopt(self, house: Warehouse) -> None:
+        """Read star tables from a warehouse that is already loaded."""
+        self._tables = {name: house.latest(name) for name in TABLE_KEYS}
+
     @property
     def star(self) -> Star:
         return Star(self.star_table)

@@ -34,6 +34,12 @@ NO_START_LSN = "metadata.start_lsn is missing"
 NO_SEQVAL = "metadata.seqval is missing"
 INVALID_PAYLOAD = "invalid event payload"
 
+# Outline of a message. Values of another type read as NULL, field by field.
+ENVELOPE = (
+    "struct<capture_instance:string,operation_code:int,operation_type:string,event_time:string,"
+    "business_key:variant,payload:variant,metadata:struct<start_lsn:string,seqval:string>>"
+)
+
 # Payload columns an upsert cannot do without; a delete needs its key columns.
 REQUIRED_COLUMNS = {
     "orders": ("order_id",),
@@ -41,12 +47,9 @@ REQUIRED_COLUMNS = {
 }
 
 
-def _text(document: Column, path: str) -> Column:
-    return F.try_variant_get(document, f"$.{path}", "string")
-
-
-def _is_object(document: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
+def _is_object(json: Column) -> Column:
+    """Whether JSON text is an object, told by its first character: text in quotes is a string."""
+    return F.coalesce(json.rlike(r"^\s*\{"), F.lit(False))
 
 
 def _row_type(spec: TableSpec, columns=None, as_text: bool = False) -> str:
@@ -84,16 +87,18 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     position = ("key", "value", "topic", "partition", "offset", "received_at")
     documents = messages.select(*position, F.try_parse_json(F.when(F.is_valid_utf8(text), text)).alias("event"))
     event = F.col("event")
-    nested = {n: F.try_variant_get(event, f"$.{n}", "variant").alias(n) for n in ("business_key", "payload", "metadata")}
-    fields = documents.select(
-        *position, "event", *nested.values(),
-        _text(event, "capture_instance").alias("capture_instance"),
-        F.try_variant_get(event, "$.operation_code", "int").alias("operation_code"),
-        _text(event, "operation_type").alias("given_type"),
-        _text(event, "event_time").alias("event_time_text"),
-        F.nullif(_text(event, "metadata.start_lsn"), F.lit("")).alias("start_lsn"),
-        F.nullif(_text(event, "metadata.seqval"), F.lit("")).alias("seqval"),
-    )
+    outline = documents.select(*position, "event", F.try_variant_get(event, "$", ENVELOPE).alias("head"))
+    fields = outline.select(
+        *position,
+        "event",
+        *[F.col(f"head.{name}").alias(name) for name in ("capture_instance", "operation_code", "metadata")],
+        F.col("head.operation_type").alias("given_type"),
+        F.col("head.event_time").alias("event_time_text"),
+        *[F.col(f"head.{name}").alias(f"{name}_value") for name in ("business_key", "payload")],
+        *[F.to_json(F.col(f"head.{name}")).alias(name) for name in ("business_key", "payload")],
+        F.nullif(F.col("head.metadata.start_lsn"), F.lit("")).alias("start_lsn"),
+        F.nullif(F.col("head.metadata.seqval"), F.lit("")).alias("seqval"),
+    )
     operation = F.col("operation_code")
     typed, bad_payload = {"event_time": F.col("event_time_text").try_cast("timestamp")}, F.lit(False)
     for capture in CAPTURES:
@@ -101,9 +106,9 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         this = F.col("capture_instance") == capture.instance
         row, key = f"{spec.name}_row", f"{spec.name}_key"
         upsert, delete = this & operation.isin(INSERT, UPDATE_AFTER), this & (operation == DELETE)
-        typed[row] = F.when(upsert, _row(F.col("payload"), spec))
-        typed[f"{row}_text"] = F.when(upsert, _row(F.col("payload"), spec, as_text=True))
-        typed[key] = F.when(delete, _row(F.col("business_key"), spec, spec.keys))
+        typed[row] = F.when(upsert, _row(F.col("payload_value"), spec))
+        typed[f"{row}_text"] = F.when(upsert, _row(F.col("payload_value"), spec, as_text=True))
+        typed[key] = F.when(delete, _row(F.col("business_key_value"), spec, spec.keys))
         bad_row = _incomplete(F.col(row), spec, REQUIRED_COLUMNS[spec.name]) | _unconverted(
             F.col(row), F.col(f"{row}_text"), spec
         )
@@ -113,13 +118,13 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col("value").isNull(), EMPTY_VALUE)
         .when(event.isNull(), INVALID_JSON)
-        .when(~_is_object(event), NOT_AN_OBJECT)
+        .when(~_is_object(text), NOT_AN_OBJECT)
         .when(~known, UNSUPPORTED_INSTANCE)
         .when(operation.isNull(), INVALID_OPERATION)
         .when(~operation.isin(*OPERATION_NAMES), UNSUPPORTED_OPERATION)
         .when(~_is_object(F.col("business_key")), KEY_NOT_OBJECT)
         .when(~_is_object(F.col("payload")), PAYLOAD_NOT_OBJECT)
-        .when(~_is_object(F.col("metadata")), METADATA_NOT_OBJECT)
+        .when(F.col("metadata").isNull(), METADATA_NOT_OBJECT)
         .when(F.col("start_lsn").isNull(), NO_START_LSN)
         .when(F.col("seqval").isNull(), NO_SEQVAL)
         .when(bad_payload, INVALID_PAYLOAD)
@@ -130,8 +135,8 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         *EVENT_IDENTITY,
         F.coalesce("given_type", operation_name(operation)).alias("operation_type"),
         "event_time",
-        F.to_json("business_key").alias("business_key"),
-        F.to_json("payload").alias("payload"),
+        "business_key",
+        "payload",
         reason.alias("reject_reason"),
     )
     return fields.withColumns(typed).select(*position, F.inline(F.array(parsed)))
