@@ -48,7 +48,8 @@ def resolve_ranges(log: DataFrame, marks: DataFrame, start_mode: str = "latest")
 
 def changes_in(log: DataFrame, ranges: DataFrame) -> DataFrame:
     """Change rows of the ranges to read. Order stays in the LSN columns; see `in_log_order`."""
-    reading = ranges.where(F.col("action") == READ)
+    # One row per captured table, however long the log: broadcasting it keeps the log where it is.
+    reading = F.broadcast(ranges.where(F.col("action") == READ))
     later = F.col("from_start") | (F.col("start_lsn") > F.col("after_lsn"))
     return (
         log.join(reading, "capture_instance")

@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import dimensions as dims
 from tallyhouse.operators import quality
-from tallyhouse.operators.changes import apply_changes
+from tallyhouse.operators.changes import apply_changes, last_change
 from tallyhouse.operators.facts import Lookups, employee_territory_facts, full_order_facts
 from tallyhouse.plans.star import TABLE_KEYS, Star
 from tallyhouse.sources.lake import Lake, Ledger
-from tallyhouse.sources.schemas import BY_NAME, SPECS
+from tallyhouse.sources.schemas import BY_NAME, CAPTURES
 from tallyhouse.sources.snapshot import stage
 
 # Warehouse table -> staged table with the same number of rows.
@@ -120,6 +120,11 @@ class Warehouse:
         base = base.select(*BY_NAME[table].schema.names)
         return base if changes is None else apply_changes(base, changes, BY_NAME[table].keys)
 
+    def fold_staging(self) -> None:
+        """Fold the applied change events of staging, so that reads stay cheap as batches add up."""
+        captured = {c.staged: BY_NAME[c.staged].keys for c in CAPTURES}
+        self.staging.fold_changes(captured, last_change)
+
     def aside(self, name: str, rows: DataFrame) -> DataFrame:
         """Write the intermediate rows of a batch and read them back: retries see the same rows."""
         folder = f"{self.root}/batches/{name}"
@@ -210,6 +215,3 @@ def load_star(house: Warehouse, tables=None, batch_id: str | None = None, key_me
 def run_full(house: Warehouse, read: Callable[[str], DataFrame]) -> None:
     load_staging(house, read)
     load_star(house)
-
-
-ALL_STAGED = tuple(spec.name for spec in SPECS)

@@ -31,6 +31,7 @@ def event_states(events: DataFrame, batch_id: str, error: str | None = None) ->
     """One appended row per event of a batch: done, or the error it failed with."""
     return events.select(
         *EVENT_IDENTITY,
+        *[c for c in ("log_version",) if c in events.columns],
         F.lit(batch_id).alias("dw_batch_id"),
         (F.lit(None) if error else F.current_timestamp()).cast("timestamp").alias("dw_processed_at"),
         F.lit(None if error is None else error[:ERROR_LENGTH]).cast("string").alias("dw_processing_error"),
@@ -60,8 +61,30 @@ def with_states(events: DataFrame, states: DataFrame | None) -> DataFrame:
     )
 
 
-def event_log(house: Warehouse) -> DataFrame:
-    return with_states(house.events.history("raw_events"), house.control.read("event_states"))
+def event_log(house: Warehouse, since: int = 0) -> DataFrame:
+    """Logged events with their warehouse state, from a log version on.
+
+    Versions grow with every logged batch, so the filter prunes the files of settled batches
+    of both tables.
+    """
+    events = house.events.history("raw_events").where(F.col("log_version") >= since)
+    states = house.control.read("event_states")
+    return with_states(events, None if states is None else states.where(F.col("log_version") >= since))
+
+
+def settled_before(house: Warehouse) -> int:
+    """Log version before which the warehouse has taken every event."""
+    marks = house.control.read("event_marks")
+    return 0 if marks is None else marks.agg(F.max("log_version")).first()[0]
+
+
+def _advance_mark(house: Warehouse, since: int) -> None:
+    """Move the mark to the first version with events left, or past all logged ones."""
+    left = F.min(F.when(F.col("dw_processed_at").isNull() & F.col("processing_error").isNull(), F.col("log_version")))
+    first_left, last = event_log(house, since).agg(left, F.max("log_version")).first()
+    mark = first_left if first_left is not None else last + 1
+    if mark > since:
+        house.control.add("event_marks", "log_version long", (mark,))
 
 
 def run_incremental(
@@ -75,7 +98,8 @@ def run_incremental(
     """
     batch_id, size = str(uuid.uuid4()), step.clamp_batch(batch_size)
     house.refresh()
-    waiting = event_log(house)
+    since = settled_before(house)
+    waiting = event_log(house, since)
     if max_attempts is not None:
         waiting = waiting.where(F.col("dw_attempt_count") < max_attempts)
     events = house.aside(batch_id, pending(waiting, size))
@@ -96,6 +120,7 @@ def run_incremental(
         house.record_service(SERVICE, "failed", details, message)
         raise
     house.control.append("event_states", event_states(events, batch_id))
+    _advance_mark(house, since)
     house.record_service(SERVICE, "success", {**details, "rows_written": rows})
     return Outcome(batch_id, span.events, rows)
 

@@ -70,6 +70,12 @@ class Lake:
         self.ledger.add("batches", "batch_id string, version long", (batch_id, version))
         return version
 
+    def version_of(self, batch_id: str) -> int:
+        """The version of a batch; a batch that runs again keeps the one it had."""
+        batches = self.ledger.read("batches")
+        known = None if batches is None else batches.where(F.col("batch_id") == batch_id).agg(F.min("version")).first()[0]
+        return self.reserve_version(batch_id) if known is None else known
+
     def write_base(self, table: str, rows: DataFrame, version: int) -> DataFrame:
         """Write an unpublished base and return it as read back, with its lineage cut."""
         folder = f"{self.root}/{table}/v{version}/base"
@@ -141,8 +147,27 @@ class Lake:
 
     def compact(self, tables: dict[str, Iterable[str]]) -> int:
         """Fold the change batches of these tables (name -> keys) into new bases."""
-        version = self.next_version()
+        version = self.reserve_version("compact")
         for table, keys in tables.items():
             self.write_base(table, self.latest(table, list(keys)), version)
         self.publish(version, *tables)
         return version
+
+    def fold_changes(self, tables: dict[str, Iterable[str]], resolve: Callable) -> int:
+        """Fold the change batches of these tables into one batch, and drop the base rows it replaces.
+
+        The folded batch keeps the positions of the changes and their tombstones, so a change that
+        arrives late still loses against a newer one.
+        """
+        version = self.reserve_version("fold")
+        for table, keys in tables.items():
+            base, changes = self.parts(table)
+            if changes is None:
+                self.write_base(table, base, version)
+                continue
+            final = resolve(changes.drop(BATCH_COLUMN), list(keys))
+            self.write_base(table, base.join(final.select(*keys), list(keys), "left_anti").select(*base.columns), version)
+            target = f"{self.root}/{table}/v{version}/changes/{BATCH_COLUMN}=folded{version}"
+            final.write.mode("overwrite").parquet(target)
+        self.publish(version, *tables)
+        return version

@@ -21,7 +21,8 @@ SERVICE = "cdc-consumer"
 EMPTY_LOG = (
     "event_id string, capture_instance string, start_lsn string, seqval string, operation_code int, "
     "operation_type string, event_time timestamp, business_key string, payload string, topic string, "
-    "partition int, offset long, received_at timestamp, processed_at timestamp, processing_error string"
+    "partition int, offset long, received_at timestamp, processed_at timestamp, processing_error string, "
+    "log_version long"
 )
 
 
@@ -58,7 +59,11 @@ def apply_batch(house: Warehouse, messages: DataFrame, batch_id: int | str) -> N
 
     events = changes.accepted(parsed)
     new = changes.unseen(events, _logged(house, events, batch)).withColumns(
-        {"processed_at": F.current_timestamp(), "processing_error": F.lit(None).cast("string")}
+        {
+            "processed_at": F.current_timestamp(),
+            "processing_error": F.lit(None).cast("string"),
+            "log_version": F.lit(house.events.version_of(batch)).cast("long"),
+        }
     )
     logged = house.events.append(LOG_TABLE, new, batch)
     for capture in CAPTURES:

@@ -6,7 +6,7 @@ from conftest import rows_of
 from fixtures import line_event, messages, order_event, staging
 from tallyhouse.operators.quality import QualityError
 from tallyhouse.plans.full_load import Warehouse, run_full
-from tallyhouse.plans.incremental_load import event_log, run_incremental
+from tallyhouse.plans.incremental_load import event_log, run_incremental, settled_before
 from tallyhouse.plans.marts import total_revenue
 from tallyhouse.streaming import ingest
 
@@ -112,6 +112,8 @@ def test_change_scenarios(house):
 
     # The same stream batch again, as after a failure.
     assert take(house, 2, line_event(41, 1, 9, 1), line_event(42, 2, 9, 1, quantity=8), line_event(43, 1, 2, 1), order_event(44, 1, 2)).events_read == 0
+    mark = settled_before(house)
+    assert mark > 0 and event_log(house, mark).isEmpty()
     assert live(house) == state and house.events.history("raw_events").count() == 19
     assert house.control.read("pipeline_logs").where("details LIKE '%\"duplicates\":7%'").count() == 1
 
@@ -135,6 +137,7 @@ def test_empty_batch_changes_nothing(house):
 def test_failed_batch_stays_pending(house):
     with pytest.raises(QualityError):
         take(house, 0, line_event(41, 2, 1, 77))
+    assert settled_before(house) == 0
     waiting = event_log(house).where("dw_processed_at IS NULL").first()
     assert waiting.dw_attempt_count == 1 and "fact lookups" in waiting.dw_processing_error
     assert live(house) == LOADED
@@ -149,6 +152,12 @@ def test_compaction_keeps_the_state(house):
     house.star_lake.compact({"fact_orders": ("order_id", "product_key")})
     assert (live(house), tombstones(house)) == (before, dead)
     assert house.star_lake.changes("fact_orders") is None
+    lines = rows_of(house.staged("order_details"))
+    house.fold_staging()
+    assert rows_of(house.staged("order_details")) == lines
+    # An event older than a folded one still loses.
+    ingest.apply_batch(house, messages(house.spark, line_event(50, 2, 1, 1, quantity=1)), 1)
+    assert rows_of(house.staged("order_details")) == lines
 
 
 def test_incremental_equals_full_rebuild(spark, house, tmp_path):
