@@ -218,3 +218,20 @@ def test_envelopes_are_accepted_back(spark, frame):
     back = parse_messages(sent).first()
     assert back.reject_reason is None and back.operation_type == "INSERT" and back.key == "7"
     assert back.event_time == datetime(2024, 1, 1, 2, 3, 4, 500000) and '"UnitPrice":"1.5000"' in back.payload
+
+
+def test_asset_files(spark, frame, tmp_path):
+    from tallyhouse.sources.asset_files import write_assets
+
+    photos = frame("employee_id int, photo binary", (1, bytearray(b"w" * 78 + _bmp(body=50))), (2, bytearray(b"text")), (3, None))
+    carved = assets.carve_images(photos, "photo")
+    manifest = assets.asset_manifest(carved, "employee_id", "photo", "employee-photos")
+    root = tmp_path.as_uri()
+    for _ in range(2):
+        write_assets(carved, manifest, "employee_id", "photo", root)
+    files = {str(p.relative_to(tmp_path)): p.read_bytes() for p in tmp_path.rglob("employee_*")}
+    assert files["curated/employee-photos/employee_1.bmp"] == _bmp(body=50)[:60]
+    assert files["raw/employee-photos/employee_1.bin"] == b"w" * 78 + _bmp(body=50)
+    assert files["curated/employee-photos/employee_2.bin"] == b"text" and len(files) == 4
+    entries = spark.read.json(f"{root}/manifests")
+    assert rows_of(entries, "employee_id", "format", "curated_bytes") == [(1, "bmp", 60), (2, "unknown", 4)]
