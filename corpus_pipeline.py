@@ -6,11 +6,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import quality_rules
+from tallyhouse.llm import classifier, jaccard_join, packing, quality_rules, suffix_dedup
 from tallyhouse.session import shared_folder
 
 STAGES = [
     ("quality rules", quality_rules.stage),
+    ("quality classifier", classifier.stage),
+    ("n-gram Jaccard join", jaccard_join.stage),
+    ("suffix-array dedup", suffix_dedup.stage),
+    ("packing", packing.stage),
 ]
 
 #: A trained classifier decides in the second stage, so the rows are tested against a brute-force version.
