@@ -1,12 +1,13 @@
 """The queries of this folder and the SQL they are checked against."""
 
-from tallyhouse.llm import chat, classifier, jaccard_join, license_scan, packing, quality_rules, suffix_dedup
+from tallyhouse.llm import bpe, chat, classifier, jaccard_join, license_scan, packing, quality_rules, suffix_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op3_chat_formatting": chat.op3_chat_formatting,
     "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
     "op5_quality_classifier": classifier.op5_quality_classifier,
+    "op7_bpe": bpe.op7_bpe,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_packing": packing.op9_packing,
     "op10_license_scan": license_scan.op10_license_scan,
