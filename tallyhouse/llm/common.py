@@ -6,6 +6,7 @@ import sys
 import types
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,10 +32,17 @@ def worker_cache(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
-def bytes_hash(*columns) -> F.Column:
-    """128 bits as two longs that tell values apart; `columns` are cast to strings."""
-    digest = F.sha2(F.concat_ws("\x00", *columns), 256)
-    return F.substring(digest, 1, 32)
+def forest(similar: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that connect what the symmetric matrix connects: each item to the first of its component."""
+    edges, reached = [], np.zeros(len(similar), bool)
+    for root in np.flatnonzero(similar.any(0)):
+        if not reached[root]:
+            reached[root], front = True, np.array([root])
+            while len(front):
+                front = np.flatnonzero(similar[front].any(0) & ~reached)
+                reached[front] = True
+                edges.extend((int(root), int(k)) for k in front)
+    return edges
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

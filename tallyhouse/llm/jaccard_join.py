@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import components, table, written
+from tallyhouse.llm.common import components, forest, table, written
 from tallyhouse.llm.shingles import digest, mix, shingle_set
 
 SIMILARITY = 0.8
@@ -184,16 +184,7 @@ def _compare(path: int, sides: list[int], sets: list[np.ndarray], paths: list[np
     for k, p in enumerate(earlier):
         place[k, np.searchsorted(known, p)] = 1
     counted = similar & ((place @ place.T) == 0)
-    edges, reached = [], np.zeros(m, bool)
-    for root in range(m):
-        if not reached[root]:
-            reached[root], front = True, [root]
-            while front:
-                near = np.flatnonzero(similar[front].any(0) & ~reached)
-                reached[near] = True
-                edges.extend((root, int(k)) for k in near)
-                front = list(near)
-    return counted.sum(1), edges
+    return counted.sum(1), forest(similar)
 
 
 def similar_sets(leaves: DataFrame, texts: DataFrame) -> DataFrame:

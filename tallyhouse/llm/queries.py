@@ -1,12 +1,14 @@
 """The queries of this folder and the SQL they are checked against."""
 
-from tallyhouse.llm import bpe, chat, classifier, jaccard_join, license_scan, packing, quality_rules, suffix_dedup
+from tallyhouse.llm import bpe, chat, classifier, fixity, jaccard_join, license_scan, near_vectors, packing, quality_rules, suffix_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_merkle_fixity": fixity.op2_merkle_fixity,
     "op3_chat_formatting": chat.op3_chat_formatting,
     "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
     "op5_quality_classifier": classifier.op5_quality_classifier,
+    "op6_near_vectors": near_vectors.op6_near_vectors,
     "op7_bpe": bpe.op7_bpe,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_packing": packing.op9_packing,
@@ -14,6 +16,8 @@ QUERIES = {
 }
 ORACLE = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op2_merkle_fixity": fixity.ORACLE,
+    "op6_near_vectors": near_vectors.ORACLE,
     "op3_chat_formatting": chat.ORACLE,
     "op10_license_scan": license_scan.ORACLE,
 }
