@@ -18,20 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a Parquet table in the shared folder, read again: cuts lineage, and survives the loss of executors."""
+    """`df` as a Parquet table in the shared folder, read again: cuts lineage, and survives the loss of executors. The
+    shuffle files of the write go when it ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def worker_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker; the functions themselves are unpickled anew for each task."""
-    module = sys.modules.setdefault("_tallyhouse_llm_cache", types.ModuleType("_tallyhouse_llm_cache"))
-    return module.__dict__.setdefault(name, {})
-
-
 def forest(similar: np.ndarray) -> list[tuple[int, int]]:
     """Edges that connect what the symmetric matrix connects: each item to the first of its component."""
     edges, reached = [], np.zeros(len(similar), bool)

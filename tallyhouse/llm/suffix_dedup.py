@@ -17,7 +17,7 @@ Ranks are 64-bit hashes where a wrong match costs only work (1 and 3), and 128 b
 
 Skew: before each sort, a task finds the ranks that repeat within its own batch. Their outcome is known there, so only one
 row per batch goes to the rank's partition and the rest are dealt by position: a passage in a third of all documents
-is no hot key. The whole is one plan, in which the texts are dealt by id once (one exchange, used three times).
+is no hot key. What a round leaves is written, and its shuffle files go.
 
 Defined results: a null or empty text has no bytes. A row with a null id neither removes nor is removed from. Rows with the
 same id do not match each other (texts under one id are told apart by 15 bits of a hash); repeated rows get the same result.
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import table
+from tallyhouse.llm.common import table, written
 from tallyhouse.llm.shingles import mix
 
 LENGTH = 50
@@ -90,8 +90,8 @@ def names(data: np.ndarray, start: np.ndarray, length: int, lane: int) -> np.nda
 
 
 # A place in a document as one long: 15 bits of the text's hash, 34 of the first byte, 7 of the strings, 7 before the anchor.
-def _pack(mark: int, start: np.ndarray, count: np.ndarray, before: np.ndarray) -> np.ndarray:
-    return (np.int64(mark) << 48) | (start.astype(np.int64) << 14) | (count.astype(np.int64) << 7) | before.astype(np.int64)
+def _pack(mark: int | np.ndarray, start: np.ndarray, count: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return (np.asarray(mark, np.int64) << 48) | (start.astype(np.int64) << 14) | (count.astype(np.int64) << 7) | before.astype(np.int64)
 
 
 def _unpack(place: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -166,25 +166,34 @@ def repeated_seeds(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc long, place long")
 
 
+def by_document(places: DataFrame, name: str) -> DataFrame:
+    """(doc, places): `places` (doc, place) gathered by document, written."""
+    return written(places.groupBy("doc").agg(F.collect_list("place").alias("places")), name)
+
+
 def at_places(docs: DataFrame, places: DataFrame, make, fields: str) -> DataFrame:
-    """Rows that `make(data, doc, start, count, before)` gives for each text and its places (doc, place)."""
-    by_doc = places.groupBy("doc").agg(F.collect_list("place").alias("places"))
-    rows = docs.select("doc_id", "text").join(by_doc.hint("shuffle_hash"), docs["doc_id"] == by_doc["doc"]).select("doc_id", "text", "places")
+    """Rows that `make(data, limit, doc, mark, first, start, count, before)` gives for the places (doc, places) of a batch of
+    texts, which lie one after another in `data`: `first` and `limit` are where the text of a place begins and ends in it,
+    and `start` is the place's first byte in `data`."""
+    rows = docs.select("doc_id", "text").join(places.hint("shuffle_hash"), docs["doc_id"] == places["doc"]).select("doc_id", "text", "places")
     columns = [f.split()[0] for f in fields.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                found = []
-                part = batch.slice(at, 500)
-                for d, t, p in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
-                    data, mark = _bytes(t)
-                    marks, start, count, before = _unpack(p.values.to_numpy(zero_copy_only=False))
-                    mine = marks == mark
-                    if mine.any():
-                        found.append(make(data, d, start[mine], count[mine], before[mine], mark))
-                if found:
-                    rows = [np.concatenate(x) for x in zip(*found, strict=True)]
+            for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
+                texts = [_bytes(t) for t in part.column(1).to_pylist()]
+                sizes = np.array([len(d) for d, _ in texts], np.int64)
+                base = np.cumsum(sizes) - sizes
+                lists = part.column(2)
+                which = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+                mark, start, count, before = _unpack(lists.flatten().to_numpy(zero_copy_only=False))
+                mine = mark == np.array([m for _, m in texts])[which]
+                which, mark, start, count, before = which[mine], mark[mine], start[mine], count[mine], before[mine]
+                if len(which):
+                    data = np.concatenate([d for d, _ in texts])
+                    doc = part.column(0).to_numpy(zero_copy_only=False)[which]
+                    first = base[which]
+                    rows = make(data, first + sizes[which], doc, mark, first, first + start, count, before)
                     order = np.lexsort((rows[1], rows[0]))
                     rows = [r[order] for r in rows]
                     key = np.cumsum(np.concatenate(([0], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]))))
@@ -216,33 +225,34 @@ def owned(rows: DataFrame, rest: list[str]) -> DataFrame:
 
 
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, mark, start, stop): byte ranges of strings that start in a document with a smaller id too. `docs` (doc_id, text)."""
+    """(doc, places): the strings, as runs, that start in a document with a smaller id too. `docs` (doc_id, text)."""
     reach = (length - SEED + 1) // 2
 
-    def run_rows(data, doc, start, count, before, mark):
+    def run_rows(data, limit, doc, mark, first, start, count, before):
         ends = [names(data, start, length, k) + names(data, start + count - 1, length, k) * _ODD[k] + count.astype(np.uint64) for k in (0, 1)]
         anchor = start + before
         sides = []
         for side, has in ((anchor - reach, before >= reach), (anchor, count - 1 >= before - (length - SEED - reach))):
-            has &= (side >= 0) & (side + reach + SEED <= len(data))
-            key = names(data, np.where(has, side, 0), reach + SEED, 2) if len(data) >= reach + SEED else np.zeros(len(start), np.uint64)
-            sides.append(np.where(has, key, np.uint64(0)))
-        return (*(mix(e, 43) for e in ends), np.full(len(start), doc), _pack(mark, start, count, before), *sides)
+            has &= (side >= first) & (side + reach + SEED <= limit)
+            sides.append(np.where(has, names(data, np.where(has, side, start), reach + SEED, 2), np.uint64(0)))
+        return (*(mix(e, 43) for e in ends), doc, _pack(mark, start - first, count, before), *sides)
 
-    def string_rows(data, doc, start, count, before, mark):
-        first = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        one = np.ones(len(first), np.int64)
-        return names(data, first, length, 0), names(data, first, length, 1), np.full(len(first), doc), _pack(mark, first, one, one * 0)
+    def string_rows(data, limit, doc, mark, first, start, count, before):
+        each = np.repeat(np.arange(len(start)), count)
+        at = start[each] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        one = np.ones(len(at), np.int64)
+        return names(data, at, length, 0), names(data, at, length, 1), doc[each], _pack(mark[each], at - first[each], one, one * 0)
 
     longs = lambda *c: ", ".join(f"{x} long" for x in c)
-    found = at_places(docs, repeated_seeds(seeds(docs, length)), run_rows, longs("name1", "name2", "doc", "place", "left", "right", "later"))
-    ranked = owned(found, ["place", "left", "right"])
+    places = by_document(repeated_seeds(seeds(docs, length)), "seeds")
+    found = at_places(docs, places, run_rows, longs("name1", "name2", "doc", "place", "left", "right", "later"))
+    ranked = written(owned(found, ["place", "left", "right"]), "runs")
     sides = ranked.where("later = 0").select("doc", "place", F.explode(F.array("left", "right")).alias("side")).where("side <> 0")
     shared = sides.groupBy("side").count().where("count > 1").select("side")
-    ends = sides.join(shared, "side", "left_semi").select("doc", "place").distinct()
+    ends = by_document(sides.join(shared, "side", "left_semi").select("doc", "place").distinct(), "ends")
     named = at_places(docs, ends, string_rows, longs("name1", "name2", "doc", "place", "later"))
-    single = owned(named, ["place"])
-    return ranked.where("later = 1").select("doc", "place").unionByName(single.where("later = 1").select("doc", "place"))
+    single = written(owned(named, ["place"]).where("later = 1").select("doc", "place"), "strings")
+    return by_document(ranked.where("later = 1").select("doc", "place").unionByName(single), "repeats")
 
 
 def merged(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
@@ -257,7 +267,7 @@ def merged(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
 def removed(docs: DataFrame, fields: list[T.StructField], make, length: int = LENGTH) -> DataFrame:
     """All columns of `docs` (doc_id, text and others) and `fields`, which `make(data, spans)` gives for each text and the byte
     ranges to remove."""
-    cuts = repeats(docs, length).groupBy("doc").agg(F.collect_list("place").alias("_places"))
+    cuts = repeats(docs, length).withColumnRenamed("places", "_places")
     rows = docs.join(cuts.hint("shuffle_hash"), docs["doc_id"] == cuts["doc"], "left").drop("doc")
     own = [f"in_{c}" for c in docs.columns]
     rows = rows.select(*(F.col(c).alias(f"in_{c}") for c in docs.columns), "_places")
