@@ -9,9 +9,9 @@ sorts (rank, position) pairs, and what is unique is dropped before the next, lon
    it. Equal strings have the same anchor, so the anchor of a string that repeats has a rank that other documents have too.
 2. the run of all strings that share an anchor, as one rank. A run that also occurs in a document with a smaller id is
    removed whole; one document per distinct run (its owner) goes on.
-3. length SEED + REACH, to both sides of the anchor: any string of `length` holds one of the two in full. Runs of which
-   neither occurs in another distinct run have no other repeats.
-4. the strings of `length` bytes themselves in the remaining runs, the ends of passages.
+3. about two thirds of `length`, to both sides of the anchor: any string of `length` holds one of the two in full. Only
+   strings that hold a side which the run of another document has too go on.
+4. these strings of `length` bytes themselves, at the ends of passages.
 
 Ranks are 64-bit hashes where a wrong match costs only work (1 and 3), and 128 bits where it decides (2 and 4).
 
@@ -232,7 +232,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         ends = [names(data, start, length, k) + names(data, start + count - 1, length, k) * _ODD[k] + count.astype(np.uint64) for k in (0, 1)]
         anchor = start + before
         sides = []
-        for side, has in ((anchor - reach, before >= reach), (anchor, count - 1 >= before - (length - SEED - reach))):
+        for side, has in ((anchor - reach, before >= reach), (anchor, count > before - reach + 1)):
             has &= (side >= first) & (side + reach + SEED <= limit)
             sides.append(np.where(has, names(data, np.where(has, side, start), reach + SEED, 2), np.uint64(0)))
         return (*(mix(e, 43) for e in ends), doc, _pack(mark, start - first, count, before), *sides)
@@ -247,9 +247,15 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     places = by_document(repeated_seeds(seeds(docs, length)), "seeds")
     found = at_places(docs, places, run_rows, longs("name1", "name2", "doc", "place", "left", "right", "later"))
     ranked = written(owned(found, ["place", "left", "right"]), "runs")
-    sides = ranked.where("later = 0").select("doc", "place", F.explode(F.array("left", "right")).alias("side")).where("side <> 0")
-    shared = sides.groupBy("side").count().where("count > 1").select("side")
-    ends = by_document(sides.join(shared, "side", "left_semi").select("doc", "place").distinct(), "ends")
+    # The strings that hold a side: up to the one that begins `reach` before the anchor, and those after it.
+    count, before = F.shiftright("place", 7).bitwiseAND(127), F.col("place").bitwiseAND(127)
+    skip = F.greatest(before - reach + 1, F.lit(0))
+    to_left = F.col("place") - F.shiftleft(count - F.least(count, skip), 7)
+    to_right = F.col("place") + F.shiftleft(skip, 14) - F.shiftleft(skip, 7) - skip
+    pairs = F.array(F.struct(F.col("left").alias("side"), to_left.alias("place")), F.struct(F.col("right").alias("side"), to_right.alias("place")))
+    sides = ranked.where("later = 0").select("doc", F.explode(pairs).alias("p")).select("doc", "p.side", "p.place").where("side <> 0")
+    shared = sides.groupBy("side").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("side")
+    ends = by_document(sides.join(shared, "side", "left_semi").select("doc", "place"), "ends")
     named = at_places(docs, ends, string_rows, longs("name1", "name2", "doc", "place", "later"))
     single = written(owned(named, ["place"]).where("later = 1").select("doc", "place"), "strings")
     return by_document(ranked.where("later = 1").select("doc", "place").unionByName(single), "repeats")
