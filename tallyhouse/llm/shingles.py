@@ -20,10 +20,17 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_BYTE = mix(np.arange(256))
+_known: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    """The first n powers; the longest array of a base is kept (PIECE numbers, but for words longer than that)."""
+    if len(_known.get(base, ())) < n:
+        out = np.full(max(n, 1 << 14), base, np.uint64)
+        out[0] = 1
+        _known[base] = np.multiply.accumulate(out)
+    return _known[base][:n]
 
 
 def word_hashes(data: bytes) -> np.ndarray:
@@ -43,7 +50,7 @@ def word_hashes(data: bytes) -> np.ndarray:
         edge = np.flatnonzero(word[1:] != word[:-1])
         start, stop = edge[::2], edge[1::2]
         if len(start):
-            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(piece) * _powers(_BASE, len(piece)), dtype=np.uint64)))
+            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[piece] * _powers(_BASE, len(piece)), dtype=np.uint64)))
             parts.append(mix((total[stop] - total[start]) * _powers(_BASE_INVERSE, len(piece))[start] + (stop - start).astype(np.uint64)))
         at = end
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
@@ -56,11 +63,14 @@ def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
         return mix(np.array([sum(int(w) * (2 * k + 3) for k, w in enumerate(words)) % (1 << 64)], np.uint64), 7) if len(words) else words
     total = np.zeros(len(words) - size + 1, np.uint64)
     for k in range(size):
-        total = mix(total + words[k : len(words) - size + 1 + k], k + 1)
-    return np.unique(total)
+        total += words[k : len(words) - size + 1 + k] * np.uint64(2 * k + 3)
+        total ^= total >> np.uint64(29)
+    total = np.sort(mix(total, 3))
+    return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
 def digest(values: np.ndarray) -> bytes:
     """128 bits that are the same for equal sets."""
-    parts = [int(mix(values, seed).sum(dtype=np.uint64)) for seed in (11, 13)]
+    mixed = mix(values, 11)
+    parts = int(mixed.sum(dtype=np.uint64)), int((mixed * (values | np.uint64(1))).sum(dtype=np.uint64))
     return b"".join(p.to_bytes(8, "little") for p in parts)
