@@ -13,6 +13,7 @@ Defined results: null and empty texts are the end id alone; repeated rows and nu
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ from tallyhouse.llm.common import table, worker_cache
 WINDOW = 2048
 END_ID = 1
 #: Words whose ids a worker remembers; beyond it starts again with none.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 700_000
 #: White space for Python's split, but not for the tokenizer.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -50,6 +51,7 @@ class WordEncoder:
         import regex
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -59,21 +61,25 @@ class WordEncoder:
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _split(self, word: str) -> list[str]:
         """Parts that are encoded alone. Below U+0300 nothing composes, so lower case can come first."""
-        if "<|" in word or max(word) >= "\u0300":
+        if "<|" in word or not word.isascii() and max(word) >= "\u0300":
             return [word]
-        return self.parts.findall(word.lower())
+        word = word.lower()
+        return [word] if word.isalpha() else self.parts.findall(word)
 
     def learn(self, words: list[str]) -> None:
         parts = {w: self._split(w) for w in words}
         new = list({p for each in parts.values() for p in each if p not in self.known})
+        if len(self.known) + len(new) > WORDS_KEPT:
+            self.known.clear()
+            new = list({p for each in parts.values() for p in each})
         if new:
             self.known.update(zip(new, self._encode(new), strict=True))
         for word, each in parts.items():
-            self.words[word] = b"".join([self.known[p] for p in each])
+            self.words[word] = b"".join([self.known[p] for p in each]) if len(each) != 1 else self.known[each[0]]
 
     def __call__(self, text: str) -> bytes:
         if _SEPARATORS.search(text):
@@ -86,7 +92,6 @@ class WordEncoder:
             missing = [w for w in distinct if w not in self.words]
             if len(self.words) + len(missing) > WORDS_KEPT:
                 self.words.clear()
-                self.known.clear()
                 missing = list(distinct)
             self.learn(missing)
             return b"".join([self.words[w] for w in words])
