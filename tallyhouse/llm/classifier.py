@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import table
+from tallyhouse.llm.common import ready, table
 from tallyhouse.llm.quality_rules import WORD, measure_text
 
 SAMPLE_ROWS = 20_000
@@ -150,5 +150,6 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score THRESHOLD or more."""
+    ready(spark)
     model = train(docs, table(spark, sf_dir, "labels"))
     return scored(docs, model).where(F.col("score") >= THRESHOLD).select(*(F.col(f"in_{c}").alias(c) for c in docs.columns))

@@ -13,8 +13,17 @@ from pyspark.sql import functions as F
 from tallyhouse.session import configure, shared_folder
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows that Spark hands a Python worker at a time; the default of 10,000 whole texts is too much for small executors.
+BATCH_ROWS = 1000
+
+
+def ready(spark: SparkSession) -> None:
     configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import components, forest, table, written
+from tallyhouse.llm.common import components, forest, ready, table, written
 from tallyhouse.llm.shingles import digest, mix, shingle_set
 
 SIMILARITY = 0.8
@@ -32,7 +32,7 @@ DEPTH = 3
 #: Sets in a bucket that is not split further.
 SMALL = 64
 #: Sets and shingles in a block.
-BLOCK, BLOCK_SHINGLES = 512, 4_000_000
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 
 
 def chosen(values: np.ndarray, path: int) -> np.ndarray:
@@ -165,7 +165,7 @@ def _compare(path: int, sides: list[int], sets: list[np.ndarray], paths: list[np
     order = np.argsort(token, kind="stable")
     owner, token = owner[order], token[order]
     both = np.zeros((m, m), np.float32)
-    wide = max(64, min(8192, 16_000_000 // m))
+    wide = max(64, min(8192, 4_000_000 // m))
     for low in range(0, int(token[-1]) + 1 if len(token) else 0, wide):
         a, b = np.searchsorted(token, [low, low + wide])
         has = np.zeros((m, wide), np.float32)
@@ -252,6 +252,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class: that of its smallest id. Texts without words all stay."""
+    ready(spark)
     signed = written(with_sets(docs.select("doc_id", "text")).select(F.col("in_doc_id").alias("doc_id"), "c"), "signed")
     kept = classes(docs, signed).where("c = first_c").select(F.col("c").alias("_c"), "class_id")
     rows = with_sets(docs)

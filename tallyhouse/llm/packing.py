@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import table, worker_cache
+from tallyhouse.llm.common import ready, table, worker_cache
 
 WINDOW = 2048
 END_ID = 1
@@ -188,4 +188,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
     return packed(docs, tokenizer_path())

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import table, written
+from tallyhouse.llm.common import ready, table, written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -124,6 +124,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep. The texts are measured twice, once for the hosts and once to filter, rather than written."""
+    ready(spark)
     rows = measured(docs, docs.columns)
     return judge(rows, "in_source").where("kept").select(*(F.col(f"in_{c}").alias(c) for c in docs.columns))
 

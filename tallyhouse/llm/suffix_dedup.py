@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import table, written
+from tallyhouse.llm.common import ready, table, written
 from tallyhouse.llm.shingles import mix
 
 LENGTH = 50
@@ -321,6 +321,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated passages. Bytes of a character that is cut in two go with it. Documents of which
     nothing is left go; n_chars is that of the new text."""
+    ready(spark)
 
     def make(data, spans):
         return (_left(data, spans).decode("utf-8", "ignore") if spans else None, int(bool(spans)))
