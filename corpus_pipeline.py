@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import classifier, jaccard_join, packing, quality_rules, suffix_dedup
+from tallyhouse.llm.common import table
 from tallyhouse.session import shared_folder
 
 STAGES = [
@@ -22,7 +23,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
