@@ -576,7 +576,7 @@ _add(
 )
 _add(
     "o03_bounded_batch",
-    lambda i: changes.pending(i.adapter.raw_events(), incremental.clamp_batch(500)).select("event_id", "start_lsn"),
+    lambda i: changes.pending(i.adapter.raw_events(), 500).select("event_id", "start_lsn"),
     """SELECT event_id, start_lsn FROM raw_events WHERE processed_at IS NOT NULL AND processing_error IS NULL
        AND dw_processed_at IS NULL ORDER BY event_id LIMIT 500""",
     events=True,

@@ -16,7 +16,7 @@ KEY_METHODS = ("xxhash64", "sha2")
 
 def canonical(value: Column) -> Column:
     """Trimmed text of any value, with a token in the place of NULL."""
-    return F.nvl(F.trim(value.cast("string")), F.lit(NULL_TOKEN))
+    return F.coalesce(F.trim(value.cast("string")), F.lit(NULL_TOKEN))
 
 
 def clean_text(value: Column) -> Column:
@@ -26,7 +26,7 @@ def clean_text(value: Column) -> Column:
 
 def base64_text(data: Column) -> Column:
     """Bytes as base64 on one line; empty text for NULL."""
-    return F.nvl(F.translate(F.base64(data), "\r\n", ""), F.lit(""))
+    return F.coalesce(F.translate(F.base64(data), "\r\n", ""), F.lit(""))
 
 
 def content_hash(*values: Column) -> Column:

@@ -19,7 +19,6 @@ SIGNATURES = (
 BMP_SIGNATURE = "424D"
 JPEG_END = "FFD9"
 EXTENSIONS = {"png": "png", "jpeg": "jpg", "gif": "gif", "bmp": "bmp", "unknown": "bin"}
-SEARCH_WINDOW = 4096
 SMALLEST_BMP = 26
 BMP_HEADER = 18
 DIB_HEADER_SIZES = (12, 124)
@@ -42,15 +41,17 @@ def _header(payload: Column, offset: Column) -> Column:
     return F.hex(F.substr(payload, (offset + 1).cast("int"), F.lit(BMP_HEADER)))
 
 
-def _bmp_offsets(window: Column) -> Column:
-    """Offsets of every BMP signature in the window, ascending."""
+def _bmp_offset(payload: Column, window: Column) -> Column:
+    """Offset of the first BMP signature in the window with a valid header."""
     pieces = F.split(window, "BM", -1)
     running = F.aggregate(
         F.slice(pieces, F.lit(1), F.size(pieces) - 1),
-        F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("found")),
+        F.struct(F.lit(0).alias("next"), F.lit(None).cast("int").alias("found")),
         lambda state, piece: F.struct(
             (state["next"] + F.length(piece) + 2).alias("next"),
-            F.concat(state["found"], F.array(state["next"] + F.length(piece))).alias("found"),
+            F.when(state["found"].isNotNull(), state["found"])
+            .when(_is_bmp(payload, state["next"] + F.length(piece)), state["next"] + F.length(piece))
+            .alias("found"),
         ),
     )
     return running["found"]
@@ -70,24 +71,22 @@ def _is_bmp(payload: Column, offset: Column) -> Column:
     )
 
 
-def carve_images(rows: DataFrame, payload: str) -> DataFrame:
+def carve_images(rows: DataFrame, payload: str, search_window: int | None = None) -> DataFrame:
     """Add `format`, `extension`, `signature_offset` and the carved `image` of a binary column.
 
-    The signature that starts first within the search window wins. A BMP ends at its declared
+    The signature that starts first wins; with `search_window` only the first so many bytes are searched. A BMP ends at its declared
     size, a JPEG at its first end marker, other formats with the payload. Without a signature the
     whole payload is kept as `unknown`. NULL and empty payloads have no format.
     """
     data = F.col(payload)
-    window = F.decode(F.substring(data, 1, SEARCH_WINDOW), "ISO-8859-1")
+    window = F.decode(data if search_window is None else F.substring(data, 1, search_window), "ISO-8859-1")
     starts = [
         F.struct(F.nullif(F.instr(window, _characters(digits)) - 1, F.lit(-1)).alias("offset"), F.lit(name).alias("format"))
         for digits, name in SIGNATURES
     ]
-    with_bmp = rows.withColumn("_bmp_offsets", _bmp_offsets(window))
-    bmp = F.try_element_at(F.filter("_bmp_offsets", lambda offset: _is_bmp(data, offset)), F.lit(1))
-    starts.append(F.struct(bmp.alias("offset"), F.lit("bmp").alias("format")))
+    starts.append(F.struct(_bmp_offset(data, window).alias("offset"), F.lit("bmp").alias("format")))
     found = F.array_min(F.filter(F.array(*starts), lambda s: s["offset"].isNotNull()))
-    located = with_bmp.withColumn("_found", found).withColumns(
+    located = rows.withColumn("_found", found).withColumns(
         {
             "format": F.when(F.octet_length(data) > 0, F.coalesce("_found.format", F.lit("unknown"))),
             "signature_offset": F.when(F.octet_length(data) > 0, F.coalesce("_found.offset", F.lit(0))),
@@ -108,7 +107,7 @@ def carve_images(rows: DataFrame, payload: str) -> DataFrame:
             "extension": extension,
             "image": F.substr(data, F.col("signature_offset") + 1, length.cast("int")),
         }
-    ).drop("_bmp_offsets", "_found")
+    ).drop("_found")
 
 
 def asset_manifest(carved: DataFrame, key: str, payload: str, folder: str, carried=()) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.lsn import lsn_to_text, operation_name
-from tallyhouse.sources.schemas import CHANGE_ORDER, CaptureSource
+from tallyhouse.sources.schemas import CHANGE_ORDER, LINES_INSTANCE, ORDERS_INSTANCE, CaptureSource
 
 SCHEMA_VERSION = 1
 META_COLUMNS = ("start_lsn", "seqval", "operation_code", "update_mask", "event_time")
@@ -16,13 +16,20 @@ META_COLUMNS = ("start_lsn", "seqval", "operation_code", "update_mask", "event_t
 SKIP_TO_LATEST, READ, RESET, IDLE = "skip_to_latest", "read", "reset", "idle"
 
 
-def resolve_ranges(log: DataFrame, marks: DataFrame, start_mode: str = "latest") -> DataFrame:
-    """Range each instance must read: everything after its mark up to the end of the log.
+INSTANCES = (ORDERS_INSTANCE, LINES_INSTANCE)
+
+
+def resolve_ranges(log: DataFrame, marks: DataFrame, start_mode: str = "latest", instances=()) -> DataFrame:
+    """Range each captured instance must read: everything after its mark up to the end of the log.
+
+    Captured `instances` (INSTANCES, where all are) without rows in the log have a range like any other,
+    so their poll is recorded and their first change is not skipped later.
 
     `log`: capture_instance, start_lsn. `marks`: capture_instance, last_start_lsn.
     The range is (after_lsn, to_lsn]; `from_start` includes the first position itself, which is
     the case without a mark or with one older than the log's retention.
     """
+    known = log.sparkSession.createDataFrame([(name,) for name in instances], "capture_instance string")
     ends = log.groupBy("capture_instance").agg(F.min("start_lsn").alias("first_lsn"), F.max("start_lsn").alias("last_lsn"))
     # The log's end is shared by all instances; there is one row per captured table here.
     newest_lsn = ends.agg(F.max("last_lsn").alias("to_lsn")).select("to_lsn", F.lit(1).alias("_one"))
@@ -35,12 +42,12 @@ def resolve_ranges(log: DataFrame, marks: DataFrame, start_mode: str = "latest")
         .otherwise(READ)
     )
     joined = (
-        ends.join(marks, "capture_instance", "left").withColumn("_one", F.lit(1)).join(newest_lsn, "_one").drop("_one")
+        known.join(ends, "capture_instance", "full_outer").join(marks, "capture_instance", "left").withColumn("_one", F.lit(1)).join(newest_lsn, "_one").drop("_one")
     )
     return joined.select(
         "capture_instance",
         action.alias("action"),
-        (mark.isNull() | (mark < F.col("first_lsn"))).alias("from_start"),
+        (mark.isNull() | F.coalesce(mark < F.col("first_lsn"), F.lit(False))).alias("from_start"),
         mark.alias("after_lsn"),
         "to_lsn",
     )

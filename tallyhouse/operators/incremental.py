@@ -15,9 +15,6 @@ from tallyhouse.operators.facts import FACT_KEYS, Lookups, order_facts
 from tallyhouse.operators.latest import newest
 from tallyhouse.sources.schemas import CHANGE_ORDER, LINES_INSTANCE, ORDERS_INSTANCE
 
-# A bounded batch touches at most this many orders, so their ids may be broadcast.
-LARGEST_BOUNDED_BATCH = 10_000
-
 
 def newest_first():
     return [F.desc(c) for c in CHANGE_ORDER]
@@ -34,11 +31,6 @@ class FactBatch:
     output: DataFrame
 
 
-def clamp_batch(size: int | None) -> int | None:
-    """Batch size within its limits; None means all pending events."""
-    return None if size is None else max(1, min(size, LARGEST_BOUNDED_BATCH))
-
-
 def affected_orders(events: DataFrame) -> DataFrame:
     return events.select("order_id").distinct()
 
@@ -71,14 +63,9 @@ def _tombstones(facts: DataFrame, deletes: DataFrame, keys) -> DataFrame:
     )
 
 
-def of_touched(rows: DataFrame, events: DataFrame, bounded: bool = False) -> DataFrame:
-    """Rows of the orders a batch touched.
-
-    With `bounded` the batch holds at most LARGEST_BOUNDED_BATCH events, which proves the affected
-    ids small enough to broadcast; otherwise Spark chooses the join by measured size.
-    """
-    touched = affected_orders(events)
-    return rows.join(F.broadcast(touched) if bounded else touched, "order_id", "left_semi")
+def of_touched(rows: DataFrame, events: DataFrame) -> DataFrame:
+    """Rows of the orders a batch touched. Spark chooses the join by the measured size of the ids."""
+    return rows.join(affected_orders(events), "order_id", "left_semi")
 
 
 def rebuilt_facts(
@@ -109,14 +96,13 @@ def incremental_facts(
     lookups: Lookups,
     live_facts: DataFrame,
     key_method: str = "xxhash64",
-    bounded: bool = False,
 ) -> FactBatch:
     """Fact rows to append for a batch of events.
 
     `orders` and `details` are current staging, `live_facts` the live warehouse rows.
     """
     events = event_keys(events)
-    orders, details, live_facts = (of_touched(rows, events, bounded) for rows in (orders, details, live_facts))
+    orders, details, live_facts = (of_touched(rows, events) for rows in (orders, details, live_facts))
     upserts = rebuilt_facts(events, orders, details, lookups, key_method)
     columns = [c for c in upserts.columns if c not in CHANGE_ORDER]
     tombstones = batch_tombstones(events, lookups, live_facts, columns)

@@ -38,7 +38,6 @@ RUN_SCHEMA = (
     "run_id string, pipeline_name string, run_type string, status string, started_at timestamp, "
     "finished_at timestamp, rows_read long, rows_written long, error_message string, metadata string, sequence long"
 )
-ERROR_LENGTH = 4000
 PARALLEL_WRITES = 4
 
 
@@ -144,7 +143,7 @@ class Warehouse:
         error = outcome.get("error")
         row = (
             run_id, name, kind, status, started, finished, outcome.get("rows_read", 0), outcome.get("rows_written", 0),
-            None if error is None else error[:ERROR_LENGTH], json.dumps(outcome.get("metadata", {})),
+            error, json.dumps(outcome.get("metadata", {})),
             0 if status == "running" else 1,
         )
         self.control.add("pipeline_runs", RUN_SCHEMA, row)
@@ -156,7 +155,7 @@ class Warehouse:
         )
         now = utc_now()
         sequence = int(now.replace(tzinfo=timezone.utc).timestamp() * 1_000_000)
-        text = None if error is None else error[:ERROR_LENGTH]
+        text = error
         self.control.add("service_state", schema, (sequence, service, status, now, text, json.dumps(details), now))
 
     def gate(self, run_id: str, what: str, results: DataFrame) -> None:

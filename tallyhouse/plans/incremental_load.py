@@ -13,11 +13,10 @@ from tallyhouse.operators import quality
 from tallyhouse.operators.changes import EVENT_IDENTITY, event_keys, pending
 from tallyhouse.operators.dimensions import Load
 from tallyhouse.operators.facts import Lookups
-from tallyhouse.plans.full_load import ERROR_LENGTH, Warehouse, utc_now
+from tallyhouse.plans.full_load import Warehouse, utc_now
 from tallyhouse.sources.schemas import CHANGE_ORDER
 
 SERVICE = "incremental-transform"
-DEFAULT_BATCH = 1000
 
 
 @dataclass(frozen=True)
@@ -34,7 +33,8 @@ def event_states(events: DataFrame, batch_id: str, error: str | None = None) ->
         *[c for c in ("log_version",) if c in events.columns],
         F.lit(batch_id).alias("dw_batch_id"),
         (F.lit(None) if error else F.current_timestamp()).cast("timestamp").alias("dw_processed_at"),
-        F.lit(None if error is None else error[:ERROR_LENGTH]).cast("string").alias("dw_processing_error"),
+        F.lit(error).cast("string").alias("dw_processing_error"),
+        F.current_timestamp().alias("dw_recorded_at"),
     )
 
 
@@ -53,7 +53,9 @@ def with_states(events: DataFrame, states: DataFrame | None) -> DataFrame:
     summary = states.groupBy(*EVENT_IDENTITY).agg(
         F.max("dw_processed_at").alias("dw_processed_at"),
         F.max_by("dw_batch_id", F.struct(done, F.col("dw_processed_at"), F.col("dw_batch_id"))).alias("dw_batch_id"),
-        F.when(~F.bool_or(done), F.max("dw_processing_error")).alias("dw_processing_error"),
+        F.when(~F.bool_or(done), F.max_by("dw_processing_error", F.struct("dw_recorded_at", "dw_processing_error"))).alias(
+            "dw_processing_error"
+        ),
         F.count("*").alias("dw_attempt_count"),
     )
     return events.join(summary, list(EVENT_IDENTITY), "left").withColumn(
@@ -87,22 +89,20 @@ def _advance_mark(house: Warehouse, since: int) -> None:
         house.control.add("event_marks", "log_version long", (mark,))
 
 
-def run_incremental(
-    house: Warehouse, batch_size: int | None = DEFAULT_BATCH, max_attempts: int | None = None
-) -> Outcome:
-    """Take one batch of pending events into the fact table.
+def run_incremental(house: Warehouse, batch_size: int | None = None, max_attempts: int | None = None) -> Outcome:
+    """Take pending events into the fact table: all of them, or the `batch_size` oldest.
 
     The batch is written down first, so every later step, and a retry after lost executors, reads
     the same events. A failed batch stays pending with its error; with `max_attempts` an event that
     failed that often is left out.
     """
-    batch_id, size = str(uuid.uuid4()), step.clamp_batch(batch_size)
+    batch_id = str(uuid.uuid4())
     house.refresh()
     since = settled_before(house)
     waiting = event_log(house, since)
     if max_attempts is not None:
         waiting = waiting.where(F.col("dw_attempt_count") < max_attempts)
-    events = house.aside(batch_id, pending(waiting, size))
+    events = house.aside(batch_id, pending(waiting, batch_size))
     span = events.agg(
         F.count("*").alias("events"), F.min("start_lsn").alias("first_lsn"), F.max("start_lsn").alias("last_lsn")
     ).first()
@@ -113,7 +113,7 @@ def run_incremental(
     details.update(first_lsn=span.first_lsn, last_lsn=span.last_lsn)
     house.record_service(SERVICE, "running", details)
     try:
-        rows = _apply(house, events, batch_id, bounded=size is not None)
+        rows = _apply(house, events, batch_id)
     except Exception as error:
         message = f"{type(error).__name__}: {error}"
         house.control.append("event_states", event_states(events, batch_id, message))
@@ -125,7 +125,7 @@ def run_incremental(
     return Outcome(batch_id, span.events, rows)
 
 
-def _apply(house: Warehouse, events: DataFrame, batch_id: str, bounded: bool) -> int:
+def _apply(house: Warehouse, events: DataFrame, batch_id: str) -> int:
     """Write the rebuilt rows aside, check them, resolve them against tombstones and append the winners.
 
     Each step reads what the one before wrote, so nothing expensive is planned or run twice.
@@ -138,7 +138,7 @@ def _apply(house: Warehouse, events: DataFrame, batch_id: str, bounded: bool) ->
     load = Load(batch_id, utc_now(), lake.reserve_version(batch_id))
     lookups = Lookups.current(house.latest)
     orders, lines, facts = (
-        step.of_touched(rows, events, bounded)
+        step.of_touched(rows, events)
         for rows in (house.staged("orders"), house.staged("order_details"), house.star.facts)
     )
     upserts = house.aside(f"{batch_id}-upserts", step.rebuilt_facts(events, orders, lines, lookups))

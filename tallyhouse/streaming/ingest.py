@@ -7,6 +7,8 @@ of exactly once.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -113,21 +115,28 @@ def start_ingest(
 ) -> StreamingQuery:
     """Run the ingest: all available messages once, or every interval such as `1 minute`."""
     prepare(house)
-    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda rows, batch_id: apply_batch(house, rows, batch_id)
-    )
+    streams: list[str] = []
+
+    def take(rows: DataFrame, batch_id: int) -> None:
+        # Batch numbers begin again with every new checkpoint, so a batch is named by its stream too.
+        if not streams:
+            metadata = house.spark.read.text(f"{checkpoint}/metadata").first()[0]
+            streams.append(json.loads(metadata)["id"])
+        apply_batch(house, rows, f"{streams[0]}-{batch_id}")
+
+    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     house.record_service(SERVICE, "running", {"started": str(utc_now())})
     return writer.trigger(**trigger).start()
 
 
-def distinct_events(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
+def distinct_events(messages: DataFrame, delay: str) -> DataFrame:
     """Accepted events of a stream, each once; copies must arrive within the delay, which bounds the state."""
     events = changes.accepted(changes.parse_messages(messages))
     return events.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(list(changes.EVENT_IDENTITY))
 
 
-def throughput(events: DataFrame, window: str = "1 minute", delay: str = "1 minute") -> DataFrame:
+def throughput(events: DataFrame, delay: str, window: str = "1 minute") -> DataFrame:
     """Events per minute of a stream; a minute is emitted once the watermark has passed it."""
     counted = (
         events.withColumn("received_at", F.col("received_at").cast("timestamp"))

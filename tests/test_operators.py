@@ -81,9 +81,9 @@ def test_history_keeps_one_open_row(spark, frame):
     assert scd2.as_of_view(history, F.lit(times[0]).cast("timestamp")).where(f"start_date > '{times[0]}'").isEmpty()
 
 
-def _plain_carve(data: bytes):
+def _plain_carve(data: bytes, limit: int | None):
     """Straightforward search over every offset, for comparison."""
-    window, found = data[:4096], []
+    window, found = data[:limit], []
     for signature, name in ((b"\x89PNG\r\n\x1a\n", "png"), (b"\xff\xd8\xff", "jpeg"), (b"GIF87a", "gif"), (b"GIF89a", "gif")):
         if signature in window:
             found.append((window.index(signature), name))
@@ -111,7 +111,8 @@ def _bmp(size=60, pixels=54, dib=40, body=10):
     return head + bytes(36) + b"p" * body
 
 
-def test_carving_matches_plain_search(spark):
+@pytest.mark.parametrize("limit", [None, 4096])
+def test_carving_matches_plain_search(spark, limit):
     rng = random.Random(3)
     png, jpeg, gif = b"\x89PNG\r\n\x1a\n", b"\xff\xd8\xff", b"GIF89a"
     payloads = [
@@ -123,13 +124,13 @@ def test_carving_matches_plain_search(spark):
     payloads += [b"".join(rng.choice(pieces) for _ in range(rng.randint(1, 8))) for _ in range(120)]
     rows = [(i, bytearray(p)) for i, p in enumerate(payloads)]
     df = spark.createDataFrame([*rows, (900, None), (901, bytearray())], "id int, photo binary")
-    carved = {r.id: r for r in assets.carve_images(df, "photo").collect()}
+    carved = {r.id: r for r in assets.carve_images(df, "photo", limit).collect()}
     for i, payload in enumerate(payloads):
-        name, at, image = _plain_carve(payload)
+        name, at, image = _plain_carve(payload, limit)
         got = carved[i]
         assert (got.format, got.signature_offset, bytes(got.image)) == (name, at, image), payload
     assert carved[900].format is None and carved[901].format is None
-    counts = assets.asset_counts(assets.carve_images(df, "photo"), "photo").first()
+    counts = assets.asset_counts(assets.carve_images(df, "photo", limit), "photo").first()
     assert (counts.asset_rows, counts.missing_photos) == (len(payloads) + 2, 2)
 
 
@@ -235,3 +236,12 @@ def test_asset_files(spark, frame, tmp_path):
     assert files["curated/employee-photos/employee_2.bin"] == b"text" and len(files) == 4
     entries = spark.read.json(f"{root}/manifests")
     assert rows_of(entries, "employee_id", "format", "curated_bytes") == [(1, "bmp", 60), (2, "unknown", 4)]
+
+
+def test_quiet_instances_keep_their_place(spark, frame):
+    log = frame("capture_instance string, start_lsn string", ("a", f"0x{5:020X}"))
+    marks = frame("capture_instance string, last_start_lsn string", ("b", f"0x{2:020X}"))
+    ranges = resolve_ranges(log, marks, "latest", ("a", "b", "c"))
+    assert rows_of(ranges, "capture_instance", "action", "from_start") == [
+        ("a", "skip_to_latest", True), ("b", "read", False), ("c", "skip_to_latest", True)
+    ]

@@ -43,7 +43,7 @@ def test_stream_equals_batch(spark, tmp_path):
     stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
     out = str(tmp_path / "out")
     query = (
-        ingest.throughput(stream).writeStream.format("parquet").option("path", out)
+        ingest.throughput(stream, "1 minute").writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -58,8 +58,18 @@ def test_stream_drops_copies(spark, tmp_path):
     messages(spark, *bodies, "{").write.parquet(str(tmp_path / "in"))
     out = str(tmp_path / "out")
     query = (
-        ingest.distinct_events(file_messages(spark, str(tmp_path / "in"))).writeStream.format("parquet").option("path", out)
+        ingest.distinct_events(file_messages(spark, str(tmp_path / "in")), "1 hour").writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     )
     query.awaitTermination()
     assert rows_of(spark.read.parquet(out), "operation_code", "start_lsn") == [(4, bodies[0]["metadata"]["start_lsn"]), (4, bodies[1]["metadata"]["start_lsn"])]
+
+
+def test_a_second_checkpoint_keeps_the_first_ones_events(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    load_staging(house, staging(spark).__getitem__, ("orders", "order_details"))
+    for k, body in enumerate((line_event(1, 4, 1, 1, quantity=8), line_event(2, 4, 2, 1, quantity=3))):
+        inbox = str(tmp_path / f"inbox{k}")
+        messages(spark, body).coalesce(1).write.parquet(inbox)
+        ingest.start_ingest(house, file_messages(spark, inbox, 1), str(tmp_path / f"checkpoint{k}")).awaitTermination()
+    assert house.events.history("raw_events").count() == 2
