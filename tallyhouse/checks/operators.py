@@ -392,7 +392,7 @@ _ASSETS = """WITH docs AS (SELECT doc_id, doc_id % 7 AS kind, encode(text) AS bo
 
 
 def _carved(inputs: Inputs) -> DataFrame:
-    return assets.carve_images(inputs.adapter.wrapped_images(), "payload")
+    return assets.carve_images(inputs.adapter.wrapped_images(), "payload", 4096)
 
 
 _add(
@@ -408,7 +408,7 @@ _add(
 _add(
     "m14_asset_manifest",
     lambda i: assets.asset_manifest(
-        assets.carve_images(i.staged("employees"), "photo"), "employee_id", "photo", "employee-photos", ("last_name",)
+        assets.carve_images(i.staged("employees"), "photo", 4096), "employee_id", "photo", "employee-photos", ("last_name",)
     ).select("employee_id", "last_name", "raw_path", "curated_path", "format", "source_bytes", "source_sha256"),
     """SELECT employee_id, last_name, '/data-lake/raw/employee-photos/employee_' || employee_id || '.bin' AS raw_path,
        '/data-lake/curated/employee-photos/employee_' || employee_id || '.' || ['gif', 'png', 'jpg', 'bin'][(employee_id - 1) % 5 + 1] AS curated_path,
