@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,9 @@ ERROR = 4.5
 BLOCK = 1024
 
 
+@lru_cache(maxsize=8)
 def rotation(dimensions: int) -> np.ndarray:
-    """BITS (or as many as the dimensions) x dimensions, with orthonormal columns."""
+    """BITS (or as many as the dimensions) x dimensions, with orthonormal columns; a worker makes it once, not per bucket."""
     random = np.random.default_rng(20_240_521)
     return np.linalg.qr(random.standard_normal((max(BITS, dimensions), dimensions)))[0]
 
