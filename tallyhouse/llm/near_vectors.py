@@ -136,21 +136,27 @@ def links(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             i, j = key[4], key[5]
             across = np.array([i != j and g[0] == j for g in group])
             counted, edges = _compare(key[2], across, np.array([g[2] for g in group], np.int64), [g[3] for g in group], threshold)
-            rows = [(group[k][1], None, int(n)) for k, n in enumerate(counted) if n] + [(group[a][1], group[b][1], None) for a, b in edges]
+            return [(group[k][1], None, int(n)) for k, n in enumerate(counted) if n] + [(group[a][1], group[b][1], None) for a, b in edges]
+
+        def batch_of(rows):
             kinds = (pa.binary(), pa.binary(), pa.int64())
             columns = zip(*rows, strict=True) if rows else [[]] * 3
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds, strict=True)], ["a", "b", "links"])
 
-        key, group = None, []
+        key, group, out = None, [], []  # most buckets link nothing, so rows are given out once per batch read
         for batch in batches:
             for *k, part, c, m, x in zip(*(v.to_pylist() for v in batch.columns), strict=True):
                 if k != key:
                     if len(group) > 1:
-                        yield compared(key, group)
+                        out += compared(key, group)
                     key, group = k, []
                 group.append((part, c, m, x))
+            if out:
+                yield batch_of(out)
+                out = []
         if len(group) > 1:
-            yield compared(key, group)
+            out += compared(key, group)
+        yield batch_of(out)
 
     return rows.mapInArrow(run, "a binary, b binary, links long")
 
