@@ -43,6 +43,11 @@ def chosen(values: np.ndarray, path: int) -> np.ndarray:
     return mix(picked, 5)
 
 
+def first_picks(values: np.ndarray) -> np.ndarray:
+    """The paths that a set takes at first, in all runs."""
+    return np.unique(np.concatenate([chosen(values, r * 0x1F123BB5 + 1) ^ np.uint64(r) for r in range(RUNS)]))
+
+
 def with_sets(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of `docs` as in_*, the digest `c` of the text's shingle set (null if empty) and its size `n`."""
     own = [f"in_{c}" for c in docs.columns]
@@ -62,47 +67,32 @@ def with_sets(docs: DataFrame, text: str = "text") -> DataFrame:
     return given.mapInArrow(run, T.StructType([*given.schema.fields[:-1], T.StructField("c", T.BinaryType()), T.StructField("n", T.LongType())]))
 
 
-def first_paths(docs: DataFrame) -> DataFrame:
-    """(path, c, n) of the first pick in each run, and texts (c, n, text) of sets as rows with a null path.
-
-    A task gives out each set once, so copies are as many rows as tasks that hold one.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
-        for batch in batches:
-            path, c, n = [], [], []
-            for t in batch.column(0).to_pylist():
-                values = shingle_set(t)
-                if len(values) and (d := digest(values)) not in seen:
-                    seen.add(d)
-                    picks = np.unique(np.concatenate([chosen(values, r * 0x1F123BB5 + 1) ^ np.uint64(r) for r in range(RUNS)]))
-                    path.append(picks)
-                    c.extend([d] * len(picks))
-                    n.extend([len(values)] * len(picks))
-            paths = np.concatenate(path).view(np.int64) if path else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(c, pa.binary()), pa.array(n, pa.int64())], ["path", "c", "n"])
-
-    return docs.select("text").mapInArrow(run, "path long, c binary, n long").distinct()
-
-
-def set_texts(docs: DataFrame) -> DataFrame:
-    """(c, text), each set once per task that holds it."""
+def signed_sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, c, n, picks, text) of every row, written: the digest of its set (null if empty), the set's size and its first
+    paths in all runs. The texts are read for this once; a task gives picks and text with the first row of a set only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                c, text = [], []
-                for t in batch.column(0).slice(at, 1000).to_pylist():
+                part = batch.slice(at, 1000)
+                c, n, picks, text = [], [], [], []
+                for t in part.column(1).to_pylist():
                     values = shingle_set(t)
-                    if len(values) and (d := digest(values)) not in seen:
+                    d = digest(values) if len(values) else None
+                    new = d is not None and d not in seen
+                    if new:
                         seen.add(d)
-                        c.append(d)
-                        text.append(t)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()), pa.array(text, pa.string())], ["c", "text"])
+                    c.append(d)
+                    n.append(len(values))
+                    picks.append(first_picks(values).view(np.int64) if new else None)
+                    text.append(t if new else None)
+                arrays = [pa.array(c, pa.binary()), pa.array(n, pa.int64()), pa.array(picks, pa.list_(pa.int64())), pa.array(text, pa.string())]
+                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], ["doc_id", "c", "n", "picks", "text"])
 
-    return docs.select("text").mapInArrow(run, "c binary, text string")
+    kinds = [("c", T.BinaryType()), ("n", T.LongType()), ("picks", T.ArrayType(T.LongType())), ("text", T.StringType())]
+    schema = T.StructType([docs.schema["doc_id"], *(T.StructField(*k) for k in kinds)])
+    return written(docs.select("doc_id", "text").mapInArrow(run, schema), "signed")
 
 
 def next_paths(rows: DataFrame) -> DataFrame:
@@ -133,10 +123,10 @@ def _shared(paths: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return rows, sizes
 
 
-def buckets(docs: DataFrame, texts: DataFrame) -> DataFrame:
+def buckets(signed: DataFrame, texts: DataFrame) -> DataFrame:
     """(path, m, shingles, c, n): sets of the buckets to compare, each distinct bucket once."""
     found = []
-    rows, sizes = _shared(first_paths(docs), "paths1")
+    rows, sizes = _shared(signed.select(F.explode("picks").alias("path"), "c", "n").distinct(), "paths1")
     for depth in range(1, DEPTH + 1):
         last = depth == DEPTH
         found.append((rows, sizes if last else sizes.where(F.col("m") <= SMALL)))
@@ -223,11 +213,11 @@ def similar_sets(leaves: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary, links long")
 
 
-def classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
-    """(c, low, root_low, n_links, n_copies, first_c) for every set of `signed` (doc_id, c): the smallest id with the set, that of
-    its class, links to other sets, rows with the set, and the set that stands for the class."""
-    texts = set_texts(docs)
-    leaves = buckets(docs, texts)
+def classes(signed: DataFrame) -> DataFrame:
+    """(c, n_copies, n_links, class_id, first_c) for every set of `signed`: rows with the set, links to other sets, the smallest id
+    of its class, and the set that stands for the class."""
+    texts = signed.where("text is not null").select("c", "text")
+    leaves = buckets(signed, texts)
     found = written(similar_sets(leaves, texts), "similar")
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("n_links"))
     roots = components(found.where("b is not null").select("a", "b"), "similar")
@@ -242,8 +232,8 @@ def classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    signed = written(with_sets(docs).select(F.col("in_doc_id").alias("doc_id"), "c", "n"), "signed")
-    rows = signed.join(classes(docs, signed), "c", "left")
+    signed = signed_sets(docs)
+    rows = signed.select("doc_id", "c", "n").join(classes(signed), "c", "left")
     return rows.select(
         "doc_id", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("n").alias("n_shingles"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
@@ -253,8 +243,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class: that of its smallest id. Texts without words all stay."""
     ready(spark)
-    signed = written(with_sets(docs.select("doc_id", "text")).select(F.col("in_doc_id").alias("doc_id"), "c"), "signed")
-    kept = classes(docs, signed).where("c = first_c").select(F.col("c").alias("_c"), "class_id")
+    kept = classes(signed_sets(docs)).where("c = first_c").select(F.col("c").alias("_c"), "class_id")
     rows = with_sets(docs)
     first = rows.where("c is not null").join(kept, (F.col("c") == F.col("_c")) & F.col("in_doc_id").eqNullSafe(F.col("class_id")))
     first = first.withColumn("_n", F.row_number().over(Window.partitionBy("c").orderBy("in_doc_id"))).where("_n = 1")

@@ -145,8 +145,8 @@ def test_large_groups_are_split_and_blocked(spark, monkeypatch):
     base = words(1, 200, 10**6)
     texts = [" ".join([*base[:k], f"edit{k}", *base[k + 1 :]]) for k in range(40)]
     frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
-    signed = jaccard_join.with_sets(frame).select("in_doc_id", "c").withColumnRenamed("in_doc_id", "doc_id")
-    rows = jaccard_join.classes(frame, signed).collect()
+    signed = jaccard_join.signed_sets(frame)
+    rows = jaccard_join.classes(signed).collect()
     assert len(rows) == 40 and {r.n_links for r in rows} == {39} and {r.class_id for r in rows} == {0}
 
 
