@@ -4,8 +4,9 @@ A path is a sequence of shared shingles. In each of RUNS runs every set picks a
 (run, shingle) is below 1 / (similarity * set size): about 1.25 a set, and the same ones in similar sets. Sets on one path
 form a bucket. Buckets over SMALL sets are split by picking a further shingle, down to DEPTH; buckets are then compared in
 full, in blocks of bounded size where a group of near copies does not come apart. A pair is similar by its exact
-Jaccard similarity, and counted in the smallest bucket it shares. With these settings a pair at 0.8 shares a bucket with a
-probability above 0.999, and above 0.999998 where the first split is enough.
+Jaccard similarity, and counted in the smallest bucket it shares. RUNS follows from RECALL, the least probability with which
+a similar pair shares a bucket, for the worst case: one set holds the other, the similarity is SIMILARITY, and all buckets
+are split down to DEPTH.
 
 Equal sets are one class from the start, so copies cost one set each and are never paired.
 
@@ -15,6 +16,7 @@ their own class. Rows with a null id take part; the id of a class is its smalles
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,8 @@ from tallyhouse.llm.common import components, forest, ready, table, written
 from tallyhouse.llm.shingles import digest, mix, shingle_set
 
 SIMILARITY = 0.8
-RUNS = 12
+#: Least probability that a similar pair shares a bucket.
+RECALL = 0.9999
 DEPTH = 3
 #: Sets in a bucket that is not split further.
 SMALL = 64
@@ -35,6 +38,19 @@ SMALL = 64
 BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 
 
+def runs_for(recall: float, depth: int) -> int:
+    """Runs after which a similar pair has shared a path of `depth` picks with a probability of at least `recall`. In the worst
+    case, where a set of n shingles holds the other, they share similarity * n shingles, each picked for both with probability
+    1 / (similarity * n): none is with at most exp(-1), and each that is goes on by the same chance. At equal sizes more are shared."""
+    shared = 1.0
+    for _ in range(depth):
+        shared = 1 - math.exp(-shared)
+    return math.ceil(math.log(1 - recall) / math.log(1 - shared))
+
+
+RUNS = runs_for(RECALL, DEPTH)
+
+
 def chosen(values: np.ndarray, path: int) -> np.ndarray:
     """The paths that a set takes on from `path`."""
     hashes = mix(values ^ np.uint64(path))
