@@ -1,10 +1,12 @@
 """Licence scan with a positional index of rare tokens, in DataFrame functions only.
 
-Licence notices are templates of words. Over all documents the words of the templates are counted; the index holds, per
-template, its ROOTS words found in the fewest documents, with their positions in it. In a file, the places of each
-template's rare words, less their positions in the template, are intersected: what is left are the offsets where all
-of them stand as in the template. A template is found where its mandatory phrase stands at such an offset; the score of a
-file is the largest share of a template's words that stand in place at an offset of that template.
+Licence notices are templates of words. Over all documents the words of the templates are counted, and each template's words
+are put in order, rarest first. A word of a file, less its position in a template, is a candidate offset of that template.
+Looked up are so many of the rarest words that fewer than half of the template's words are left, and the rarest of the
+mandatory phrase: a file that has any of them at an offset has that offset as a candidate, words it does not have take
+nothing away, and no offset where the phrase or half of the words stand can be missed. The counts decide only which words
+are looked up. A template is found where its mandatory phrase stands at a candidate; the score of a file is the largest share of a
+template's words in place at an offset where the phrase, half of the words or the ROOTS rarest words stand.
 
 Everything after the count of words happens within the row: no join, no shuffle, no key that could be hot.
 
@@ -13,6 +15,8 @@ Defined results: a null or empty text has no words, no labels and score 0. Rows
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +36,16 @@ TEMPLATES = (
     ("mit", "released under the mit license", "under the mit license"),
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license v 2 0"),
 )
+#: Notices as licences and their authors word them, besides the above.
+NOTICES = (
+    ("cc-by-nc-4.0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+     "creative commons attribution noncommercial 4 0 international"),
+    ("gpl-3.0", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+     "software foundation either version 3 of the license", "gnu general public license as published by the free software foundation either version 3"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mpl-2.0", "subject to the terms of the mozilla public license version 2 0", "mozilla public license version 2 0"),
+)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,15 +54,22 @@ def words_of(text: Column) -> Column:
 
 
 def rare_words(docs: DataFrame, templates=TEMPLATES, text: str = "text") -> list[list[tuple[str, int]]]:
-    """Per template its ROOTS rarest words with their positions. The counts are as many as the templates have words."""
+    """Per template its words with their positions, rarest first. The counts are as many as the templates have words."""
     vocabulary = sorted({w for _, notice, _ in templates for w in notice.split()})
     held = docs.select(F.explode(F.array_intersect(words_of(F.col(text)), F.array(*map(F.lit, vocabulary)))).alias("word"))
     counts = {r["word"]: r["count"] for r in held.groupBy("word").count().collect()}
-    rarest = []
-    for _, notice, _ in templates:
-        order = sorted((counts.get(w, 0), w, i) for i, w in enumerate(notice.split()))
-        rarest.append([(w, i) for _, w, i in order[:ROOTS]])
-    return rarest
+    return [[(w, i) for _, w, i in sorted((counts.get(w, 0), w, i) for i, w in enumerate(notice.split()))] for _, notice, _ in templates]
+
+
+def _start(notice: list[str], phrase: list[str]) -> int:
+    return next(i for i in range(len(notice)) if notice[i : i + len(phrase)] == phrase)
+
+
+def looked_up(order: list[tuple[str, int]], notice: list[str], phrase: list[str]) -> list[tuple[str, int]]:
+    """Words one of which stands wherever half of the notice or the phrase does."""
+    start = _start(notice, phrase)
+    most = order[: len(notice) // 2 + 1]
+    return list(dict.fromkeys([*most, next(x for x in order if start <= x[1] < start + len(phrase))]))
 
 
 def _stands(words: Column, at: Column, phrase: list[str]) -> Column:
@@ -59,19 +80,28 @@ def _stands(words: Column, at: Column, phrase: list[str]) -> Column:
     return equal
 
 
-def _share(notice: list[str]):
-    """Share of the words of `notice` that stand in place at an offset, which may lie before the text."""
+HELD = "array<struct<found: boolean, roots: boolean, share: double>>"
 
-    def share(o: Column) -> Column:
-        hits = [F.when(o + i >= 0, F.coalesce(F.get("words", o + i) == w, F.lit(False))).otherwise(False).cast("int") for i, w in enumerate(notice)]
-        return sum(hits[1:], hits[0]) / len(notice)
 
-    return share
+def _held(notice: list[str], roots: list[tuple[str, int]], phrase: list[str], start: int):
+    """What stands at an offset, which may lie before the text."""
 
+    def held(o: Column) -> Column:
+        there = lambda i, w: F.coalesce(F.get("words", o + i) == w, F.lit(False))
+        hits = [there(i, w).cast("int") for i, w in enumerate(notice)]
+        rare = [there(i, w) for w, i in roots]
+        return F.struct(
+            _stands(F.col("words"), o + start, phrase).alias("found"), functools.reduce(lambda a, b: a & b, rare).alias("roots"),
+            (sum(hits[1:], hits[0]) / len(notice)).alias("share"),
+        )
 
-def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, text: str = "text") -> DataFrame:
+    return held
+
+
+def scan(docs: DataFrame, templates=TEMPLATES + NOTICES, base=BASE, text: str = "text") -> DataFrame:
     """All columns of `docs` as in_*, n_words, base_at (places of base phrases), base_labels, labels, score."""
-    index = rare_words(docs, templates, text)
+    orders = rare_words(docs, templates, text)
+    index = [looked_up(order, notice.split(), key.split()) for order, (_, notice, key) in zip(orders, templates, strict=True)]
     keys = sorted({p.split()[0] for p, _ in base} | {w for rare in index for w, _ in rare})
     rows = docs.select(*(F.col(c).alias(f"in_{c}") for c in docs.columns), words_of(F.col(text)).alias("words"))
     # The places of the index's words, once per row.
@@ -87,20 +117,18 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, text: str = "text") ->
     for n, (phrase, _) in enumerate(base):
         p = phrase.split()
         found[f"base{n}"] = F.coalesce(F.filter(places(p[0]), standing(p)), none)
-    for n, rare in enumerate(index):
-        offsets = [F.transform(places(w), less(at)) for w, at in rare]
-        common = offsets[0]
-        for more in offsets[1:]:
-            common = F.array_intersect(common, more)
-        found[f"at{n}"] = F.coalesce(common, none)
+    for n, (rare, order, (_, notice, key)) in enumerate(zip(index, orders, templates, strict=True)):
+        offsets = F.array_distinct(F.concat(*(F.transform(places(w), less(at)) for w, at in rare)))
+        w, k = notice.split(), key.split()
+        # At every candidate: whether the phrase stands, whether the rarest words do, and the share in place.
+        held = F.transform(offsets, _held(w, order[:ROOTS], k, _start(w, k)))
+        found[f"at{n}"] = F.coalesce(F.filter(held, lambda s: s["found"] | s["roots"] | (s["share"] >= 0.5)), F.array().cast(HELD))
     rows = rows.withColumns(found)
 
     labels, scores = [], [F.lit(0.0)]
-    for n, (label, notice, key) in enumerate(templates):
-        w, k = notice.split(), key.split()
-        start = next(i for i in range(len(w)) if w[i : i + len(k)] == k)
-        labels.append(F.when(F.exists(f"at{n}", standing(k, start)), F.lit(label)))
-        scores.append(F.coalesce(F.array_max(F.transform(f"at{n}", _share(w))), F.lit(0.0)))
+    for n, (label, _, _) in enumerate(templates):
+        labels.append(F.when(F.exists(f"at{n}", lambda s: s["found"]), F.lit(label)))
+        scores.append(F.coalesce(F.array_max(F.transform(f"at{n}", lambda s: s["share"])), F.lit(0.0)))
     own = [F.when(F.size(f"base{n}") > 0, F.lit(label)) for n, (_, label) in enumerate(base)]
     joined = lambda each: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*each)))), ",")
     return rows.select(

@@ -229,3 +229,22 @@ def test_licences(spark, docs, folder):
     assert (rows[15].base_labels, rows[15].labels, rows[15].score) == ("apache", "apache,apache-2.0", 1.0)
     assert (rows[17].n_base, rows[17].first_word, rows[17].last_word, rows[17].labels) == (2, 3, 5, "mit")
     assert (rows[4].n_words, rows[4].labels, rows[4].first_word) == (0, "", None)
+
+
+def test_licences_by_the_words_a_file_has(spark):
+    texts = [
+        "This file is distributed under the Mozilla Public License v. 2.0", "Redistribution in source and binary forms is permitted",
+        "Distributed under the MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the \"Software\")", "you may modify it under the terms of the GNU General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License", "Licensed under the Apache License, Release 2.0", "to the end of the day, and so on", None,
+    ]
+
+    def scanned(rows):
+        frame = license_scan.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+        return {r.in_doc_id: (r.labels, round(r.score, 3)) for r in frame.collect()}
+
+    want = [("mpl-2.0", 0.583), ("bsd", 0.357), ("mit", 0.8), ("mit", 1.0), ("gpl,gpl-3.0", 0.8), ("apache", 0.875), ("", 0.0), ("", 0.0)]
+    assert scanned(texts) == dict(enumerate(want))
+    # What other files hold does not matter.
+    assert scanned([*texts, *["binary forms mozilla mit subject to the terms released modification"] * 9])[0] == want[0]
+    assert [scanned([t])[0] for t in texts[:3]] == want[:3]
