@@ -391,13 +391,17 @@ _ASSETS = """WITH docs AS (SELECT doc_id, doc_id % 7 AS kind, encode(text) AS bo
       WHEN 4 THEN body WHEN 5 THEN encode(repeat('w', 5000)) || unhex('89504E470D0A1A0A') || body END AS payload FROM docs)"""
 
 
-def _carved(inputs: Inputs) -> DataFrame:
-    return assets.carve_images(inputs.adapter.wrapped_images(), "payload", 4096)
+def _carved(inputs: Inputs, search_window: int | None = None) -> DataFrame:
+    return assets.carve_images(inputs.adapter.wrapped_images(), "payload", search_window)
+
+
+# m13_carved_images and q11_asset_counts have the explicit window of the reference; the queries on whole payloads are by their side.
+_WINDOW = 4096
 
 
 _add(
     "m13_carved_images",
-    lambda i: _carved(i).select(
+    lambda i: _carved(i, _WINDOW).select(
         "doc_id", "format", "extension", "signature_offset", F.octet_length("image").alias("image_bytes"), F.sha2("image", 256).alias("image_sha256")
     ),
     f"""{_ASSETS} SELECT doc_id, CASE WHEN kind = 6 THEN NULL ELSE ['png', 'jpeg', 'gif', 'bmp', 'unknown', 'unknown'][kind + 1] END AS format,
@@ -408,7 +412,7 @@ _add(
 _add(
     "m14_asset_manifest",
     lambda i: assets.asset_manifest(
-        assets.carve_images(i.staged("employees"), "photo", 4096), "employee_id", "photo", "employee-photos", ("last_name",)
+        assets.carve_images(i.staged("employees"), "photo"), "employee_id", "photo", "employee-photos", ("last_name",)
     ).select("employee_id", "last_name", "raw_path", "curated_path", "format", "source_bytes", "source_sha256"),
     """SELECT employee_id, last_name, '/data-lake/raw/employee-photos/employee_' || employee_id || '.bin' AS raw_path,
        '/data-lake/curated/employee-photos/employee_' || employee_id || '.' || ['gif', 'png', 'jpg', 'bin'][(employee_id - 1) % 5 + 1] AS curated_path,
@@ -417,10 +421,27 @@ _add(
 )
 _add(
     "q11_asset_counts",
-    lambda i: assets.assets_accepted(assets.asset_counts(_carved(i), "payload")),
+    lambda i: assets.assets_accepted(assets.asset_counts(_carved(i, _WINDOW), "payload")),
     f"""{_ASSETS} SELECT count(*) AS asset_rows, count(payload) AS raw_photos, count(*) FILTER (kind < 4) AS curated_images,
         count(*) FILTER (kind = 6) AS missing_photos, count(*) FILTER (kind IN (4, 5)) AS unknown_formats, false AS passed FROM assets""",
 )
+_add(
+    "m13_whole_payload_images",
+    lambda i: _carved(i).select(
+        "doc_id", "format", "extension", "signature_offset", F.octet_length("image").alias("image_bytes"), F.sha2("image", 256).alias("image_sha256")
+    ),
+    f"""{_ASSETS}, whole AS (SELECT doc_id, kind, payload, CASE kind WHEN 5 THEN payload[5001:] ELSE coalesce(image, payload) END AS image FROM assets)
+        SELECT doc_id, CASE WHEN kind = 6 THEN NULL ELSE ['png', 'jpeg', 'gif', 'bmp', 'unknown', 'png'][kind + 1] END AS format,
+        CASE WHEN kind = 6 THEN NULL ELSE ['png', 'jpg', 'gif', 'bmp', 'bin', 'png'][kind + 1] END AS extension,
+        CASE WHEN kind = 6 THEN NULL WHEN kind IN (0, 1, 3) THEN 78 WHEN kind = 5 THEN 5000 ELSE 0 END AS signature_offset,
+        octet_length(image) AS image_bytes, sha256(image) AS image_sha256 FROM whole""",
+)
+_add(
+    "q11_whole_payload_counts",
+    lambda i: assets.assets_accepted(assets.asset_counts(_carved(i), "payload")),
+    f"""{_ASSETS} SELECT count(*) AS asset_rows, count(payload) AS raw_photos, count(*) FILTER (kind IN (0, 1, 2, 3, 5)) AS curated_images,
+        count(*) FILTER (kind = 6) AS missing_photos, count(*) FILTER (kind = 4) AS unknown_formats, false AS passed FROM assets""",
+)
 
 # --- change extraction ------------------------------------------------------------------------
 

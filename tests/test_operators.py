@@ -245,3 +245,13 @@ def test_quiet_instances_keep_their_place(spark, frame):
     assert rows_of(ranges, "capture_instance", "action", "from_start") == [
         ("a", "skip_to_latest", True), ("b", "read", False), ("c", "skip_to_latest", True)
     ]
+
+
+def test_queries_find_images_behind_the_first_bytes(spark):
+    from tallyhouse.checks import QUERIES
+
+    rows = [r for r in QUERIES["m13_whole_payload_images"](spark, "/root/testdata/sf0.001").collect() if r.doc_id % 7 == 5]
+    assert rows and {(r.format, r.signature_offset) for r in rows} == {("png", 5000)}
+    counts = {q: QUERIES[q](spark, "/root/testdata/sf0.001").first() for q in ("q11_asset_counts", "q11_whole_payload_counts")}
+    more = counts["q11_whole_payload_counts"].curated_images - counts["q11_asset_counts"].curated_images
+    assert more == len(rows)
