@@ -59,6 +59,29 @@ def test_rewriting_templates_are_found():
     assert flags == [False, True, True]
 
 
+def test_rewrites_are_found_on_the_whole_prefix():
+    turns = [("user", f"t{k}") for k in range(70)]
+
+    def plain(turns, first):
+        return "".join(f"<{t}>" for _, t in turns)
+
+    def summary(turns, first):  # rewrites all when turn 33 comes
+        return ("(summary)" if first + len(turns) > 32 else "") + plain(turns, first)
+
+    def far(turns, first):  # marks the first turn when the 50th comes
+        return "".join(f"<{t}>" if k or first + len(turns) != 50 else f"[{t}]" for k, (_, t) in enumerate(turns))
+
+    def found(template, local=False):
+        return [k for k, (_, _, rewrites) in enumerate(chat.spans(iter(turns), template, local)) if rewrites]
+
+    assert found(summary) == [32]
+    assert found(far) == [49, 50]
+    assert found(plain) == []
+    # The template of the query is local.
+    turns = [(("system", "user", "assistant")[k % 3], f"</s>t{k}") for k in range(70)]
+    assert list(chat.spans(iter(turns), chat.inst_template)) == list(chat.spans(iter(turns), chat.inst_template, True))
+
+
 def brute(vectors):
     n = len(vectors)
     links, component = [0] * n, list(range(n))
