@@ -53,6 +53,12 @@ def dropped(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The written table `new`, made of `old`, which goes."""
+    dropped(old)
+    return new
+
+
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker; the functions themselves are unpickled anew for each task."""
     module = sys.modules.setdefault("_tallyhouse_llm_cache", types.ModuleType("_tallyhouse_llm_cache"))
@@ -91,11 +97,13 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         parent = written(parent, f"{name}-parent")
         for _ in range(2):
             above = parent.select(F.col("a").alias("p"), F.col("p").alias("pp"))
-            parent = written(parent.join(above, "p").select("a", F.col("pp").alias("p")), f"{name}-parent")
+            parent = replaced(parent, written(parent.join(above, "p").select("a", F.col("pp").alias("p")), f"{name}-parent"))
         up = lambda c, new: parent.select(F.col("a").alias(c), F.col("p").alias(new))
-        found = written(
+        found = replaced(found, written(
             found.join(up("root", "up"), "root", "left").select("node", F.coalesce("up", "root").alias("root")), f"{name}-nodes"
-        )
-        links = links.join(up("a", "x"), "a").join(up("b", "y"), "b").where("x <> y")
-        links = written(links.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), f"{name}-links")
+        ))
+        onward = links.join(up("a", "x"), "a").join(up("b", "y"), "b").where("x <> y")
+        links = replaced(links, written(onward.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), f"{name}-links"))
+        dropped(parent)
+    dropped(links)
     return found

@@ -3,7 +3,9 @@
 A path is a sequence of shared shingles. In each of RUNS runs every set picks a shingle for its first path where a hash of
 (run, shingle) is below 1 / (similarity * set size): about 1.25 a set, and the same ones in similar sets. Sets on one path
 form a bucket. Buckets over SMALL sets are split by picking a further shingle, down to DEPTH; buckets are then compared in
-full, in blocks of bounded size where a group of near copies does not come apart. A pair is similar by its exact
+full, in blocks of bounded size. A bucket of which half or more have the same sketch (two smallest hashes of the set) is a
+group of near copies that does not come apart: it is not split, and all such buckets of one sketch, which the runs find again
+and again, are one bucket with the members of all. A pair is similar by its exact
 Jaccard similarity, and counted in the smallest bucket it shares. RUNS follows from RECALL, the least probability with which
 a similar pair shares a bucket, for the worst case: one set holds the other, the similarity is SIMILARITY, and all buckets
 are split down to DEPTH.
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import components, forest, ready, table, written
+from tallyhouse.llm.common import components, dropped, forest, ready, table, written
 from tallyhouse.llm.shingles import digest, mix, shingle_set
 
 SIMILARITY = 0.8
@@ -64,6 +66,12 @@ def first_picks(values: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([chosen(values, r * 0x1F123BB5 + 1) ^ np.uint64(r) for r in range(RUNS)]))
 
 
+def sketch(values: np.ndarray) -> int:
+    """The smallest hashes by two functions as one; equal for near copies in most cases."""
+    low = np.array([mix(values, 19).min(), mix(values, 23).min()])
+    return int((mix(low[:1], 29) ^ low[1:]).view(np.int64)[0])
+
+
 def with_sets(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of `docs` as in_*, the digest `c` of the text's shingle set (null if empty) and its size `n`."""
     own = [f"in_{c}" for c in docs.columns]
@@ -84,15 +92,15 @@ def with_sets(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def signed_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, c, n, picks, text) of every row, written: the digest of its set (null if empty), the set's size and its first
-    paths in all runs. The texts are read for this once; a task gives picks and text with the first row of a set only."""
+    """(doc_id, c, n, picks, sketch, text) of every row, written: the digest of its set (null if empty), the set's size, its first
+    paths in all runs and its sketch. The texts are read for this once; a task gives the last three with the first row of a set only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                c, n, picks, text = [], [], [], []
+                c, n, picks, sketches, text = [], [], [], [], []
                 for t in part.column(1).to_pylist():
                     values = shingle_set(t)
                     d = digest(values) if len(values) else None
@@ -102,11 +110,12 @@ def signed_sets(docs: DataFrame) -> DataFrame:
                     c.append(d)
                     n.append(len(values))
                     picks.append(first_picks(values).view(np.int64) if new else None)
+                    sketches.append(sketch(values) if new else None)
                     text.append(t if new else None)
-                arrays = [pa.array(c, pa.binary()), pa.array(n, pa.int64()), pa.array(picks, pa.list_(pa.int64())), pa.array(text, pa.string())]
-                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], ["doc_id", "c", "n", "picks", "text"])
+                arrays = [pa.array(c, pa.binary()), pa.array(n, pa.int64()), pa.array(picks, pa.list_(pa.int64())), pa.array(sketches, pa.int64())]
+                yield pa.RecordBatch.from_arrays([part.column(0), *arrays, pa.array(text, pa.string())], ["doc_id", "c", "n", "picks", "sketch", "text"])
 
-    kinds = [("c", T.BinaryType()), ("n", T.LongType()), ("picks", T.ArrayType(T.LongType())), ("text", T.StringType())]
+    kinds = [("c", T.BinaryType()), ("n", T.LongType()), ("picks", T.ArrayType(T.LongType())), ("sketch", T.LongType()), ("text", T.StringType())]
     schema = T.StructType([docs.schema["doc_id"], *(T.StructField(*k) for k in kinds)])
     return written(docs.select("doc_id", "text").mapInArrow(run, schema), "signed")
 
@@ -139,24 +148,53 @@ def _shared(paths: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return rows, sizes
 
 
+def near_copies(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(path, sketch) of the large buckets whose sets have one sketch, half of them or more. `rows` (path, m, c)."""
+    counts = rows.join(sketches, "c").groupBy("path", "m", "sketch").agg(F.count("*").alias("k")).where("2 * k >= m")
+    return counts.groupBy("path").agg(F.min("sketch").alias("sketch"))
+
+
 def buckets(signed: DataFrame, texts: DataFrame) -> DataFrame:
     """(path, m, shingles, c, n): sets of the buckets to compare, each distinct bucket once."""
-    found = []
+    sketches = signed.where("picks is not null").select("c", "sketch").distinct()
+    found, spent = [], []
     rows, sizes = _shared(signed.select(F.explode("picks").alias("path"), "c", "n").distinct(), "paths1")
     for depth in range(1, DEPTH + 1):
-        last = depth == DEPTH
-        found.append((rows, sizes if last else sizes.where(F.col("m") <= SMALL)))
+        spent += [rows, sizes]
         large = sizes.where(F.col("m") > SMALL)
-        if last or large.isEmpty():
+        if large.isEmpty():
+            found.append((rows, sizes))
+            break
+        crowded = rows.join(large.select("path", "m"), "path")
+        copies = written(near_copies(crowded, sketches), f"copies{depth}")
+        together = crowded.join(copies, "path").select(F.xxhash64(F.lit("near copies"), "sketch").alias("path"), "c", "n")
+        spent.append(copies)
+        if depth == DEPTH:
+            found.append((rows, sizes.join(copies, "path", "left_anti")))
+        else:
+            found.append((rows, sizes.where(F.col("m") <= SMALL)))
+        found.append((together, None))
+        apart = large.join(copies, "path", "left_anti")
+        if depth == DEPTH or apart.isEmpty():
             break
-        onward = rows.join(large.select("path"), "path", "left_semi").groupBy("c").agg(F.collect_list("path").alias("paths"))
+        onward = rows.join(apart.select("path"), "path", "left_semi").groupBy("c").agg(F.collect_list("path").alias("paths"))
         rows, sizes = _shared(next_paths(texts.join(onward, "c")), f"paths{depth + 1}")
+    merged = [t for t, counted in found if counted is None]
+    if merged:
+        groups = merged[0]
+        for more in merged[1:]:
+            groups = groups.unionByName(more)
+        rows, sizes = _shared(groups.distinct(), "groups")
+        spent += [rows, sizes]
+        found = [f for f in found if f[1] is not None] + [(rows, sizes)]
     sizes = found[0][1].select("path", "m", "shingles", "mark1", "mark2")
     rows = found[0][0]
     for more, counted in found[1:]:
         sizes, rows = sizes.unionByName(counted.select(sizes.columns)), rows.unionByName(more)
     once = sizes.groupBy("m", "mark1", "mark2").agg(F.min("path").alias("path"), F.first("shingles").alias("shingles")).select("path", "m", "shingles")
-    return written(rows.join(once, "path").distinct(), "buckets")
+    leaves = written(rows.join(once, "path").distinct(), "buckets")
+    dropped(*spent)
+    return leaves
 
 
 def _compare(path: int, sides: list[int], sets: list[np.ndarray], paths: list[np.ndarray]):
@@ -235,12 +273,15 @@ def classes(signed: DataFrame) -> DataFrame:
     texts = signed.where("text is not null").select("c", "text")
     leaves = buckets(signed, texts)
     found = written(similar_sets(leaves, texts), "similar")
+    dropped(leaves)
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("n_links"))
     roots = components(found.where("b is not null").select("a", "b"), "similar")
+    of = roots.withColumnRenamed("node", "c")
     sets = signed.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_copies"))
-    sets = sets.join(links.withColumnRenamed("a", "c"), "c", "left").join(roots.withColumnRenamed("node", "c"), "c", "left")
+    sets = sets.join(links.withColumnRenamed("a", "c"), "c", "left").join(of, "c", "left")
     sets = sets.select("c", "low", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "c").alias("root"))
     sets = written(sets, "sets")
+    dropped(found, roots)
     first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "c"))
     lowest = sets.groupBy("root").agg(first.alias("first"))
     return sets.join(lowest, "root").select("c", "n_copies", "n_links", F.col("first.low").alias("class_id"), F.col("first.c").alias("first_c"))
