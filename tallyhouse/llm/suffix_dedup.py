@@ -20,7 +20,9 @@ row per batch goes to the rank's partition and the rest are dealt by position: a
 is no hot key. What a round leaves is written, and its shuffle files go.
 
 Defined results: a null or empty text has no bytes. A row with a null id neither removes nor is removed from. Rows with the
-same id do not match each other (texts under one id are told apart by 15 bits of a hash); repeated rows get the same result.
+same id do not match each other. Where an id has several rows, its distinct texts (by 128 bits) are numbered and looked at once
+each; repeated rows get the same result. An empty table gives no rows. Other columns go along, whatever their names. `length`
+is at least SEED and at most 127 + SEED, so that places fit in a long.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import ready, table, written
+from tallyhouse.llm.common import dropped, ready, table, written
 from tallyhouse.llm.shingles import mix
 
 LENGTH = 50
@@ -89,18 +91,35 @@ def names(data: np.ndarray, start: np.ndarray, length: int, lane: int) -> np.nda
     return mix(out, 41)
 
 
-# A place in a document as one long: 15 bits of the text's hash, 34 of the first byte, 7 of the strings, 7 before the anchor.
-def _pack(mark: int | np.ndarray, start: np.ndarray, count: np.ndarray, before: np.ndarray) -> np.ndarray:
-    return (np.asarray(mark, np.int64) << 48) | (start.astype(np.int64) << 14) | (count.astype(np.int64) << 7) | before.astype(np.int64)
+# A place in a text as one long: the first byte, 7 bits of the strings, 7 of those before the anchor.
+def _pack(start: np.ndarray, count: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return (start.astype(np.int64) << 14) | (count.astype(np.int64) << 7) | before.astype(np.int64)
 
 
 def _unpack(place: np.ndarray) -> tuple[np.ndarray, ...]:
-    return place >> 48, (place >> 14) & ((1 << 34) - 1), (place >> 7) & 127, place & 127
+    return place >> 14, (place >> 7) & 127, place & 127
 
 
-def _bytes(text: str | None) -> tuple[np.ndarray, int]:
-    data = (text or "").encode("utf-8", "surrogatepass")
-    return np.frombuffer(data, np.uint8), int.from_bytes(hashlib.blake2b(data, digest_size=2).digest(), "little") & 0x7FFF
+def _bytes(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+
+
+def text_digest() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
+def distinct_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(doc, twin, text) of the distinct texts of each id, and (doc, digest, twin, text) of those of ids with several rows,
+    written (None without such ids). `twin` is 0 where an id has one row, and else a number of its own."""
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc"), "text")
+    often = written(rows.groupBy("doc").agg(F.count("*").alias("m")).where("m > 1").select("doc"), "repeated-ids")
+    if often.isEmpty():
+        dropped(often)
+        return rows.select("doc", F.lit(0).cast("long").alias("twin"), "text"), None
+    several = rows.join(often, "doc", "left_semi").withColumn("digest", text_digest()).groupBy("doc", "digest").agg(F.first("text").alias("text"))
+    twins = written(several.withColumn("twin", F.monotonically_increasing_id() + 1), "twins")
+    single = rows.join(often, "doc", "left_anti").select("doc", F.lit(0).cast("long").alias("twin"), "text")
+    return single.unionByName(twins.select(single.columns)), twins
 
 
 def _batch(columns: list[np.ndarray], fields: list[str]) -> pa.RecordBatch:
@@ -115,43 +134,42 @@ def _several(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return docs > np.repeat(low, size), np.repeat(low < high, size)
 
 
-def seeds(docs: DataFrame, length: int) -> DataFrame:
-    """(rank, doc, place, kind) of the anchors. kind 0: unknown; 1: repeats, and stands for its batch; 2: repeats."""
-    fields = ["rank", "doc", "place", "kind"]
+def seeds(texts: DataFrame, length: int) -> DataFrame:
+    """(rank, doc, twin, place, kind) of the anchors. kind 0: unknown; 1: repeats, and stands for its batch; 2: repeats."""
+    fields = ["rank", "doc", "twin", "place", "kind"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                found, doc = [], []
-                for d, t in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
-                    data, mark = _bytes(t)
+                found = []
+                for d, w, t in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
+                    data = _bytes(t)
                     if len(data) >= length:
                         rank, start, count, before = runs(data, length)
-                        found.append((rank, _pack(mark, start, count, before)))
-                        doc.append(np.full(len(rank), d, np.int64))
+                        found.append((rank, _pack(start, count, before), np.full(len(rank), d, np.int64), np.full(len(rank), w, np.int64)))
                 if found:
-                    rank, place, doc = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), np.concatenate(doc)
+                    rank, place, doc, twin = (np.concatenate(x) for x in zip(*found, strict=True))
                     order = np.argsort(rank, kind="stable")
-                    rank, place, doc = rank[order], place[order], doc[order]
+                    rank, place, doc, twin = rank[order], place[order], doc[order], twin[order]
                     later, any_other = _several(rank, doc)
                     kind = any_other.astype(np.int64)
                     kind[any_other & np.concatenate(([False], rank[1:] == rank[:-1]))] = 2
-                    yield _batch([rank, doc, place, kind], fields)
+                    yield _batch([rank, doc, twin, place, kind], fields)
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "rank long, doc long, place long, kind long")
+    return texts.select("doc", "twin", "text").mapInArrow(run, "rank long, doc long, twin long, place long, kind long")
 
 
 def repeated_seeds(rows: DataFrame) -> DataFrame:
-    """(doc, place) of the anchors whose rank two documents have."""
-    home = F.when(F.col("kind") < 2, F.col("rank")).otherwise(F.xxhash64("doc", "place"))
+    """(doc, twin, place) of the anchors whose rank two documents have."""
+    home = F.when(F.col("kind") < 2, F.col("rank")).otherwise(F.xxhash64("doc", "twin", "place"))
     rows = rows.repartition(home).sortWithinPartitions("rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3  # rows of the last rank, while one document has it
+        held = [np.zeros(0, np.int64)] * 4  # rows of the last rank, while one document has it
         known = None  # the last rank, once it is known to repeat
         for batch in batches:
             if batch.num_rows:
-                rank, doc, place, kind = (np.concatenate((h, c.to_numpy(zero_copy_only=False))) for h, c in zip([*held, np.zeros(len(held[0]), np.int64)], batch.columns, strict=True))
+                rank, doc, twin, place, kind = (np.concatenate((h, c.to_numpy(zero_copy_only=False))) for h, c in zip([*held, np.zeros(len(held[0]), np.int64)], batch.columns, strict=True))
                 first = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1])))
                 size = np.diff(np.append(first, len(rank)))
                 several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
@@ -160,40 +178,38 @@ def repeated_seeds(rows: DataFrame) -> DataFrame:
                 known = rank[-1] if several[-1] else None
                 keep = np.repeat(several, size)
                 rest = slice(len(rank), None) if several[-1] else slice(first[-1], None)
-                held = [rank[rest], doc[rest], place[rest]]
-                yield _batch([doc[keep], place[keep]], ["doc", "place"])
+                held = [rank[rest], doc[rest], twin[rest], place[rest]]
+                yield _batch([doc[keep], twin[keep], place[keep]], ["doc", "twin", "place"])
 
-    return rows.mapInArrow(run, "doc long, place long")
+    return rows.mapInArrow(run, "doc long, twin long, place long")
 
 
 def by_document(places: DataFrame, name: str) -> DataFrame:
-    """(doc, places): `places` (doc, place) gathered by document, written."""
-    return written(places.groupBy("doc").agg(F.collect_list("place").alias("places")), name)
+    """(doc, twin, places): `places` (doc, twin, place) gathered by text, written."""
+    return written(places.groupBy("doc", "twin").agg(F.collect_list("place").alias("places")), name)
 
 
-def at_places(docs: DataFrame, places: DataFrame, make, fields: str) -> DataFrame:
-    """Rows that `make(data, limit, doc, mark, first, start, count, before)` gives for the places (doc, places) of a batch of
+def at_places(texts: DataFrame, places: DataFrame, make, fields: str) -> DataFrame:
+    """Rows that `make(data, limit, doc, twin, first, start, count, before)` gives for the places (doc, twin, places) of a batch of
     texts, which lie one after another in `data`: `first` and `limit` are where the text of a place begins and ends in it,
     and `start` is the place's first byte in `data`."""
-    rows = docs.select("doc_id", "text").join(places.hint("shuffle_hash"), docs["doc_id"] == places["doc"]).select("doc_id", "text", "places")
+    rows = texts.join(places.hint("shuffle_hash"), ["doc", "twin"]).select("doc", "twin", "text", "places")
     columns = [f.split()[0] for f in fields.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(at, 500) for at in range(0, batch.num_rows, 500)):
-                texts = [_bytes(t) for t in part.column(1).to_pylist()]
-                sizes = np.array([len(d) for d, _ in texts], np.int64)
+                texts = [_bytes(t) for t in part.column(2).to_pylist()]
+                sizes = np.array([len(d) for d in texts], np.int64)
                 base = np.cumsum(sizes) - sizes
-                lists = part.column(2)
+                lists = part.column(3)
                 which = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-                mark, start, count, before = _unpack(lists.flatten().to_numpy(zero_copy_only=False))
-                mine = mark == np.array([m for _, m in texts])[which]
-                which, mark, start, count, before = which[mine], mark[mine], start[mine], count[mine], before[mine]
+                start, count, before = _unpack(lists.flatten().to_numpy(zero_copy_only=False))
                 if len(which):
-                    data = np.concatenate([d for d, _ in texts])
-                    doc = part.column(0).to_numpy(zero_copy_only=False)[which]
+                    data = np.concatenate(texts)
+                    doc, twin = (part.column(k).to_numpy(zero_copy_only=False)[which] for k in (0, 1))
                     first = base[which]
-                    rows = make(data, first + sizes[which], doc, mark, first, first + start, count, before)
+                    rows = make(data, first + sizes[which], doc, twin, first, first + start, count, before)
                     order = np.lexsort((rows[1], rows[0]))
                     rows = [r[order] for r in rows]
                     key = np.cumsum(np.concatenate(([0], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]))))
@@ -204,8 +220,8 @@ def at_places(docs: DataFrame, places: DataFrame, make, fields: str) -> DataFram
 
 
 def owned(rows: DataFrame, rest: list[str]) -> DataFrame:
-    """(doc, *rest, later) for `rows` (name1, name2, doc, *rest, later): `later` where a smaller document has the name."""
-    home: list[Column] = [F.when(F.col("later") == 0, F.col("name1")).otherwise(F.xxhash64("doc", "place"))]
+    """(doc, twin, *rest, later) for `rows` (name1, name2, doc, twin, *rest, later): `later` where a smaller document has the name."""
+    home: list[Column] = [F.when(F.col("later") == 0, F.col("name1")).otherwise(F.xxhash64("doc", "twin", "place"))]
     rows = rows.repartition(*home).sortWithinPartitions("name1", "name2", "later", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,46 +235,54 @@ def owned(rows: DataFrame, rest: list[str]) -> DataFrame:
                     lows[0] = low
                 behind = (later > 0) | (doc > np.repeat(lows, np.diff(np.append(first, len(one)))))
                 last, low = (one[-1], two[-1]), lows[-1]
-                yield _batch([doc, *more, behind], ["doc", *rest, "later"])
+                yield _batch([doc, *more, behind], ["doc", "twin", *rest, "later"])
 
-    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in ["doc", *rest, "later"]))
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in ["doc", "twin", *rest, "later"]))
 
 
-def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, places): the strings, as runs, that start in a document with a smaller id too. `docs` (doc_id, text)."""
+def repeats(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame | None]:
+    """(doc, twin, places): the strings, as runs, that start in a document with a smaller id too, and the numbered texts of ids
+    with several rows. `docs` (doc_id, text)."""
+    if not SEED <= length <= 127 + SEED:
+        raise ValueError(f"length must be from {SEED} to {127 + SEED}")
+    texts, twins = distinct_texts(docs)
     reach = (length - SEED + 1) // 2
 
-    def run_rows(data, limit, doc, mark, first, start, count, before):
+    def run_rows(data, limit, doc, twin, first, start, count, before):
         ends = [names(data, start, length, k) + names(data, start + count - 1, length, k) * _ODD[k] + count.astype(np.uint64) for k in (0, 1)]
         anchor = start + before
         sides = []
         for side, has in ((anchor - reach, before >= reach), (anchor, count > before - reach + 1)):
             has &= (side >= first) & (side + reach + SEED <= limit)
             sides.append(np.where(has, names(data, np.where(has, side, start), reach + SEED, 2), np.uint64(0)))
-        return (*(mix(e, 43) for e in ends), doc, _pack(mark, start - first, count, before), *sides)
+        return (*(mix(e, 43) for e in ends), doc, twin, _pack(start - first, count, before), *sides)
 
-    def string_rows(data, limit, doc, mark, first, start, count, before):
+    def string_rows(data, limit, doc, twin, first, start, count, before):
         each = np.repeat(np.arange(len(start)), count)
         at = start[each] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         one = np.ones(len(at), np.int64)
-        return names(data, at, length, 0), names(data, at, length, 1), doc[each], _pack(mark[each], at - first[each], one, one * 0)
+        return names(data, at, length, 0), names(data, at, length, 1), doc[each], twin[each], _pack(at - first[each], one, one * 0)
 
     longs = lambda *c: ", ".join(f"{x} long" for x in c)
-    places = by_document(repeated_seeds(seeds(docs, length)), "seeds")
-    found = at_places(docs, places, run_rows, longs("name1", "name2", "doc", "place", "left", "right", "later"))
+    places = by_document(repeated_seeds(seeds(texts, length)), "seeds")
+    found = at_places(texts, places, run_rows, longs("name1", "name2", "doc", "twin", "place", "left", "right", "later"))
     ranked = written(owned(found, ["place", "left", "right"]), "runs")
+    dropped(places)
     # The strings that hold a side: up to the one that begins `reach` before the anchor, and those after it.
     count, before = F.shiftright("place", 7).bitwiseAND(127), F.col("place").bitwiseAND(127)
     skip = F.greatest(before - reach + 1, F.lit(0))
     to_left = F.col("place") - F.shiftleft(count - F.least(count, skip), 7)
     to_right = F.col("place") + F.shiftleft(skip, 14) - F.shiftleft(skip, 7) - skip
     pairs = F.array(F.struct(F.col("left").alias("side"), to_left.alias("place")), F.struct(F.col("right").alias("side"), to_right.alias("place")))
-    sides = ranked.where("later = 0").select("doc", F.explode(pairs).alias("p")).select("doc", "p.side", "p.place").where("side <> 0")
+    sides = ranked.where("later = 0").select("doc", "twin", F.explode(pairs).alias("p")).select("doc", "twin", "p.side", "p.place").where("side <> 0")
     shared = sides.groupBy("side").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("side")
-    ends = by_document(sides.join(shared, "side", "left_semi").select("doc", "place"), "ends")
-    named = at_places(docs, ends, string_rows, longs("name1", "name2", "doc", "place", "later"))
-    single = written(owned(named, ["place"]).where("later = 1").select("doc", "place"), "strings")
-    return by_document(ranked.where("later = 1").select("doc", "place").unionByName(single), "repeats")
+    ends = by_document(sides.join(shared, "side", "left_semi").select("doc", "twin", "place"), "ends")
+    named = at_places(texts, ends, string_rows, longs("name1", "name2", "doc", "twin", "place", "later"))
+    single = written(owned(named, ["place"]).where("later = 1").select("doc", "twin", "place"), "strings")
+    dropped(ends)
+    repeated = by_document(ranked.where("later = 1").select("doc", "twin", "place").unionByName(single), "repeats")
+    dropped(ranked, single)
+    return repeated, twins
 
 
 def merged(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
@@ -273,10 +297,17 @@ def merged(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
 def removed(docs: DataFrame, fields: list[T.StructField], make, length: int = LENGTH) -> DataFrame:
     """All columns of `docs` (doc_id, text and others) and `fields`, which `make(data, spans)` gives for each text and the byte
     ranges to remove."""
-    cuts = repeats(docs, length).withColumnRenamed("places", "_places")
-    rows = docs.join(cuts.hint("shuffle_hash"), docs["doc_id"] == cuts["doc"], "left").drop("doc")
+    cuts, twins = repeats(docs, length)
     own = [f"in_{c}" for c in docs.columns]
-    rows = rows.select(*(F.col(c).alias(f"in_{c}") for c in docs.columns), "_places")
+    given = docs.toDF(*own).withColumn("_doc", F.col("in_doc_id").cast("long"))
+    number = F.lit(0).cast("long")
+    if twins is not None:
+        texts = docs.toDF(*own).withColumn("text", F.col("in_text"))
+        numbers = twins.select(F.col("doc").alias("_doc"), F.col("digest").alias("_digest"), F.col("twin").alias("_number"))
+        given = texts.withColumn("_doc", F.col("in_doc_id").cast("long")).withColumn("_digest", text_digest()).join(numbers, ["_doc", "_digest"], "left")
+        number = F.coalesce("_number", F.lit(0))
+    rows = given.withColumn("_twin", number).join(cuts.hint("shuffle_hash"), (F.col("_doc") == cuts["doc"]) & (F.col("_twin") == cuts["twin"]), "left")
+    rows = rows.select(*own, F.col("places").alias("_places"))
     at_text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,12 +316,10 @@ def removed(docs: DataFrame, fields: list[T.StructField], make, length: int = LE
                 part = batch.slice(at, 500)
                 out = []
                 for t, p in zip(part.column(at_text).to_pylist(), part.column(len(own)), strict=True):
-                    data, mark = _bytes(t)
-                    spans = []
+                    data, spans = _bytes(t), []
                     if p.is_valid:
-                        marks, start, count, _ = _unpack(np.sort(p.values.to_numpy(zero_copy_only=False)))
-                        mine = marks == mark
-                        spans = merged(start[mine], (start + count + length - 1)[mine])
+                        start, count, _ = _unpack(np.sort(p.values.to_numpy(zero_copy_only=False)))
+                        spans = merged(start, start + count + length - 1)
                     out.append(make(data, spans))
                 made = [pa.array(c, T_ARROW[f.dataType.typeName()]) for c, f in zip(zip(*out, strict=True), fields, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], [*own, *(f.name for f in fields)])
