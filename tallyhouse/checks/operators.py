@@ -588,6 +588,23 @@ _add(
     f"WITH {_NOW} SELECT * REPLACE (unit_price::DOUBLE AS unit_price, discount::DOUBLE AS discount) FROM lines_now",
     events=True,
 )
+_CUT = "(SELECT max(start_lsn) FROM raw_events WHERE received_at < TIMESTAMP '2024-01-15')"
+
+
+def _lines_after_cut(inputs: Inputs) -> DataFrame:
+    """Lines of a snapshot that holds the log up to a position: older changes are in it already and are not applied again."""
+    batch = _batch(inputs)
+    cut = inputs.adapter.raw_events().where(F.col("received_at") < F.lit("2024-01-15").cast("timestamp")).agg(F.max("start_lsn")).first()[0]
+    rows = changes.apply_changes(inputs.staged("order_details"), changes.row_changes(batch, LINES), BY_NAME["order_details"].keys, cut or "")
+    return rows.withColumn("discount", F.col("discount").cast("decimal(9,6)"))
+
+
+_add(
+    "c09_lines_after_snapshot", _lines_after_cut,
+    f"WITH {_NOW.replace('processing_error IS NULL),', f'processing_error IS NULL AND start_lsn > {_CUT}),', 1)} "
+    "SELECT * REPLACE (unit_price::DOUBLE AS unit_price, discount::DOUBLE AS discount) FROM lines_now",
+    events=True,
+)
 _add(
     "c11_pending_events",
     lambda i: changes.pending(i.adapter.raw_events()).select("event_id", "capture_instance", "start_lsn"),

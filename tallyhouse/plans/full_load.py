@@ -22,6 +22,7 @@ from tallyhouse.plans.star import TABLE_KEYS, Star
 from tallyhouse.sources.lake import Lake, Ledger
 from tallyhouse.sources.schemas import BY_NAME, CAPTURES
 from tallyhouse.sources.snapshot import stage
+from tallyhouse.sources.staged_changes import StagedChanges
 
 # Warehouse table -> staged table with the same number of rows.
 COUNT_GATES = {
@@ -38,6 +39,7 @@ RUN_SCHEMA = (
     "run_id string, pipeline_name string, run_type string, status string, started_at timestamp, "
     "finished_at timestamp, rows_read long, rows_written long, error_message string, metadata string, sequence long"
 )
+SNAPSHOT_SCHEMA = "table_name string, version long, at_lsn string, batch_id string, taken_at timestamp"
 PARALLEL_WRITES = 4
 
 
@@ -105,6 +107,8 @@ class Warehouse:
 
     def __post_init__(self):
         self.staging = Lake(self.spark, f"{self.root}/staging")
+        self.staged_changes = StagedChanges(self.spark, f"{self.root}/staged_changes")
+        self._held: dict[tuple[str, int], str] = {}
         self.star_lake = Lake(self.spark, f"{self.root}/star")
         self.events = Lake(self.spark, f"{self.root}/events")
         self.control = Ledger(self.spark, f"{self.root}/control")
@@ -113,16 +117,30 @@ class Warehouse:
         for lake in (self.staging, self.star_lake, self.events):
             lake.refresh()
 
+    def snapshot_lsn(self, table: str) -> str:
+        """Log position that the published snapshot of a staged table holds; a version's position never changes."""
+        version = int(self.staging.folder(table).rsplit("/v", 1)[1])
+        if (table, version) not in self._held:
+            known = self.control.read("snapshots")
+            mine = None if known is None else known.where((F.col("table_name") == table) & (F.col("version") == version)).first()
+            self._held[table, version] = mine.at_lsn if mine else ""
+        return self._held[table, version]
+
+    def log_position(self) -> str:
+        """Highest log position taken in so far; a snapshot read from now on holds all up to it."""
+        known = self.control.read("log_positions")
+        return (None if known is None else known.agg(F.max("start_lsn")).first()[0]) or ""
+
     def staged(self, table: str) -> DataFrame:
-        """Staged rows with the applied change events."""
-        base, changes = self.staging.parts(table)
-        base = base.select(*BY_NAME[table].schema.names)
-        return base if changes is None else apply_changes(base, changes, BY_NAME[table].keys)
+        """Staged rows: the snapshot, and the change events after the position it holds."""
+        base, changes = self.staging.base(table).select(*BY_NAME[table].schema.names), self.staged_changes.read(table)
+        return base if changes is None else apply_changes(base, changes, BY_NAME[table].keys, self.snapshot_lsn(table))
 
     def fold_staging(self) -> None:
         """Fold the applied change events of staging, so that reads stay cheap as batches add up."""
-        captured = {c.staged: BY_NAME[c.staged].keys for c in CAPTURES}
-        self.staging.fold_changes(captured, last_change)
+        self.refresh()
+        for capture in CAPTURES:
+            self.staged_changes.fold(capture.staged, BY_NAME[capture.staged].keys, self.snapshot_lsn(capture.staged), last_change)
 
     def aside(self, name: str, rows: DataFrame) -> DataFrame:
         """Write the intermediate rows of a batch and read them back: retries see the same rows."""
@@ -166,12 +184,23 @@ class Warehouse:
         quality.require(rows, what)
 
 
-def load_staging(house: Warehouse, read: Callable[[str], DataFrame], tables=None, batch_id: str | None = None) -> None:
-    """Snapshot source tables into staging and reconcile the row counts before publishing."""
+def load_staging(
+    house: Warehouse, read: Callable[[str], DataFrame], tables=None, batch_id: str | None = None, at_lsn: str | None = None
+) -> None:
+    """Snapshot source tables into staging and reconcile the row counts before publishing.
+
+    `at_lsn` is the end of the source's log just before the tables are read; without it, the last position taken in. The snapshot
+    holds all changes up to it. Later ones, also those taken in while this runs, are applied on top. A snapshot older than
+    the published one is refused, as changes between the two may have been folded.
+    """
     names = list(tables or BY_NAME)
     batch_id = batch_id or str(uuid.uuid4())
     house.refresh()
     started, lake = utc_now(), house.staging
+    position = house.log_position() if at_lsn is None else at_lsn
+    newer = [n for n in names if n in lake.tables() and house.snapshot_lsn(n) > position]
+    if newer:
+        raise ValueError(f"the published snapshots of {', '.join(newer)} hold the log beyond {position or 'its start'}")
     house.record_run(batch_id, "staging_load", "full", "running", started)
     version = lake.reserve_version(batch_id)
     sources = {name: read(name) for name in names}
@@ -181,6 +210,7 @@ def load_staging(house: Warehouse, read: Callable[[str], DataFrame], tables=None
     except Exception as error:
         house.record_run(batch_id, "staging_load", "full", "failed", started, error=f"{type(error).__name__}: {error}")
         raise
+    house.control.add("snapshots", SNAPSHOT_SCHEMA, *((name, version, position, batch_id, started) for name in names))
     lake.publish(version, *names)
     total = quality.table_counts(written).agg(F.sum("row_count")).first()[0]
     house.record_run(batch_id, "staging_load", "full", "success", started, rows_read=total, rows_written=total)

@@ -146,28 +146,21 @@ class Lake:
         return base if changes is None else overlay(base, resolve(changes.drop(BATCH_COLUMN), keys), keys)
 
     def compact(self, tables: dict[str, Iterable[str]]) -> int:
-        """Fold the change batches of these tables (name -> keys) into new bases."""
-        version = self.reserve_version("compact")
-        for table, keys in tables.items():
-            self.write_base(table, self.latest(table, list(keys)), version)
-        self.publish(version, *tables)
-        return version
-
-    def fold_changes(self, tables: dict[str, Iterable[str]], resolve: Callable) -> int:
-        """Fold the change batches of these tables into one batch, and drop the base rows it replaces.
-
-        The folded batch keeps the positions of the changes and their tombstones, so a change that
-        arrives late still loses against a newer one.
-        """
-        version = self.reserve_version("fold")
-        for table, keys in tables.items():
-            base, changes = self.parts(table)
-            if changes is None:
-                self.write_base(table, base, version)
-                continue
-            final = resolve(changes.drop(BATCH_COLUMN), list(keys))
-            self.write_base(table, base.join(final.select(*keys), list(keys), "left_anti").select(*base.columns), version)
-            target = f"{self.root}/{table}/v{version}/changes/{BATCH_COLUMN}=folded{version}"
-            final.write.mode("overwrite").parquet(target)
-        self.publish(version, *tables)
-        return version
+        """Fold the change batches of these tables (name -> keys) into new bases. A batch that arrives meanwhile is not lost:
+        the bases are written again with it before they are published."""
+        while True:
+            version, seen = self.reserve_version("compact"), self._batches(tables)
+            for table, keys in tables.items():
+                self.write_base(table, self.latest(table, list(keys)), version)
+            if self._batches(tables) == seen:
+                self.publish(version, *tables)
+                return version
+
+    def _batches(self, tables: Iterable[str]) -> list[tuple[str, str]]:
+        """Change batches of these tables, by name."""
+        found = []
+        for table in tables:
+            changes = self.parts(table)[1]
+            if changes is not None:
+                found += [(table, str(r[0])) for r in changes.select(BATCH_COLUMN).distinct().collect()]
+        return sorted(found)

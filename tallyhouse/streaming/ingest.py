@@ -19,7 +19,7 @@ from tallyhouse.sources.lake import BATCH_COLUMN
 from tallyhouse.sources.schemas import CAPTURES
 
 LOG_TABLE, LETTER_TABLE, OFFSET_TABLE, PIPELINE_LOG = "raw_events", "dead_letters", "offsets", "pipeline_logs"
-SERVICE = "cdc-consumer"
+POSITION_TABLE, SERVICE = "log_positions", "cdc-consumer"
 EMPTY_LOG = (
     "event_id string, capture_instance string, start_lsn string, seqval string, operation_code int, "
     "operation_type string, event_time timestamp, business_key string, payload string, topic string, "
@@ -69,7 +69,10 @@ def apply_batch(house: Warehouse, messages: DataFrame, batch_id: int | str) -> N
     )
     logged = house.events.append(LOG_TABLE, new, batch)
     for capture in CAPTURES:
-        house.staging.append(capture.staged, changes.row_changes(logged, capture), batch)
+        house.staged_changes.write(capture.staged, changes.row_changes(logged, capture), batch)
+    # Before the end of the batch: a snapshot begun from here on holds these positions.
+    positions = logged.agg(F.max("start_lsn").alias("start_lsn"), F.count("*").alias("events"))
+    positions.write.mode("overwrite").parquet(f"{root}/control/{POSITION_TABLE}/{BATCH_COLUMN}={batch}")
 
     offsets = parsed.groupBy("topic", "partition").agg(F.max("offset").alias("offset"), F.count("*").alias("messages"))
     offsets.withColumn("updated_at", F.current_timestamp()).write.mode("overwrite").parquet(

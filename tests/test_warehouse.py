@@ -1,11 +1,14 @@
+import os
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows_of
-from fixtures import line_event, messages, order_event, staging
+from fixtures import line_event, lsn, messages, order_event, staging
+from tallyhouse.operators.changes import last_change
 from tallyhouse.operators.quality import QualityError
-from tallyhouse.plans.full_load import Warehouse, run_full
+from tallyhouse.plans.full_load import Warehouse, load_staging, run_full
 from tallyhouse.plans.incremental_load import event_log, run_incremental, settled_before
 from tallyhouse.plans.marts import total_revenue
 from tallyhouse.streaming import ingest
@@ -170,3 +173,72 @@ def test_incremental_equals_full_rebuild(spark, house, tmp_path):
     assert rows_of(house.star.facts, *columns) == rows_of(rebuilt.star.facts, *columns)
 
 
+
+
+def _lines(house):
+    return rows_of(house.staged("order_details"), "order_id", "product_id", "quantity")
+
+
+def test_a_snapshot_loses_no_change(spark, house):
+    """Changes taken in while a snapshot is read stay, and older ones that arrive later do not undo it."""
+    ingest.apply_batch(house, messages(spark, line_event(10, 4, 1, 1, quantity=6), line_event(20, 4, 2, 1, quantity=7)), 0)
+    # The source by then: order 1 has 8 pieces, and order 3 is gone.
+    source = staging(spark)
+    source["order_details"] = source["order_details"].where("order_id <> 3").withColumn("quantity", F.expr("CASE WHEN order_id = 1 AND product_id = 1 THEN 8 WHEN order_id = 2 THEN 7 ELSE quantity END").cast("short"))
+
+    def read(name):
+        if name == "order_details":  # while the snapshot runs
+            ingest.apply_batch(house, messages(spark, line_event(30, 4, 1, 2, quantity=9), line_event(31, 2, 3, 2, quantity=4)), 1)
+        return source[name]
+
+    load_staging(house, read)
+    assert house.snapshot_lsn("order_details") == lsn(20)
+    expected = [(1, 1, 8), (1, 2, 9), (2, 1, 7), (3, 2, 4)]
+    assert _lines(house) == expected
+    # Older than the position of the snapshot, which holds it already.
+    ingest.apply_batch(house, messages(spark, line_event(15, 4, 1, 1, quantity=5), line_event(12, 2, 3, 1, quantity=2)), 2)
+    assert _lines(house) == expected
+    house.fold_staging()
+    assert _lines(house) == expected and len(house.staged_changes.batches("order_details")) == 1
+    ingest.apply_batch(house, messages(spark, line_event(29, 4, 1, 2, quantity=1), line_event(40, 1, 1, 2)), 3)
+    assert _lines(house) == [(1, 1, 8), (2, 1, 7), (3, 2, 4)]
+    house.fold_staging()
+    assert _lines(house) == [(1, 1, 8), (2, 1, 7), (3, 2, 4)]
+    # The next snapshot holds all of it; one from before the published one is refused.
+    with pytest.raises(ValueError):
+        load_staging(house, source.__getitem__, at_lsn=lsn(5))
+    load_staging(house, source.__getitem__, ("orders", "order_details"), at_lsn=lsn(50))
+    assert _lines(house) == [(1, 1, 8), (1, 2, 1), (2, 1, 7)]
+
+
+def test_folding_keeps_what_arrives_meanwhile(spark, house):
+    for k in (1, 2):
+        ingest.apply_batch(house, messages(spark, line_event(k, 4, 1, 1, quantity=10 + k)), k)
+
+    def late(rows, keys):
+        ingest.apply_batch(house, messages(spark, line_event(9, 4, 2, 1, quantity=99)), 9)
+        return last_change(rows, keys)
+
+    house.staged_changes.fold("order_details", ("order_id", "product_id"), "", late)
+    assert (1, 1, 12) in _lines(house) and (2, 1, 99) in _lines(house)
+    # A batch whose write did not finish does not count.
+    ingest.apply_batch(house, messages(spark, line_event(50, 1, 2, 1)), 10)
+    os.remove(f"{house.root}/staged_changes/order_details/apply_batch=b10/_SUCCESS")
+    assert (2, 1, 99) in _lines(house)
+
+
+def test_compaction_waits_for_a_batch_that_arrives_meanwhile(house):
+    take(house, 0, line_event(51, 1, 1, 1))
+    keys, lake, write = {"fact_orders": ("order_id", "product_key")}, house.star_lake, house.star_lake.write_base
+    calls = []
+
+    def slow(table, rows, version):
+        out = write(table, rows, version)
+        if not calls:
+            calls.append(1)
+            take(house, 1, line_event(52, 4, 2, 1, quantity=99))
+        return out
+
+    lake.write_base = slow
+    lake.compact(keys)
+    assert (2, "Axe", 99, 52) in live(house) and lake.changes("fact_orders") is None
