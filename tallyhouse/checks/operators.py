@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import functions as fn
+from tallyhouse import session
 from tallyhouse.checks.prelude import (
     canon,
     clean,
@@ -20,6 +23,8 @@ from tallyhouse.checks.registry import Inputs, register
 from tallyhouse.operators import assets, changes, envelope, incremental, latest, quality, scd2
 from tallyhouse.operators import dimensions as dims
 from tallyhouse.operators.facts import Lookups
+from tallyhouse.plans import publish_changes
+from tallyhouse.plans.full_load import Warehouse
 from tallyhouse.plans.incremental_load import event_states, with_states
 from tallyhouse.sources.schemas import BY_NAME, CAPTURES
 from tallyhouse.sources.snapshot import conform, stage
@@ -497,6 +502,89 @@ _add(
     events=True,
 )
 
+_CUT = "(SELECT max(start_lsn) FROM raw_events WHERE received_at < TIMESTAMP '2024-01-15')"
+_POLLED = ("first", "expired", "reset", "idle", "read", "quiet")
+
+
+def _poll_log(inputs: Inputs) -> DataFrame:
+    """The log dealt to five instances; `quiet` has no rows in it."""
+    names = F.array(*map(F.lit, _POLLED[:5]))
+    return inputs.adapter.raw_events().withColumn("capture_instance", F.element_at(names, (F.col("event_id") % 5 + 1).cast("int")))
+
+
+def _poll_marks(inputs: Inputs) -> DataFrame:
+    """No mark for `first`; the others' before the log, past its end, at its end, and within it."""
+    log = _poll_log(inputs)
+    part = log.where(F.col("received_at") < F.lit("2024-01-15").cast("timestamp")).agg(F.max("start_lsn").alias("mid"))
+    ends = log.agg(F.max("start_lsn").alias("last")).join(part)
+    marks = {"expired": F.lit(envelope.BEFORE_LOG), "reset": F.concat(F.lit("0x1"), F.substring("last", 4, 19)), "idle": F.col("last"), "read": F.col("mid"), "quiet": F.col("mid")}
+    rows = F.array(*(F.struct(F.lit(k).alias("capture_instance"), v.alias("last_start_lsn"), F.lit("s").alias("last_seqval"), F.lit("2024-01-01").cast("timestamp").alias("last_commit_time")) for k, v in marks.items()))
+    return ends.select(F.inline(rows))
+
+
+def _poll_ranges(inputs: Inputs) -> DataFrame:
+    return envelope.resolve_ranges(_poll_log(inputs).select("capture_instance", "start_lsn"), _poll_marks(inputs), "latest", _POLLED)
+
+
+_POLLS = """m AS (SELECT max(start_lsn) AS last, max(start_lsn) FILTER (received_at < TIMESTAMP '2024-01-15') AS mid FROM raw_events),
+    polls AS (SELECT unnest(['first', 'expired', 'reset', 'idle', 'read', 'quiet']) AS capture_instance,
+      unnest(['skip_to_latest', 'read', 'reset', 'idle', 'read', 'read']) AS action, unnest([true, true, false, false, false, false]) AS from_start,
+      unnest([NULL, '0x' || repeat('0', 20), '0x1' || last[4:], last, mid, mid]) AS after_lsn, last AS to_lsn FROM m)"""
+_add(
+    "c01_poll_actions", _poll_ranges,
+    f"WITH {_POLLS} SELECT * FROM polls",
+    events=True,
+)
+_add(
+    "c03_poll_marks",
+    lambda i: envelope.advance_marks(
+        _poll_ranges(i), _poll_marks(i), envelope.changes_in(_poll_log(i), _poll_ranges(i)), F.lit("2024-03-01 00:00:00").cast("timestamp")
+    ),
+    f"""WITH {_POLLS}, read AS (SELECT capture_instance, count(*) AS n, max(start_lsn) AS seqval, max_by(received_at, event_id) AS seen
+        FROM raw_events e JOIN polls p ON p.capture_instance = ['first', 'expired', 'reset', 'idle', 'read'][e.event_id % 5 + 1]
+        WHERE action = 'read' AND (from_start OR start_lsn > after_lsn) GROUP BY 1)
+        SELECT p.capture_instance, to_lsn AS last_start_lsn, CASE WHEN action IN ('read', 'idle') THEN coalesce(seqval, 's') END AS last_seqval,
+        {moment("coalesce(seen, CASE WHEN p.capture_instance <> 'first' THEN TIMESTAMP '2024-01-01' END)")} AS last_commit_time, 'running' AS status,
+        coalesce(n, 0) AS last_event_count, '2024-03-01 00:00:00.000000' AS last_polled_at FROM polls p LEFT JOIN read r USING (capture_instance)""".replace(
+        "(SELECT capture_instance, count", "(SELECT p.capture_instance, count"
+    ),
+    events=True,
+)
+
+
+def _source_changes(inputs: Inputs, instance: str) -> DataFrame:
+    """Change rows of a captured table under its source names."""
+    rows = inputs.adapter.raw_events().where(F.col("capture_instance") == instance)
+    fields = "OrderID long, CustomerID string, Freight string" if instance == ORDERS.instance else "OrderID long, ProductID int, UnitPrice string"
+    meta = ["start_lsn", "seqval", "operation_code", F.unhex(F.lit("1F")).alias("update_mask"), "event_time"]
+    return rows.withColumn("p", F.from_json("payload", fields)).select(*meta, "p.*")
+
+
+def _published(inputs: Inputs) -> DataFrame:
+    """What the publishing job leaves in its sink: the log in two parts as it grows, and an idle poll."""
+    house = Warehouse(inputs.spark, f"{session.shared_folder(inputs.spark)}/publish-{uuid.uuid4().hex}")
+    sink = publish_changes.FileSink(inputs.spark, f"{house.root}/records")
+    half = inputs.adapter.raw_events().where(F.col("received_at") < F.lit("2024-01-15").cast("timestamp")).agg(F.max("start_lsn")).first()[0]
+    for end in (half, None, None):
+        publish_changes.publish_changes(
+            house, lambda instance, end=end: _source_changes(inputs, instance).where(F.lit(True) if end is None else F.col("start_lsn") <= end), sink, "earliest"
+        )
+    value = lambda path: F.get_json_object("value", f"$.{path}")
+    return sink.read().select(
+        "poll", "topic", "key", value("event_id").alias("event_id"), value("operation_type").alias("operation_type"),
+        value("business_key").alias("business_key"), F.element_at("headers", 1)["value"].cast("string").alias("instance"),
+    )
+
+
+_add(
+    "s09_published_records", _published,
+    f"""SELECT CASE WHEN start_lsn <= {_CUT} THEN 1 ELSE 2 END AS poll, CASE capture_instance WHEN 'dbo_Orders' THEN 'orders.cdc' ELSE 'order_details.cdc' END AS topic,
+        order_id::VARCHAR AS key, capture_instance || ':' || start_lsn || ':' || start_lsn || ':' || operation_code AS event_id, operation_type,
+        '{{"OrderID":' || order_id || CASE capture_instance WHEN 'dbo_Orders' THEN '' ELSE ',"ProductID":' || product_number END || '}}' AS business_key,
+        capture_instance AS instance FROM raw_events""",
+    events=True,
+)
+
 # --- change application -----------------------------------------------------------------------
 
 _MESSAGES = """messages AS (SELECT *, CASE WHEN event_id % 53 = 0 THEN 'message value is empty' WHEN event_id % 31 = 0 THEN 'invalid JSON message'
@@ -588,9 +676,6 @@ _add(
     f"WITH {_NOW} SELECT * REPLACE (unit_price::DOUBLE AS unit_price, discount::DOUBLE AS discount) FROM lines_now",
     events=True,
 )
-_CUT = "(SELECT max(start_lsn) FROM raw_events WHERE received_at < TIMESTAMP '2024-01-15')"
-
-
 def _lines_after_cut(inputs: Inputs) -> DataFrame:
     """Lines of a snapshot that holds the log up to a position: older changes are in it already and are not applied again."""
     batch = _batch(inputs)

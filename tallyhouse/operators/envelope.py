@@ -17,6 +17,8 @@ SKIP_TO_LATEST, READ, RESET, IDLE = "skip_to_latest", "read", "reset", "idle"
 
 
 INSTANCES = (ORDERS_INSTANCE, LINES_INSTANCE)
+# Before all positions of a log: the mark of a table polled while the log was empty.
+BEFORE_LOG = "0x" + "0" * 20
 
 
 def resolve_ranges(log: DataFrame, marks: DataFrame, start_mode: str = "latest", instances=()) -> DataFrame:
@@ -86,7 +88,8 @@ def advance_marks(ranges: DataFrame, marks: DataFrame, published: DataFrame, pol
         .join(done, "capture_instance", "left")
         .select(
             "capture_instance",
-            F.col("to_lsn").alias("last_start_lsn"),
+            # An empty log has no end; the next poll then reads from its start.
+            F.coalesce("to_lsn", "last_start_lsn", F.lit(BEFORE_LOG)).alias("last_start_lsn"),
             F.when(~moved, F.coalesce("published_seqval", "last_seqval")).alias("last_seqval"),
             F.coalesce("published_time", "last_commit_time").alias("last_commit_time"),
             F.lit("running").alias("status"),
@@ -115,8 +118,8 @@ def json_safe(rows: DataFrame, columns) -> list[Column]:
     return [encode(name) for name in columns]
 
 
-def build_envelopes(changes: DataFrame, capture: CaptureSource) -> DataFrame:
-    """Stream records (key, value, headers) of change rows of one captured table.
+def build_envelopes(changes: DataFrame, capture: CaptureSource, carried=()) -> DataFrame:
+    """Stream records (key, value, headers, and the columns `carried`) of change rows of one captured table.
 
     `changes` has the meta columns, LSNs as text, and the table's columns under their source
     names. The record key is the order id, so all changes of an order stay in one partition.
@@ -143,4 +146,5 @@ def build_envelopes(changes: DataFrame, capture: CaptureSource) -> DataFrame:
                 F.lit("capture_instance").alias("key"), F.lit(capture.instance).cast("binary").alias("value")
             )
         ).alias("headers"),
+        *carried,
     )
