@@ -25,7 +25,7 @@ from tallyhouse.operators import dimensions as dims
 from tallyhouse.operators.facts import Lookups
 from tallyhouse.plans import publish_changes
 from tallyhouse.plans.full_load import Warehouse
-from tallyhouse.plans.incremental_load import event_states, with_states
+from tallyhouse.plans.incremental_load import event_states, judged_events, outcome_states, with_states
 from tallyhouse.sources.schemas import BY_NAME, CAPTURES
 from tallyhouse.sources.snapshot import conform, stage
 
@@ -799,6 +799,29 @@ _add(
        FROM (SELECT event_id, received_at < TIMESTAMP '2024-01-10' AS early FROM raw_events)""",
     events=True,
 )
+
+
+def _outcomes(inputs: Inputs) -> DataFrame:
+    """What becomes of each event where some name no order and a seventh of the products is not known."""
+    damaged = F.col("event_id") % 89 == 0
+    events = _batch(inputs).drop("dw_processed_at", "dw_processing_error").withColumns(
+        {c: F.when(damaged, "{}").otherwise(F.col(c)) for c in ("business_key", "payload")}
+    )
+    products = inputs.staged("products").where("product_id % 7 <> 0").select("product_id")
+    judged = judged_events(events, _orders_now(inputs), _lines_now(inputs), products)
+    rows = with_states(events, outcome_states(judged, "b1"))
+    return rows.select("event_id", "dw_processing_error", "dw_dead", F.col("dw_processed_at").isNotNull().alias("done"), "dw_attempt_count")
+
+
+_add(
+    "c18_event_outcomes", _outcomes,
+    f"""WITH {_NOW}, broken AS (SELECT DISTINCT order_id FROM lines_now JOIN orders_now USING (order_id)
+          WHERE product_id NOT IN (SELECT product_id FROM stg_products WHERE product_id % 7 <> 0)),
+        judged AS (SELECT event_id, CASE WHEN event_id % 89 = 0 THEN 'no valid order id'
+          WHEN order_id IN (SELECT order_id FROM broken) THEN 'unknown product in the order' END AS reason FROM batch)
+        SELECT event_id, reason AS dw_processing_error, reason IS NOT NULL AS dw_dead, reason IS NULL AS done, 1 AS dw_attempt_count FROM judged""",
+    events=True,
+)
 _add(
     "q13_stream_positions",
     lambda i: _parsed(i).groupBy("topic", "partition").agg(F.max("offset").alias("offset"), F.count("*").alias("messages")),

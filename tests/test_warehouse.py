@@ -9,7 +9,8 @@ from fixtures import line_event, lsn, messages, order_event, staging
 from tallyhouse.operators.changes import last_change
 from tallyhouse.operators.quality import QualityError
 from tallyhouse.plans.full_load import Warehouse, load_staging, run_full
-from tallyhouse.plans.incremental_load import event_log, run_incremental, settled_before
+from tallyhouse.plans import incremental_load
+from tallyhouse.plans.incremental_load import event_log, outcome_states, redrive, run_incremental, settled_before
 from tallyhouse.plans.marts import total_revenue
 from tallyhouse.streaming import ingest
 
@@ -242,3 +243,47 @@ def test_compaction_waits_for_a_batch_that_arrives_meanwhile(house):
     lake.write_base = slow
     lake.compact(keys)
     assert (2, "Axe", 99, 52) in live(house) and lake.changes("fact_orders") is None
+
+
+def test_one_poison_event_does_not_stop_a_thousand(spark, house):
+    """Single bad events are set aside with their reason; the rest of the batch goes on, and the mark with it."""
+    bodies = [line_event(100 + k, 4, 1 + k % 2, 1, quantity=k % 50 + 1) for k in range(997)]
+    nameless = order_event(3001, 3, 3)
+    nameless["business_key"] = nameless["payload"] = {}
+    ingest.apply_batch(house, messages(spark, *bodies, nameless, line_event(3002, 2, 3, 77), line_event(3003, 4, 3, 1, quantity=8)), 0)
+    outcome = run_incremental(house, isolate=True)
+    assert (outcome.events_read, outcome.events_dead) == (1000, 3)
+    assert _of(live(house), 1) == [(1, "Axe", 47, 1096), (1, "Saw", 1, 1096)] and _of(live(house), 2) == [(2, "Axe", 46, 1095)]
+    assert _of(live(house), 3) == [(3, "Axe", 2, 0)]
+    letters = house.control.read("event_dead_letters")
+    assert rows_of(letters, "start_lsn", "error") == [(lsn(3001), "no valid order id"), (lsn(3002), "unknown product in the order"), (lsn(3003), "unknown product in the order")]
+    assert house.control.read("event_states").count() == 1000
+    # Nothing waits, and the mark has moved past the dead ones.
+    assert run_incremental(house, isolate=True).events_read == 0 and event_log(house, settled_before(house)).isEmpty()
+    # The bad line is deleted; its order's events are taken up again.
+    ingest.apply_batch(house, messages(spark, line_event(3010, 1, 3, 77)), 1)
+    assert redrive(house, "unknown product in the order") == 2
+    outcome = run_incremental(house, isolate=True)
+    assert (outcome.events_read, outcome.events_dead) == (3, 0) and _of(live(house), 3) == [(3, "Axe", 8, 3010)]
+    states = event_log(house).groupBy("dw_dead").count()
+    assert rows_of(states) == [(False, 1000), (True, 1)]
+
+
+def test_events_tried_too_often_are_dead(spark, house):
+    ingest.apply_batch(house, messages(spark, line_event(41, 2, 1, 77)), 0)
+    with pytest.raises(QualityError):
+        run_incremental(house)
+    outcome = run_incremental(house, max_attempts=1)
+    assert (outcome.events_read, outcome.events_dead) == (0, 1)
+    assert rows_of(house.control.read("event_dead_letters"), "error") == [("too many attempts",)]
+    assert settled_before(house) > 0 and event_log(house, settled_before(house)).isEmpty()
+    assert run_incremental(house, max_attempts=1).events_dead == 0
+
+
+def test_states_are_counted(spark, house, monkeypatch):
+    ingest.apply_batch(house, messages(spark, line_event(41, 4, 1, 1), line_event(42, 4, 2, 1)), 0)
+    monkeypatch.setattr(incremental_load, "outcome_states", lambda judged, batch: outcome_states(judged.limit(1), batch))
+    with pytest.raises(QualityError, match="1 event states for 2 events read"):
+        run_incremental(house, isolate=True)
+    monkeypatch.undo()
+    assert run_incremental(house, isolate=True).events_read == 2
