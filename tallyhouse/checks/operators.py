@@ -28,6 +28,7 @@ from tallyhouse.plans.full_load import Warehouse
 from tallyhouse.plans.incremental_load import event_states, judged_events, outcome_states, with_states
 from tallyhouse.sources.schemas import BY_NAME, CAPTURES
 from tallyhouse.sources.snapshot import conform, stage
+from tallyhouse.streaming import throughput
 
 ORDERS, LINES = CAPTURES
 
@@ -830,6 +831,29 @@ _add(
     events=True,
 )
 
+
+
+def _corrected(inputs: Inputs) -> DataFrame:
+    """Events per hour of a stream whose batches overlap in time, so that many rows come late; corrections included."""
+    house = Warehouse(inputs.spark, f"{session.shared_folder(inputs.spark)}/throughput-{uuid.uuid4().hex}")
+    events = inputs.adapter.raw_events().select("event_id", "received_at")
+    for part in range(4):
+        throughput.take_batch(house, events.where(F.col("event_id") % 4 == part), "s", part, "2 days", "1 hour")
+    found = throughput.windows(house, "s", "2 days")
+    late = throughput.late_rows(house, "s").groupBy(F.date_trunc("hour", "received_at").alias("window_start")).agg(F.count("*").alias("late_rows"))
+    return found.join(late, "window_start", "left").select("window_start", "events", "corrections", "total", F.coalesce("late_rows", F.lit(0)).alias("late_rows"), "closed")
+
+
+_add(
+    "c21_corrected_throughput", _corrected,
+    f"""WITH r AS (SELECT event_id % 4 AS part, received_at, date_trunc('hour', received_at)::TIMESTAMP AS w FROM raw_events),
+        marks AS (SELECT p AS part, (SELECT max(received_at) - INTERVAL 2 DAY FROM r WHERE part < p) AS mark FROM range(4) x(p)),
+        f AS (SELECT w, count(*) AS total, count(*) FILTER (w + INTERVAL 1 HOUR <= mark) AS late FROM r JOIN marks USING (part) GROUP BY w)
+        SELECT {moment("w")} AS window_start, total - late AS events, late AS corrections, total, late AS late_rows,
+        w + INTERVAL 1 HOUR <= (SELECT max(received_at) - INTERVAL 2 DAY FROM r) AS closed FROM f""",
+    events=True,
+)
+
 # --- joins and checks -------------------------------------------------------------------------
 
 _add(

@@ -1,4 +1,6 @@
+import json
 import shutil
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from fixtures import line_event, messages, staging
 from tallyhouse.plans.full_load import Warehouse, load_staging
 from tallyhouse.streaming import ingest
 from tallyhouse.streaming.sources import file_messages
+from tallyhouse.streaming.throughput import late_rows, start_throughput, take_batch, windows
 
 
 def test_ingest_stream_restarts(spark, tmp_path):
@@ -73,3 +76,32 @@ def test_a_second_checkpoint_keeps_the_first_ones_events(spark, tmp_path):
         messages(spark, body).coalesce(1).write.parquet(inbox)
         ingest.start_ingest(house, file_messages(spark, inbox, 1), str(tmp_path / f"checkpoint{k}")).awaitTermination()
     assert house.events.history("raw_events").count() == 2
+
+
+def test_late_rows_are_kept_and_correct_closed_windows(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    inbox, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
+    schema = "received_at timestamp, event_id long"
+    at = lambda minute, second=0: datetime(2024, 3, 1, 10, minute, second)
+    files = [
+        [(at(0, 1), 1), (at(0, 59), 2), (at(4), 3)],
+        [(at(3), 4), (at(4, 30), 5), (at(9), 6), (None, 7)],  # watermark 10:02: none is late
+        [(at(0, 30), 8), (at(6, 59), 9), (at(7), 10), (at(4, 59), 11)],  # 10:07: three are
+        [],
+    ]
+    for k, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(schema).parquet(inbox)
+        start_throughput(house, stream, checkpoint, "2 minutes").awaitTermination()
+    stream = json.loads((tmp_path / "c" / "metadata").read_text())["id"]
+    assert rows_of(late_rows(house, stream), "event_id", "batch") == [(11, 2), (8, 2), (9, 2)]
+    found = windows(house, stream, "2 minutes")
+    assert rows_of(found.where("closed"), "window_start", "events", "corrections") == rows_of(
+        spark.createDataFrame([(at(0), 2, 1), (at(3), 1, 0), (at(4), 2, 1), (at(6), 0, 1)], "t timestamp, e long, c long")
+    )
+    everything = spark.read.schema(schema).parquet(inbox).where("received_at IS NOT NULL")
+    batch = everything.groupBy(F.date_trunc("minute", "received_at").alias("minute")).agg(F.count("*").alias("n"))
+    assert rows_of(found, "window_start", "total") == rows_of(batch)
+    # A batch that is run again replaces what it wrote.
+    take_batch(house, spark.createDataFrame(files[2], schema), stream, 2, "2 minutes", "1 minute")
+    assert rows_of(windows(house, stream, "2 minutes"), "window_start", "total") == rows_of(batch)
