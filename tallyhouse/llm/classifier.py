@@ -125,13 +125,15 @@ def with_columns(docs: DataFrame, text: str, fields: list[T.StructField], make)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Trees:
-    """Fits on at most SAMPLE_ROWS rows of `labels` (doc_id, quality) that are not held out; their texts come from `docs`."""
+    """Fits on at most SAMPLE_ROWS rows of `labels` (doc_id, quality) that are not held out; their texts come from `docs`. Of
+    the rows that repeat a doc_id at most SAMPLE_ROWS in all are taken, too, the first by a hash of the id."""
     usable = labels.select("doc_id", "quality").where(~_held_out() & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE_ROWS)
     # At most SAMPLE_ROWS rows of two numbers.
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     names = [T.StructField(s, T.DoubleType()) for s in STATISTICS]
-    rows = with_columns(texts, "text", names, lambda x: [pa.array(c) for c in x.T]).select("in_doc_id", "in_quality", *STATISTICS).toPandas()
+    rows = with_columns(texts, "text", names, lambda x: [pa.array(c) for c in x.T]).select("in_doc_id", "in_quality", *STATISTICS)
+    rows = rows.orderBy(F.xxhash64("in_doc_id"), "in_doc_id", "in_quality", *STATISTICS).limit(SAMPLE_ROWS).toPandas()
     rows = rows.sort_values([*STATISTICS, "in_quality"])
     return fit(rows[list(STATISTICS)].to_numpy(float), rows["in_quality"].to_numpy(float))
 

@@ -5,12 +5,14 @@ children in order, each with its hash and the bytes it covers, which gives their
 of another length changes the nodes above it, and no others. Roots are compared first, and only below nodes that
 differ are the next nodes compared: sound parts of the archive cost one comparison each.
 
-A node stands for a range of ids, not of positions, so a lost record does not shift what follows it. Every level is one
-aggregation over a table a FANOUT-th as large as the one below; a group has FANOUT rows at most. Records that share an id
-are folded to counts and sums of their digests, which needs no list of them.
-
-Defined results: null urls and bodies are empty. Records with a null id are audited as those of one id, null. Repeated rows
-count: a record that one replica has twice and the other once differs. Empty replicas differ in nothing, or in everything.
+A leaf is the place of a record in the order in which the files hold them, counted over the records of both replicas, so a
+lost record does not shift what follows it, and ids may be any longs, dense or thin. Places are counted in ranges of ids, whose
+sizes are added up. Every level is one aggregation over a table a FANOUT-th as large as the one below; a group has FANOUT rows
+at most. Records that share an id are folded to counts and sums of their digests, which needs no list of them.
+
+Defined results: null urls and bodies are empty. Records with a null id are audited as those of one id, null, which comes first.
+Repeated rows count: a record that one replica has twice and the other once differs. Empty replicas differ in nothing, or in
+everything; empty tables give no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -18,11 +20,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import table, written
+from tallyhouse.llm.common import dropped, table, written
 
 FANOUT = 16
-#: Ids per WARC file.
-FILE_IDS = 4096
+#: Ids per WARC file, as a power of two.
+FILE_BITS = 12
 
 
 def records(pages: DataFrame) -> DataFrame:
@@ -34,7 +36,7 @@ def records(pages: DataFrame) -> DataFrame:
         F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"),
     )
     rows = pages.select(
-        F.col("page_id").alias("id"), F.floor(F.col("page_id") / FILE_IDS).alias("file"), F.octet_length(record).cast("long").alias("length"),
+        F.col("page_id").alias("id"), F.shiftright(F.col("page_id").cast("long"), FILE_BITS).alias("file"), F.octet_length(record).cast("long").alias("length"),
         F.sha2(record, 256).alias("digest"),
     )
     before = Window.partitionBy("file").orderBy("id", "digest").rowsBetween(Window.unboundedPreceding, -1)
@@ -53,14 +55,26 @@ def leaves(rows: DataFrame) -> DataFrame:
     )
 
 
-def levels(rows: DataFrame, low: int, height: int, name: str) -> list[DataFrame]:
-    """The tree (node, hash, bytes) from its leaves to the root; level k has nodes of FANOUT**k ids. Node 0 of the leaves is the
-    null id, the others follow from 1."""
-    node = F.when(F.col("id").isNull(), F.lit(0)).otherwise(F.col("id").cast("decimal(38,0)") - low + 1).cast("long")
-    out = [written(leaves(rows).select(node.alias("node"), "hash", "bytes"), f"{name}-0")]
+def places(ids: DataFrame, name: str) -> DataFrame:
+    """(id, node): the places of the distinct `ids` in their order, from 0, written."""
+    dealt = ids.select("id").distinct().repartitionByRange(F.asc_nulls_first("id")).withColumn("part", F.spark_partition_id())
+    dealt = written(dealt, f"{name}-dealt")
+    before = F.sum("m").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row per range of ids
+    starts = dealt.groupBy("part").agg(F.count("*").alias("m")).withColumn("before", F.coalesce(before, F.lit(0)))
+    number = F.row_number().over(Window.partitionBy("part").orderBy(F.asc_nulls_first("id"))) - 1
+    found = written(dealt.withColumn("number", number).join(starts.select("part", "before"), "part").select("id", (F.col("before") + F.col("number")).alias("node")), name)
+    dropped(dealt)
+    return found
+
+
+def levels(rows: DataFrame, order: DataFrame, height: int, name: str) -> list[DataFrame]:
+    """The tree (node, hash, bytes) from its leaves to the root; `order` has the places of the ids, and level k has nodes of
+    FANOUT**k places."""
+    found = leaves(rows).withColumnRenamed("id", "own")
+    out = [written(found.join(order, found["own"].eqNullSafe(order["id"])).select("node", "hash", "bytes"), f"{name}-0")]
     for k in range(1, height + 1):
         children = F.array_sort(F.collect_list(F.struct("node", "hash", "bytes")))
-        up = out[-1].groupBy(F.floor(F.col("node") / FANOUT).alias("parent")).agg(children.alias("c"))
+        up = out[-1].groupBy(F.expr(f"node div {FANOUT}").alias("parent")).agg(children.alias("c"))
         inside = F.transform("c", lambda x: F.concat_ws(":", x["node"], x["hash"], x["bytes"]))
         out.append(written(up.select(
             F.col("parent").alias("node"), F.sha2(F.array_join(inside, "/"), 256).alias("hash"),
@@ -72,29 +86,28 @@ def levels(rows: DataFrame, low: int, height: int, name: str) -> list[DataFrame]
 def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     """Records that the replicas (see `records`) do not have the same number of times: id, digest, n_first, n_second, and the
     file and first offset in each."""
-    both = first.select("id").unionByName(second.select("id")).agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
-    low, span = both["low"] or 0, (both["high"] or 0) - (both["low"] or 0) + 2
-    height = next(k for k in range(1, 20) if FANOUT**k >= span)
-    one, two = levels(first, low, height, "first"), levels(second, low, height, "second")
+    order = places(first.select("id").unionByName(second.select("id")), "places")
+    height = next(k for k in range(1, 20) if FANOUT**k >= order.count())
+    one, two = levels(first, order, height, "first"), levels(second, order, height, "second")
     suspects = None
     for a, b in zip(reversed(one), reversed(two), strict=True):
         if suspects is not None:
-            a, b = (x.withColumn("parent", F.floor(F.col("node") / FANOUT)).join(suspects, "parent", "left_semi") for x in (a, b))
+            a, b = (x.withColumn("parent", F.expr(f"node div {FANOUT}")).join(suspects, "parent", "left_semi") for x in (a, b))
         nodes = a.select("node", F.col("hash").alias("x")).join(b.select("node", F.col("hash").alias("y")), "node", "full_outer")
         suspects = nodes.where(~F.col("x").eqNullSafe(F.col("y"))).select(F.col("node").alias("parent"))
-    node = F.when(F.col("id").isNull(), F.lit(0)).otherwise(F.col("id").cast("decimal(38,0)") - low + 1).cast("long")
-    suspects = written(suspects, "suspects")
+    suspects = written(order.join(suspects, F.col("node") == F.col("parent"), "left_semi").select(F.col("id").alias("own"), F.col("node").alias("parent")), "suspects")
+    dropped(order, *one, *two)
 
     def counts(rows: DataFrame, k: str) -> DataFrame:
-        return rows.withColumn("parent", node).join(suspects, "parent", "left_semi").groupBy("parent", "id", "digest").agg(
+        return rows.join(suspects, rows["id"].eqNullSafe(suspects["own"])).groupBy("parent", "id", "digest").agg(
             F.count("*").alias(f"n_{k}"), F.min("file").alias(f"file_{k}"), F.min("start").alias(f"start_{k}")
         )
 
-    found = counts(first, "first").join(counts(second, "second").drop("id").withColumnRenamed("digest", "d").withColumnRenamed("parent", "p"), (F.col("parent") == F.col("p")) & (F.col("digest") == F.col("d")), "full_outer")
-    ids = F.coalesce("parent", "p")
+    other = counts(second, "second").select(F.col("parent").alias("p"), F.col("id").alias("i"), F.col("digest").alias("d"), "n_second", "file_second", "start_second")
+    found = counts(first, "first").join(other, (F.col("parent") == F.col("p")) & (F.col("digest") == F.col("d")), "full_outer")
     count = lambda k: F.coalesce(f"n_{k}", F.lit(0))
     return found.where(count("first") != count("second")).select(
-        F.when(ids > 0, (ids.cast("decimal(38,0)") + low - 1).cast("long")).alias("id"), F.coalesce("digest", "d").alias("digest"),
+        F.coalesce("id", "i").alias("id"), F.coalesce("digest", "d").alias("digest"),
         count("first").alias("n_first"), count("second").alias("n_second"), F.coalesce("file_first", "file_second").alias("file"),
         "start_first", "start_second",
     )

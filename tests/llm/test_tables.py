@@ -31,12 +31,42 @@ def test_damage_is_located(spark):
 def test_damage_leaves_other_branches_alone(spark):
     rows = fixity.records(spark.createDataFrame([(k, "u", "b" * k) for k in range(600)], PAGES))
     lost = fixity.records(spark.createDataFrame([(k, "u", "b" * k) for k in range(600) if k != 20], PAGES))
-    one, two = (fixity.levels(x, 0, 3, n) for x, n in ((rows, "a"), (lost, "b")))
+    order = fixity.places(rows.select("id").unionByName(lost.select("id")), "order")
+    one, two = (fixity.levels(x, order, 3, n) for x, n in ((rows, "a"), (lost, "b")))
     for k in (1, 2):
         other = two[k].select("node", "hash", "bytes")
         assert one[k].select("node", "hash", "bytes").exceptAll(other).count() == 1
 
 
+def test_ids_of_any_size(spark):
+    ids = [-(1 << 63), (1 << 63) - 1, 0, -1, None, 1 << 40, 5] + [k * 92233720368547 for k in range(-300, 300, 7)]
+    rows = [(k, f"u{k}", "body") for k in ids]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], f"{PAGES}, node string, FILE int")
+    other = spark.createDataFrame([(k, u, "bad" if k in (-(1 << 63), 1 << 40) else b) for k, u, b in rows if k != 5], PAGES)
+    found = fixity.audit(fixity.records(frame), fixity.records(other)).collect()
+    assert sorted((r.id, r.n_first, r.n_second, r.file) for r in found) == sorted(
+        [(-(1 << 63), 1, 0, -(1 << 51)), (-(1 << 63), 0, 1, -(1 << 51)), (1 << 40, 1, 0, 1 << 28), (1 << 40, 0, 1, 1 << 28), (5, 1, 0, 0)]
+    )
+    order = {r.id: r.node for r in fixity.places(spark.createDataFrame(rows + rows[:3], PAGES).withColumnRenamed("page_id", "id"), "any").collect()}
+    assert [order[k] for k in sorted(order, key=lambda k: (k is not None, k))] == list(range(len(set(ids))))
+
+
+def test_spans_after_a_rewrite():
+    def summed(turns, first):  # from the third turn on, a summary stands in front
+        return ("SUMMARY;" if len(turns) > 2 else "") + "".join(t for _, t in turns)
+
+    found = list(chat.spans(iter([("user", t) for t in ("aa", "Sb", "ccc", "d")]), summed))
+    assert found == [("aa", 0, False), ("Sb", 2, False), ("SUMMARY;aaSbccc", 0, True), ("d", 15, False)]
+    whole = summed([("user", t) for t in ("aa", "Sb", "ccc", "d")], 0)
+    assert whole[found[3][1] :] == "d"
+
+    def edited(turns, first):  # each turn changes the end of the one before
+        return "".join(t + ("." if k == len(turns) - 1 else ",") for k, (_, t) in enumerate(turns))
+
+    found = list(chat.spans(iter([("user", t) for t in ("one", "two", "six")]), edited))
+    assert found == [("one.", 0, False), (",two.", 3, True), (",six.", 7, True)]
+
+
 def test_chat_round_trip(spark):
     said = ["", "\\", "</s>", "<\\s>", "[INST] x [/INST]", "<s><s>", "[ROLE] user [/ROLE]", "a\n\\\\</s", "é" * 3]
     rows = [(c, t, r, x) for c, x in enumerate(said) for t, r in enumerate(["system", "user", "assistant", "user", "assistant", None, "</s>"])]
