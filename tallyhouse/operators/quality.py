@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.keys import clean_text
 from tallyhouse.operators.dimensions import CUSTOMER, EMPLOYEE, PRODUCT, SHIPPER
 
 PASSED, FAILED = "passed", "failed"
@@ -36,6 +38,33 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def counted_in_write(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """`rows`, and an observation that has their number as `rows` once a job has written them: the source is read once. Nothing
+    between here and the write may shuffle, so that each row counts in one task."""
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def known_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Row counts the driver has, one row per table."""
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")
+
+
+def calendar_count(orders: DataFrame, margin_days: int = 365) -> DataFrame:
+    """Rows that dim_date must have: every day of the orders' dates and the margin on both sides."""
+    dates = orders.select(F.explode(F.array(*(F.col(c).cast("date") for c in ("order_date", "required_date", "shipped_date")))).alias("day"))
+    days = F.datediff(F.max("day"), F.min("day")) + 1 + 2 * margin_days
+    return dates.agg(F.coalesce(days, F.lit(0)).cast("long").alias("row_count")).select(F.lit("dim_date").alias("table_name"), "row_count")
+
+
+def place_count(roles: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """Rows that dim_geography must have: the distinct addresses of all roles (rows, column prefix)."""
+    parts = ("country", "region", "city", "postal_code", "address")
+    keys = [rows.select(F.sha2(F.to_json(F.array(*(clean_text(F.col(prefix + p)) for p in parts))), 256).alias("place")) for rows, prefix in roles]
+    places = reduce(DataFrame.unionByName, keys)
+    return places.agg(F.countDistinct("place").alias("row_count")).select(F.lit("dim_geography").alias("table_name"), "row_count")
+
+
 def _status(expected: Column, actual: Column) -> Column:
     return F.when(expected.eqNullSafe(actual), PASSED).otherwise(FAILED)
 

@@ -9,7 +9,7 @@ from fixtures import line_event, lsn, messages, order_event, staging
 from tallyhouse.operators.changes import last_change
 from tallyhouse.operators.quality import QualityError
 from tallyhouse.plans.full_load import Warehouse, load_staging, run_full
-from tallyhouse.plans import incremental_load
+from tallyhouse.plans import full_load, incremental_load
 from tallyhouse.plans.incremental_load import event_log, outcome_states, redrive, run_incremental, settled_before
 from tallyhouse.plans.marts import total_revenue
 from tallyhouse.streaming import ingest
@@ -287,3 +287,24 @@ def test_states_are_counted(spark, house, monkeypatch):
         run_incremental(house, isolate=True)
     monkeypatch.undo()
     assert run_incremental(house, isolate=True).events_read == 2
+
+
+def test_counts_come_from_the_write(spark, tmp_path, monkeypatch):
+    """Each source is read once; all star tables are gated; lost rows stop the load."""
+    house, reads = Warehouse(spark, str(tmp_path / "house")), spark.sparkContext.accumulator(0)
+    tables = staging(spark)
+    seen = F.udf(lambda x: reads.add(1) or x, "int")
+    tables["shippers"] = tables["shippers"].withColumn("shipper_id", seen("shipper_id"))
+    tables["regions"] = tables["regions"].limit(0)
+    load_staging(house, tables.__getitem__)
+    assert reads.value == 3
+    results = house.control.read("data_quality_results")
+    assert results.where("status = 'passed'").count() == 11 and rows_of(results.where("table_name = 'regions'"), "expected_value") == [("0",)]
+    full_load.load_star(house)
+    gated = house.control.read("data_quality_results").where("status = 'passed'").select("table_name").distinct()
+    assert {"dim_date", "dim_geography", "fact_orders", "dim_territory"} <= {r[0] for r in gated.collect()} and gated.count() == 21
+    write = house.star_lake.write_base
+    for lost in ("dim_date", "dim_geography"):
+        monkeypatch.setattr(house.star_lake, "write_base", lambda t, rows, v, lost=lost: write(t, rows.limit(2) if t == lost else rows, v))
+        with pytest.raises(QualityError, match=lost):
+            full_load.load_star(house)
