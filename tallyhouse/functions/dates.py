@@ -71,6 +71,7 @@ def calendar_days(rows: DataFrame, *date_columns: str, margin_days: int = 365) -
 def calendar_columns(day: Column) -> list[Column]:
     """Calendar attributes of a day; weeks start on Sunday = 1."""
     weekday = F.dayofweek(day)
+    # The columns of the date table, their names and order.
     return [
         date_key(day).alias("date_key"),
         day.alias("full_date_alternate_key"),

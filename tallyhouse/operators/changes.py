@@ -20,7 +20,7 @@ from tallyhouse.sources.schemas import (
 
 EVENT_IDENTITY = ("capture_instance", *CHANGE_ORDER)
 
-# Why a message is refused, in the order the reasons are checked.
+# Why a message is refused, in the order the reasons are checked.
 EMPTY_VALUE = "message value is empty"
 INVALID_JSON = "invalid JSON message"
 NOT_AN_OBJECT = "message is not a JSON object"
