@@ -387,6 +387,46 @@ _add(
         UNION ALL SELECT 'N' || customer_id, company_name, {_T1}, NULL, 1 FROM k WHERE n % 5 = 0""",
 )
 
+
+def _orders_with_versions(inputs: Inputs) -> DataFrame:
+    """Orders with the customer's name and first day at the order's date: three loads, the second and third with changes."""
+    days = ("1993-01-01", "1995-06-17", "1997-03-01")
+    customers, key = inputs.staged("customers"), F.col("customer_id").cast("long")
+    ltd = F.when(key % 7 == 0, F.concat("company_name", F.lit(" Ltd"))).otherwise(F.col("company_name"))
+    snapshots = [
+        customers.where(key % 13 != 0),
+        customers.where(key % 11 != 0).withColumn("company_name", ltd),
+        # Back to the old name, but for every third of the renamed; those that were gone are back.
+        customers.withColumn("company_name", F.when(key % 3 == 0, ltd).otherwise(F.col("company_name"))),
+    ]
+    history = None
+    for number, (moment, snapshot) in enumerate(zip(days, snapshots)):
+        rows = dims.customer_dimension(snapshot, dims.Load("b", f"{moment} 00:00:00", number, "sha2"))
+        history = rows if history is None else scd2.scd2_merge(history, rows, dims.CUSTOMER, F.lit(moment), close_missing=True)
+    orders = inputs.staged("orders").select("order_id", "customer_id", "order_date")
+    found = scd2.versions_at(
+        orders, "customer_id", "order_date", history, dims.CUSTOMER, {"company_name": "company_name", "since": "start_date"}
+    )
+    return found.select("order_id", "company_name", "since")
+
+
+_DAY0, _DAY1, _DAY2 = (f"'{d} 00:00:00.000000'" for d in ("1993-01-01", "1995-06-17", "1997-03-01"))
+_add(
+    "m12_versions_at_order_date", _orders_with_versions,
+    f"""WITH k AS (SELECT *, customer_id::BIGINT AS n FROM stg_customers),
+        spans AS (
+          SELECT customer_id, company_name, {_DAY0} AS since, '' AS lo,
+            CASE WHEN n % 11 = 0 OR n % 7 = 0 THEN {_DAY1} ELSE '9999' END AS hi FROM k WHERE n % 13 <> 0
+          UNION ALL SELECT customer_id, company_name || CASE WHEN n % 7 = 0 THEN ' Ltd' ELSE '' END, {_DAY1},
+            CASE WHEN n % 13 = 0 THEN '' ELSE {_DAY1} END, CASE WHEN n % 7 = 0 AND n % 3 <> 0 THEN {_DAY2} ELSE '9999' END
+          FROM k WHERE n % 11 <> 0 AND (n % 13 = 0 OR n % 7 = 0)
+          UNION ALL SELECT customer_id, company_name || CASE WHEN n % 7 = 0 AND n % 3 = 0 THEN ' Ltd' ELSE '' END, {_DAY2},
+            CASE WHEN n % 11 = 0 AND n % 13 = 0 THEN '' ELSE {_DAY2} END, '9999'
+          FROM k WHERE n % 11 = 0 OR (n % 7 = 0 AND n % 3 <> 0))
+        SELECT o.order_id, s.company_name, s.since FROM stg_orders o LEFT JOIN spans s ON s.customer_id = o.customer_id
+          AND strftime(o.order_date, '%Y-%m-%d %H:%M:%S.%f') >= s.lo AND strftime(o.order_date, '%Y-%m-%d %H:%M:%S.%f') < s.hi""",
+)
+
 _ASSETS = """WITH docs AS (SELECT doc_id, doc_id % 7 AS kind, encode(text) AS body, encode(repeat('w', 78)) AS wrapper FROM documents),
   assets AS (SELECT doc_id, kind, CASE kind
       WHEN 0 THEN unhex('89504E470D0A1A0A') || body WHEN 1 THEN unhex('FFD8FF') || body || unhex('FFD9')

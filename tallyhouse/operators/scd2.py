@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.dimensions import Dimension
@@ -48,3 +48,41 @@ def as_of_view(history: DataFrame, moment: Column) -> DataFrame:
     """Rows valid at a moment."""
     ended = F.col("end_date").isNotNull() & (F.col("end_date") <= moment)
     return history.where((F.col("start_date") <= moment) & ~ended)
+
+
+FIRST_MOMENT, LAST_MOMENT = "0001-01-01 00:00:00", "9999-12-31 00:00:00"
+
+
+def versions_at(
+    rows: DataFrame, key: str, moment: str, history: DataFrame, dimension: Dimension, take: dict[str, str]
+) -> DataFrame:
+    """`rows` with columns of the version of member `key` that is valid at `moment`: new name -> column of the history.
+
+    The first version of a member covers all moments before it too; a NULL moment means the last version. Rows whose member is
+    unknown, NULL, or closed at that moment get NULLs. A repeated row stays repeated.
+
+    There is no range join: the distinct (member, moment) pairs and the starts of versions are put in one order per
+    member, and each pair takes the last start before it. So a partition holds a member's versions and distinct moments,
+    not its rows; rows then meet their pair by equality, where AQE splits a hot one.
+    """
+    natural_type = history.schema[dimension.natural].dataType
+    keyed = rows.withColumns(
+        {
+            "_member": F.col(key).cast(natural_type),
+            "_moment": F.coalesce(F.col(moment).cast("timestamp"), F.lit(LAST_MOMENT).cast("timestamp")),
+        }
+    )
+    pairs = keyed.where("_member IS NOT NULL").select("_member", "_moment").distinct()
+    first = F.min("start_date").over(Window.partitionBy(dimension.natural))
+    since = F.when(F.col("start_date") == first, F.lit(FIRST_MOMENT).cast("timestamp")).otherwise(F.col("start_date"))
+    version = F.struct(F.col("end_date").alias("_until"), *[F.col(c).alias(name) for name, c in take.items()])
+    starts = history.select(F.col(dimension.natural).alias("_member"), since.alias("_moment"), version.alias("_version_"))
+    marked = starts.withColumn("_asked", F.lit(False)).unionByName(
+        pairs.withColumn("_asked", F.lit(True)), allowMissingColumns=True
+    )
+    in_time = Window.partitionBy("_member").orderBy("_moment", "_asked", F.asc_nulls_last("_version_._until"))
+    found = marked.withColumn("_valid", F.last("_version_", ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
+    still = F.col("_valid._until").isNull() | (F.col("_valid._until") > F.col("_moment"))
+    answers = found.where("_asked").select("_member", "_moment", F.when(still, F.col("_valid")).alias("_valid"))
+    joined = keyed.join(answers, ["_member", "_moment"], "left")
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(f"_valid.`{name}`").alias(name) for name in take])

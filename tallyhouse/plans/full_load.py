@@ -18,6 +18,7 @@ from tallyhouse.operators import dimensions as dims
 from tallyhouse.operators import quality
 from tallyhouse.operators.changes import apply_changes, last_change
 from tallyhouse.operators.facts import Lookups, employee_territory_facts, full_order_facts
+from tallyhouse.plans import history as kept
 from tallyhouse.plans.star import TABLE_KEYS, Star
 from tallyhouse.sources.lake import Lake, Ledger
 from tallyhouse.sources.schemas import BY_NAME, CAPTURES
@@ -149,7 +150,7 @@ class Warehouse:
         return self.spark.read.schema(rows.schema).parquet(folder)
 
     def latest(self, table: str) -> DataFrame:
-        return self.star_lake.latest(table, TABLE_KEYS[table])
+        return self.star_lake.latest(table, TABLE_KEYS.get(table) or kept.HISTORY_KEYS[table])
 
     @property
     def star(self) -> Star:
@@ -229,8 +230,30 @@ def expected_counts(staged: Callable[[str], DataFrame], tables: list[str]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
-def load_star(house: Warehouse, tables=None, batch_id: str | None = None, key_method: str = "xxhash64") -> None:
-    """Build, write, check and publish star tables. Nothing changes for readers when a gate fails."""
+def write_history(house: Warehouse, dimensions: dict[str, DataFrame], load: dims.Load) -> dict[str, DataFrame]:
+    """Write and check the histories and version tables that belong to newly written dimensions."""
+    lake, orders, details = house.star_lake, house.staged("orders"), house.staged("order_details")
+    merged = {kept.history_table(d): kept.merged_history(lake, d, dimensions[d.table], load.loaded_at) for d in kept.KEPT}
+    histories = at_once(house.spark, lambda name: lake.write_base(name, merged[name], load.version), list(merged))
+    found = {name: load.stamp(rows) for name, rows in kept.versions(lake, orders, details, histories).items()}
+    versions = at_once(house.spark, lambda name: lake.write_base(name, found[name], load.version), list(found))
+    sources = {kept.history_table(d): dimensions[d.table] for d in kept.KEPT}
+    # Lines without an order have no date and no fact.
+    lines = details.join(orders.select("order_id"), "order_id", "left_semi")
+    expected = quality.table_counts({**sources, kept.ORDER_VERSIONS: orders, kept.LINE_VERSIONS: lines})
+    open_rows = {name: rows.where("is_current = 1") for name, rows in histories.items()}
+    house.gate(load.batch_id, "history row counts", quality.compare_counts(expected, quality.table_counts({**open_rows, **versions})))
+    return {**histories, **versions}
+
+
+def load_star(
+    house: Warehouse, tables=None, batch_id: str | None = None, key_method: str = "xxhash64", history: bool | None = None
+) -> None:
+    """Build, write, check and publish star tables. Nothing changes for readers when a gate fails.
+
+    `history` keeps the versions of dimension members, too, and the versions each order met; once kept, later whole loads keep them
+    without being told.
+    """
     batch_id = batch_id or str(uuid.uuid4())
     house.refresh()
     started, lake = utc_now(), house.star_lake
@@ -238,19 +261,24 @@ def load_star(house: Warehouse, tables=None, batch_id: str | None = None, key_me
     version = lake.reserve_version(batch_id)
     load = dims.Load(batch_id, started, version, key_method)
     wanted = list(tables or TABLE_KEYS)
+    with_history = history if history is not None else tables is None and kept.is_kept(lake)
+    if with_history and not {d.table for d in kept.KEPT} <= set(wanted):
+        raise ValueError("history needs all dimensions it is kept of in the same load")
     try:
         builder = StarBuilder(house.staged, load)
         built = {name: builder.table(name) for name in wanted}
         written = at_once(house.spark, lambda name: lake.write_base(name, built[name], version), wanted)
         house.gate(batch_id, "star row counts", quality.compare_counts(expected_counts(house.staged, wanted), quality.table_counts(written)))
+        if with_history:
+            written |= write_history(house, written, load)
     except Exception as error:
         house.record_run(batch_id, "star_load", "full", "failed", started, error=f"{type(error).__name__}: {error}")
         raise
-    lake.publish(version, *wanted)
+    lake.publish(version, *written)
     total = quality.table_counts(written).agg(F.sum("row_count")).first()[0]
     house.record_run(batch_id, "star_load", "full", "success", started, rows_written=total)
 
 
-def run_full(house: Warehouse, read: Callable[[str], DataFrame]) -> None:
+def run_full(house: Warehouse, read: Callable[[str], DataFrame], history: bool | None = None) -> None:
     load_staging(house, read)
-    load_star(house)
+    load_star(house, history=history)

@@ -19,6 +19,7 @@ from tallyhouse.operators import quality
 from tallyhouse.operators.changes import EVENT_IDENTITY, event_keys, pending
 from tallyhouse.operators.dimensions import PRODUCT, Load
 from tallyhouse.operators.facts import Lookups
+from tallyhouse.plans import history as kept
 from tallyhouse.plans.full_load import Warehouse, utc_now
 from tallyhouse.sources.schemas import CHANGE_ORDER
 
@@ -232,6 +233,10 @@ def _apply(house: Warehouse, events: DataFrame, batch_id: str) -> int:
     # Aside first: the append must not read facts and add to them in one plan.
     output = house.aside(f"{batch_id}-facts", load.stamp(step.winning_rows(upserts, *tombstones)))
     rows = output.count()
+    if kept.is_kept(lake):
+        # Before the facts: those who read facts find the versions of their orders.
+        for name, found in kept.versions(lake, orders, lines).items():
+            lake.append(name, load.stamp(found), batch_id)
     if rows:
         lake.append("fact_orders", output, batch_id)
     return rows
