@@ -20,6 +20,7 @@ from tallyhouse.operators.changes import apply_changes, last_change
 from tallyhouse.operators.facts import Lookups, employee_territory_facts, full_order_facts
 from tallyhouse.plans import history as kept
 from tallyhouse.plans.star import TABLE_KEYS, Star
+from tallyhouse.sources.event_ids import EventIds
 from tallyhouse.sources.lake import Lake, Ledger
 from tallyhouse.sources.schemas import BY_NAME, CAPTURES
 from tallyhouse.sources.snapshot import stage
@@ -112,6 +113,7 @@ class Warehouse:
         self._held: dict[tuple[str, int], str] = {}
         self.star_lake = Lake(self.spark, f"{self.root}/star")
         self.events = Lake(self.spark, f"{self.root}/events")
+        self.event_ids = EventIds(self.spark, f"{self.root}/event_ids")
         self.control = Ledger(self.spark, f"{self.root}/control")
 
     def refresh(self) -> None:

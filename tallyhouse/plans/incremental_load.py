@@ -21,6 +21,7 @@ from tallyhouse.operators.dimensions import PRODUCT, Load
 from tallyhouse.operators.facts import Lookups
 from tallyhouse.plans import history as kept
 from tallyhouse.plans.full_load import Warehouse, utc_now
+from tallyhouse.sources.lake import BATCH_COLUMN
 from tallyhouse.sources.schemas import CHANGE_ORDER
 
 SERVICE = "incremental-transform"
@@ -103,10 +104,15 @@ def with_states(events: DataFrame, states: DataFrame | None) -> DataFrame:
 def event_log(house: Warehouse, since: int = 0) -> DataFrame:
     """Logged events with their warehouse state, from a log version on.
 
-    Versions grow with every logged batch, so the filter prunes the files of settled batches
-    of both tables.
+    Versions grow with every logged batch, and the ledger names the batch of each, so the folders of settled batches are
+    not opened; the filter prunes the rest.
     """
-    events = house.events.history("raw_events").where(F.col("log_version") >= since)
+    base, others = house.events.parts("raw_events")
+    if others is not None:
+        ledger = house.events.ledger.read("batches").groupBy("batch_id").agg(F.min("version").alias("version"))
+        recent = [r.batch_id for r in ledger.where(F.col("version") >= since).collect()]
+        base = base.unionByName(others.where(F.col(BATCH_COLUMN).isin(recent)).drop(BATCH_COLUMN))
+    events = base.where(F.col("log_version") >= since)
     states = house.control.read(STATES)
     return with_states(events, None if states is None else states.where(F.col("log_version") >= since))
 

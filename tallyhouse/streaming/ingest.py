@@ -36,17 +36,15 @@ def prepare(house: Warehouse) -> None:
         house.events.publish(version, LOG_TABLE)
 
 
-def _logged(house: Warehouse, events: DataFrame, batch: str) -> DataFrame:
-    """Log rows that may equal events of this batch: other batches, within the batch's LSN range.
-
-    The range is two scalars; it lets the scan skip files and row groups of older positions.
-    """
-    span = events.agg(F.min("start_lsn"), F.max("start_lsn")).first()
-    base, others = house.events.parts(LOG_TABLE)
-    log = base.select(*changes.EVENT_IDENTITY)
-    if others is not None:
-        log = log.unionByName(others.where(F.col(BATCH_COLUMN) != batch).select(*changes.EVENT_IDENTITY))
-    return log.where(F.col("start_lsn").between(span[0] or "", span[1] or ""))
+def _logged(house: Warehouse, events: DataFrame, batch: str) -> DataFrame | None:
+    """Log rows that may equal events of this batch: other batches, in the position ranges that the batch touches."""
+    if not house.event_ids.exists():
+        # A log from before there was this index.
+        base, others = house.events.parts(LOG_TABLE)
+        house.event_ids.write(base.withColumn(BATCH_COLUMN, F.lit("base")))
+        if others is not None:
+            house.event_ids.write(others)
+    return house.event_ids.near(events, batch)
 
 
 def apply_batch(house: Warehouse, messages: DataFrame, batch_id: int | str) -> None:
@@ -68,6 +66,7 @@ def apply_batch(house: Warehouse, messages: DataFrame, batch_id: int | str) -> N
         }
     )
     logged = house.events.append(LOG_TABLE, new, batch)
+    house.event_ids.write(logged, batch)
     for capture in CAPTURES:
         house.staged_changes.write(capture.staged, changes.row_changes(logged, capture), batch)
     # Before the end of the batch: a snapshot begun from here on holds these positions.
@@ -127,7 +126,7 @@ def start_ingest(
             streams.append(json.loads(metadata)["id"])
         apply_batch(house, rows, f"{streams[0]}-{batch_id}")
 
-    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
+    writer = messages.writeStream.queryName(SERVICE).option("checkpointLocation", checkpoint).foreachBatch(take)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     house.record_service(SERVICE, "running", {"started": str(utc_now())})
     return writer.trigger(**trigger).start()
