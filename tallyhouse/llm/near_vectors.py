@@ -5,13 +5,16 @@ product of the vector and its code. (rotated vector of one, code of the other) /
 their inner product, with an error bound that holds with a chosen confidence (ERROR). Pairs whose upper bound is below the
 threshold are dropped; the others are computed exactly in double precision, so no pair below the threshold is linked.
 
-Which pairs are estimated: those whose codes agree in one of BANDS bands of BAND bits, within a label. At a cosine of 0.93 two
-vectors agree in a bit with probability 0.88, so they miss all bands in 3 of 10,000 cases, and less often when nearer.
-Large buckets are compared in blocks of BLOCK vectors, each pair of blocks in a row range of its own. A pair counts in the
-first band it shares. Equal vectors of a label are one class from the start, weighted by their number.
+The bound alone decides, for every pair of different vectors of a label: a label is split into blocks of about BLOCK vectors by
+a hash, and each pair of blocks is a row range of its own, so no label is one task, however large. The work grows with the square
+of a label. The error is that of the part of one vector that is orthogonal to the other, a third of its length at a cosine of
+0.93: ERROR = 4.5 is over 12 standard errors there, so a link is lost with a chance below 1 in 10^30.
+Equal vectors of a label are one class from the start, weighted by their number.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite parts, and rows without a label, link with nothing.
-Vectors of different lengths do not link. Rows with one id are vectors of their own that share it.
+Others are scaled by a power of two first, so that no square over- or underflows.
+Vectors of different lengths do not link. Rows with one id are vectors of their own that share it. An empty table gives no rows.
+Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,10 +31,14 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import components, forest, table, written
 
 THRESHOLD = 0.93
-BITS, BANDS, BAND = 256, 25, 10
+BITS = 256
 #: Standard errors in the confidence bound.
 ERROR = 4.5
-BLOCK = 1024
+#: Added to bounds for the rounding of estimates in single precision.
+ROUNDING = 1e-4
+BLOCK = 2048
+#: Parts that the members of one component are spread over when they meet its smallest id.
+SALTS = 16
 
 
 @lru_cache(maxsize=8)
@@ -47,14 +54,20 @@ def codes(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rotated, (rotated > 0).astype(np.uint8), np.abs(rotated).sum(1) / np.sqrt(rotated.shape[1])
 
 
-def candidates(rotated: np.ndarray, bits: np.ndarray, factor: np.ndarray, threshold: float) -> np.ndarray:
-    """Pairs whose upper bound reaches the threshold, from both sides."""
-    d = rotated.shape[1]
-    signs = (2.0 * bits - 1) / np.sqrt(d)
-    estimate = (rotated.astype(np.float32) @ signs.T.astype(np.float32)) / factor.astype(np.float32)
-    bound = ERROR * np.sqrt((1 - factor**2) / factor**2 / (d - 1))
-    possible = estimate + bound.astype(np.float32) >= threshold
-    return possible & possible.T
+Coded = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def candidates(left: Coded, right: Coded, threshold: float) -> np.ndarray:
+    """Pairs of two blocks whose upper bound reaches the threshold, from both sides."""
+
+    def reach(whole: Coded, coded: Coded) -> np.ndarray:
+        d = whole[0].shape[1]
+        signs = ((2.0 * coded[1] - 1) / np.sqrt(d)).astype(np.float32)
+        factor = coded[2]
+        bound = ERROR * np.sqrt(np.maximum(1 - factor**2, 0) / factor**2 / (d - 1)) + ROUNDING
+        return (whole[0].astype(np.float32) @ signs.T) / factor.astype(np.float32) + bound.astype(np.float32) >= threshold
+
+    return reach(left, right) & reach(right, left).T
 
 
 def read_vectors(vectors: DataFrame) -> DataFrame:
@@ -66,9 +79,8 @@ def read_vectors(vectors: DataFrame) -> DataFrame:
             for label, v in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 ok = label is not None and v.is_valid and len(v.values) > 0 and v.values.null_count == 0
                 a = np.asarray(v.values.to_numpy(zero_copy_only=False), np.float64) + 0.0 if ok else None
-                with np.errstate(over="ignore"):
-                    ok = ok and np.isfinite(a).all() and 0 < a @ a < np.inf
-                x.append(a.tobytes() if ok else None)
+                ok = ok and bool(np.isfinite(a).all() and a.any())
+                x.append(np.ldexp(a, -int(np.frexp(np.abs(a).max())[1])).tobytes() if ok else None)
                 c.append(hashlib.blake2b(f"{label}/".encode() + a.tobytes(), digest_size=16).digest() if ok else None)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(c, pa.binary()), pa.array(x, pa.binary())], ["vec_id", "label", "c", "x"])
 
@@ -80,62 +92,53 @@ def _units(x: list[bytes]) -> np.ndarray:
     return a / np.sqrt((a * a).sum(1, keepdims=True))
 
 
-def band_keys(sets: DataFrame) -> DataFrame:
-    """(c, label, size, band, key): the bands of the code of each distinct vector."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            c, label, x = (batch.column(k).to_pylist() for k in range(3))
-            for size in sorted({len(v) for v in x}):
-                mine = [k for k, v in enumerate(x) if len(v) == size]
-                bits = codes(_units([x[k] for k in mine]))[1]
-                keys = bits[:, : BANDS * BAND].reshape(len(mine), BANDS, BAND) @ (1 << np.arange(BAND))
-                rows = np.repeat(mine, BANDS)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([c[k] for k in rows], pa.binary()), pa.array([label[k] for k in rows], pa.string()),
-                    pa.array(np.full(len(rows), size // 8, np.int32)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(mine))),
-                    pa.array(keys.ravel().astype(np.int32)),
-                ], ["c", "label", "size", "band", "key"])
-
-    return sets.select("c", "label", "x").mapInArrow(run, "c binary, label string, size int, band int, key int")
-
-
-def _compare(band: int, across: np.ndarray, weights: np.ndarray, x: list[bytes], threshold: float):
-    unit = _units(x)
-    rotated, bits, factor = codes(unit)
-    i, j = np.nonzero(np.triu(candidates(rotated, bits, factor, threshold), 1))
-    if across.any():
-        some = across[i] != across[j]
-        i, j = i[some], j[some]
-    similar, counted = np.zeros((len(x), len(x)), bool), np.zeros(len(x), np.int64)
-    keys = bits[:, : BANDS * BAND].reshape(len(x), BANDS, BAND) @ (1 << np.arange(BAND))
+def _compare(left: np.ndarray, right: np.ndarray, weights: np.ndarray, across: bool, threshold: float):
+    """Links of each vector of two blocks (`across`) or of one, and edges that connect what is linked; positions count through both."""
+    n, coded = len(left), codes(left)
+    possible = candidates(coded, codes(right) if across else coded, threshold)
+    i, j = np.nonzero(possible if across else np.triu(possible, 1))
+    shift = n if across else 0
+    counted, pairs = np.zeros(len(weights), np.int64), []
     for low in range(0, len(i), 100_000):
         a, b = i[low : low + 100_000], j[low : low + 100_000]
-        near = (unit[a] * unit[b]).sum(1) >= threshold
-        a, b = a[near], b[near]
+        near = (left[a] * right[b]).sum(1) >= threshold
+        a, b = a[near], b[near] + shift
+        np.add.at(counted, a, weights[b])
+        np.add.at(counted, b, weights[a])
+        pairs.append((a, b))
+    if not counted.any():
+        return counted, []
+    similar = np.zeros((len(weights), len(weights)), bool)
+    for a, b in pairs:
         similar[a, b] = similar[b, a] = True
-        first = ~(keys[a, :band] == keys[b, :band]).any(1)
-        np.add.at(counted, a[first], weights[b[first]])
-        np.add.at(counted, b[first], weights[a[first]])
     return counted, forest(similar)
 
 
+def block_pairs(sets: DataFrame) -> DataFrame:
+    """(label, size, i, j, part, c, m, x) of distinct vectors (c, label, m, x): each vector goes to the pairs of its block with every block of
+    its label and length. Only blocks are copied, so a vector is copied as often as its label has blocks."""
+    group = ["label", "size"]
+    sized = sets.withColumn("size", F.length("x"))
+    blocks = sized.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    placed = sized.join(blocks, group).withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int"))
+    paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return paired.select(*group, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "c", "m", "x")
+
+
 def links(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b, links) as in the join of texts: counts (b null) and connecting edges."""
-    keys = written(band_keys(sets), "bands")
-    bucket = ["label", "size", "band", "key"]
-    counts = keys.groupBy(*bucket).agg(F.count("*").alias("m")).where("m > 1").withColumn("parts", F.ceil(F.col("m") / BLOCK).cast("int")).drop("m")
-    placed = keys.join(counts, bucket).withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int"))
-    blocks = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = blocks.select("c", *bucket, "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-    order = [*bucket, "i", "j"]
-    rows = blocks.join(sets.select("c", "m", "x"), "c").select(*order, "part", "c", "m", "x").repartition(*order).sortWithinPartitions(*order)
+    order = ["label", "size", "i", "j"]
+    rows = block_pairs(sets).repartition(*order).sortWithinPartitions(*order, "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def compared(key, group):
-            i, j = key[4], key[5]
-            across = np.array([i != j and g[0] == j for g in group])
-            counted, edges = _compare(key[2], across, np.array([g[2] for g in group], np.int64), [g[3] for g in group], threshold)
+            i, j = key[2], key[3]
+            n = sum(g[0] == i for g in group)
+            if i != j and n in (0, len(group)):
+                return []
+            unit = _units([g[3] for g in group])
+            left, right = (unit[:n], unit[n:]) if i != j else (unit, unit)
+            counted, edges = _compare(left, right, np.array([g[2] for g in group], np.int64), i != j, threshold)
             return [(group[k][1], None, int(n)) for k, n in enumerate(counted) if n] + [(group[a][1], group[b][1], None) for a, b in edges]
 
         def batch_of(rows):
@@ -143,20 +146,16 @@ def links(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             columns = zip(*rows, strict=True) if rows else [[]] * 3
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds, strict=True)], ["a", "b", "links"])
 
-        key, group, out = None, [], []  # most buckets link nothing, so rows are given out once per batch read
+        key, group = None, []
         for batch in batches:
             for *k, part, c, m, x in zip(*(v.to_pylist() for v in batch.columns), strict=True):
                 if k != key:
                     if len(group) > 1:
-                        out += compared(key, group)
+                        yield batch_of(compared(key, group))
                     key, group = k, []
                 group.append((part, c, m, x))
-            if out:
-                yield batch_of(out)
-                out = []
         if len(group) > 1:
-            out += compared(key, group)
-        yield batch_of(out)
+            yield batch_of(compared(key, group))
 
     return rows.mapInArrow(run, "a binary, b binary, links long")
 
@@ -173,8 +172,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     roots = components(found.where("b is not null").select("a", "b"), "vectors").withColumnRenamed("node", "c")
     full = sets.select("c", "m", "low").join(counts, "c", "left").join(roots, "c", "left")
     full = written(full.select("c", (F.col("m") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "low", F.coalesce("root", "c").alias("root")), "vector-classes")
-    lowest = full.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = full.join(lowest, "root").select("c", "n_links", "component_id")
+    # A vector alone is its own root; a large component meets its smallest id in SALTS parts.
+    lowest = full.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("members")).where("members > 1").drop("members")
+    lowest = lowest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = full.withColumn("salt", F.pmod(F.xxhash64("c"), F.lit(SALTS)).cast("int"))
+    of = salted.join(lowest, ["root", "salt"], "left").select("c", "n_links", F.coalesce("component_id", "low").alias("component_id"))
     rows = read.select("vec_id", "c").join(of, "c", "left")
     return rows.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"),
@@ -183,7 +185,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs that share no band are not linked: at a cosine of 0.93 some 2 in 10,000 (measured; see the README), fewer when nearer."""
+    """Every pair of vectors of a label is decided by the bound on its cosine, and computed where that allows a link."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 

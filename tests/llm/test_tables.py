@@ -145,11 +145,29 @@ def test_vectors_against_all_pairs(spark, monkeypatch):
     frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.near_vectors(frame).collect()}
     want = dict(enumerate(brute(vectors)))
-    missed = sum(got[k] != want[k] for k in want)
-    assert missed <= 2 and all(got[k[0]] == (0, k[0]) for k in odd)
+    assert {k: got[k] for k in want} == want and all(got[k[0]] == (0, k[0]) for k in odd)
     assert near_vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vectors_at_the_threshold_in_blocks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "BLOCK", 64)
+    random = np.random.default_rng(11)
+    rows = []
+    for k in range(400):
+        a, b = np.linalg.qr(random.standard_normal((64, 2)))[0].T
+        rows += [(2 * k, a.tolist(), 1), (2 * k + 1, (0.9300001 * a + np.sqrt(1 - 0.9300001**2) * b).tolist(), 1)]
+    got = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert len(got) == 800 and all((r.n_links, r.component_id, r.kept) == (1, r.vec_id // 2 * 2, r.vec_id % 2 == 0) for r in got)
+
+
+def test_vectors_of_extreme_lengths_repeats_and_clashing_columns(spark):
+    vectors = [[1e200, 1e200], [1.0, 1.0], [1e-200, 1e-200], [5e-324, 0.0], [3.0, 0.0], [-3.0, 0.0], [1.0, 1.0], [1.7e308, 0.0]]
+    rows = [(k, v, 1, "x", 1, "y") for k, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, c string, salt int, root string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.near_vectors(frame).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 6: (3, 0), 3: (2, 3), 4: (2, 3), 7: (2, 3), 5: (0, 5)}
+
+
 def test_estimates_hold_their_bounds():
     random = np.random.default_rng(1)
     unit = random.standard_normal((300, 64))
