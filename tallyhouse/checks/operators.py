@@ -27,6 +27,7 @@ from tallyhouse.plans import publish_changes
 from tallyhouse.plans.full_load import COUNT_GATES, Warehouse, expected_counts
 from tallyhouse.plans.incremental_load import event_states, judged_events, outcome_states, with_states
 from tallyhouse.plans.star import TABLE_KEYS
+from tallyhouse.sources.bucketed import BucketedTable
 from tallyhouse.sources.schemas import BY_NAME, CAPTURES
 from tallyhouse.sources.snapshot import conform, stage
 from tallyhouse.streaming import throughput
@@ -361,6 +362,25 @@ _add(
 )
 
 
+def _bucketed_latest(inputs: Inputs) -> DataFrame:
+    """The older half of the versions as a bucketed base, the others as changes to it."""
+    rows = _versions(inputs)
+    middle = rows.agg(((F.min("_version") + F.max("_version")) / 2).alias("middle"))
+    halves = rows.join(F.broadcast(middle)).withColumn("newer", F.coalesce(F.col("_version") > F.col("middle"), F.lit(False)))
+    base, changes = (halves.where(c).select(*rows.columns) for c in ("NOT newer", "newer"))
+    table = BucketedTable(inputs.spark, f"order_versions_{uuid.uuid4().hex[:12]}", f"{inputs.house.root}/bucketed", ["order_id"], 32)
+    table.write(latest.latest_rows(base, ["order_id"]))
+    return table.latest(changes).select("order_id", "_version", "is_deleted")
+
+
+_add(
+    "c07_bucketed_latest",
+    _bucketed_latest,
+    f"SELECT order_id, _version, (operation_code = 1)::INT AS is_deleted FROM ({_LATEST})",
+    events=True,
+)
+
+
 def _history(inputs: Inputs) -> DataFrame:
     """Customers at one time, then changed, missing and new ones, merged twice."""
     before = dims.Load("before", "2024-01-01 00:00:00", 1, "sha2")

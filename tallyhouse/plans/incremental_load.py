@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -186,6 +187,16 @@ def run_incremental(
             _advance_mark(house, since)
         waiting = waiting.where(F.col("dw_attempt_count") < max_attempts)
     events = house.aside(batch_id, pending(waiting, batch_size))
+    return take_events(house, events, batch_id, isolate, tired, lambda: _advance_mark(house, since))
+
+
+def take_events(
+    house: Warehouse, events: DataFrame, batch_id: str, isolate: bool = False, tired: int = 0, settled: Callable[[], None] | None = None
+) -> Outcome:
+    """Take one batch, written down already, into the facts and record a state for each of its events; then call `settled`.
+
+    A batch that runs again under its id replaces the rows it wrote.
+    """
     span = events.agg(
         F.count("*").alias("events"), F.min("start_lsn").alias("first_lsn"), F.max("start_lsn").alias("last_lsn")
     ).first()
@@ -211,7 +222,8 @@ def run_incremental(
         house.control.append(STATES, event_states(events, batch_id, message))
         house.record_service(SERVICE, "failed", details, message)
         raise
-    _advance_mark(house, since)
+    if settled:
+        settled()
     house.record_service(SERVICE, "success", {**details, "rows_written": rows, "events_dead": tired + dead})
     return Outcome(batch_id, span.events, rows, tired + dead)
 
