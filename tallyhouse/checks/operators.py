@@ -365,9 +365,9 @@ _add(
 def _bucketed_latest(inputs: Inputs) -> DataFrame:
     """The older half of the versions as a bucketed base, the others as changes to it."""
     rows = _versions(inputs)
-    middle = rows.agg(((F.min("_version") + F.max("_version")) / 2).alias("middle"))
-    halves = rows.join(F.broadcast(middle)).withColumn("newer", F.coalesce(F.col("_version") > F.col("middle"), F.lit(False)))
-    base, changes = (halves.where(c).select(*rows.columns) for c in ("NOT newer", "newer"))
+    middle = rows.agg((F.min("_version") + F.max("_version")) / 2).first()[0]
+    newer = F.coalesce(F.col("_version") > F.lit(middle), F.lit(False))
+    base, changes = rows.where(~newer), rows.where(newer)
     table = BucketedTable(inputs.spark, f"order_versions_{uuid.uuid4().hex[:12]}", f"{inputs.house.root}/bucketed", ["order_id"], 32)
     table.write(latest.latest_rows(base, ["order_id"]))
     return table.latest(changes).select("order_id", "_version", "is_deleted")
