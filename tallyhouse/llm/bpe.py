@@ -8,7 +8,8 @@ that form them. The last tokens are stored, and the ids read off by going back f
 The pieces are those of the vocabulary's own pattern. Workers remember the ids of the pieces they have met, in a memory of
 bounded size. Nothing is shuffled.
 
-Defined results: a null or empty text has no ids. Special tokens in a text are one id each. Rows are encoded one by one.
+Defined results: a null or empty text has no ids. Special tokens in a text are one id each. Rows are encoded one by one. An empty
+table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations

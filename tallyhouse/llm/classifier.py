@@ -5,7 +5,8 @@ sample does not depend on partitions), flattened into arrays and walked level by
 
 Defined results: null and empty texts have all statistics 0 and get a score like any other. Rows with a null id are
 scored, not held out. Repeated rows are scored one by one. Without labelled rows every score is 0.5. Ids with several
-label rows count once per row. Only the text is an input of a score.
+label rows count once per row. Only the text is an input of a score. Rows of one doc_id with several texts each teach with that
+id's labels. An empty table of documents gives no rows. Other columns go along, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,6 +14,7 @@ Equal sets are one class from the start, so copies cost one set each and are nev
 
 Defined results: texts of one to four words are one shingle; texts without words (null, empty) link with nothing and are
 their own class. Rows with a null id take part; the id of a class is its smallest id. Repeated rows are copies.
+An empty table gives no rows. Other columns go along, whatever their names.
 """
 
 from __future__ import annotations

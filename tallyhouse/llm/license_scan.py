@@ -10,7 +10,8 @@ template's words in place at an offset where the phrase, half of the words or th
 
 Everything after the count of words happens within the row: no join, no shuffle, no key that could be hot.
 
-Defined results: a null or empty text has no words, no labels and score 0. Rows are scanned one by one.
+Defined results: a null or empty text has no words, no labels and score 0. Rows are scanned one by one. An empty table gives
+no rows. Other columns go along, whatever their names.
 """
 
 from __future__ import annotations

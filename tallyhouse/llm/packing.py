@@ -8,7 +8,8 @@ windows whose length is a power of two, so no sequence needs padding.
 Memory is that of the open windows: with this rule their number stays far below the number of rows. No shuffle; the
 sequences of task p are numbered from p * 2**32, so a task that runs again on the same rows gives the same numbers.
 
-Defined results: null and empty texts are the end id alone; repeated rows and null ids are packed one by one.
+Defined results: null and empty texts are the end id alone; repeated rows and null ids are packed one by one. An empty table
+gives no pieces. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """Quality rules with host verdicts: rule failures by host, rates shrunk by an empirical beta prior, joined back.
 
 Defined results: a null or empty text has no words (all counts 0) and fails the base rule. Rows without a source have no
-host, so only their own rules count. Repeated rows and repeated ids are judged row by row. Other columns pass through.
+host, so only their own rules count. Repeated rows and repeated ids are judged row by row. An empty table gives no rows. Other columns
+pass through, whatever their names.
 """
 
 from __future__ import annotations
