@@ -160,8 +160,8 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     fixed = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    # What this template adds for a turn depends on that turn, and on whether it is the first: it is local.
-    return read_back(formatted(chats.unionByName(fixed), inst_template, local=True))
+    # Every prefix is rendered from the first turn, so `rewrites` counts what the template changed anywhere in a conversation.
+    return read_back(formatted(chats.unionByName(fixed), inst_template))
 
 
 # Escaping adds one character per backslash and per control string in a role or text; the marks of a turn are as long as its kind says.

@@ -112,6 +112,22 @@ def test_rewrites_are_found_on_the_whole_prefix():
     assert list(chat.spans(iter(turns), chat.inst_template)) == list(chat.spans(iter(turns), chat.inst_template, True))
 
 
+def test_the_chat_query_renders_every_prefix_from_the_first_turn(spark, tmp_path, monkeypatch):
+    plain = chat.inst_template
+
+    def from_the_first(turns, first):
+        if first or (turns[0][1] != "0" and not turns[0][1].startswith("</s>")):
+            raise ValueError("not a prefix of the conversation")
+        return plain(turns, first)
+
+    rows = [(1, k, "assistant" if k % 2 else "user", str(k)) for k in range(70)]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chats.write.parquet(str(tmp_path / "conversations.parquet"))
+    monkeypatch.setattr(chat, "inst_template", from_the_first)
+    got = {r.conv_id: (r.n_turns, r.loss_chars, r.rewrites) for r in chat.op3_chat_formatting(spark, str(tmp_path)).collect()}
+    assert got == {1: (70, sum(len(str(k)) for k in range(1, 70, 2)), 0), -7: (2, 21, 0)}
+
+
 def brute(vectors):
     n = len(vectors)
     links, component = [0] * n, list(range(n))
