@@ -165,9 +165,10 @@ class StagingAdapter:
         )
 
     def order_details(self) -> DataFrame:
-        """One line per (order, part): the input repeats some pairs."""
+        """One line per (order, part): the input repeats some pairs, but few, so lines are sorted once, after the shuffle."""
         order = ("l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
-        lines = newest(self.source("lineitem"), ["l_orderkey", "l_partkey"], [F.asc(c) for c in order])
+        keys = ["l_orderkey", "l_partkey"]
+        lines = newest(self.source("lineitem").repartition(*keys), keys, [F.asc(c) for c in order])
         prices = self.source("part").selectExpr("p_partkey AS l_partkey", "p_retailprice")
         return lines.join(prices, "l_partkey", "left").selectExpr(
             "l_orderkey AS order_id",
