@@ -29,6 +29,7 @@ class Inputs:
         self.spark, self.folder = spark, folder
         self.adapter = StagingAdapter(spark, folder)
         self._tables: dict[str, DataFrame] = {}
+        self._aside: dict[str, DataFrame] = {}
         self._house: Warehouse | None = None
         self._builder: StarBuilder | None = None
 
@@ -63,6 +64,12 @@ class Inputs:
             self._tables[name] = lake.latest(name, TABLE_KEYS[name])
         return self._tables[name]
 
+    def aside(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Rows that a query reads many times, written to the shared folder the first time."""
+        if name not in self._aside:
+            self._aside[name] = self.house.aside(name, build())
+        return self._aside[name]
+
     def adopt(self, house: Warehouse) -> None:
         """Read star tables from a warehouse that is already loaded."""
         self._tables = {name: house.latest(name) for name in TABLE_KEYS}
