@@ -35,10 +35,15 @@ NO_SEQVAL = "metadata.seqval is missing"
 INVALID_PAYLOAD = "invalid event payload"
 
 # Outline of a message. Values of another type read as NULL, field by field.
-ENVELOPE = (
-    "struct<capture_instance:string,operation_code:int,operation_type:string,event_time:string,"
-    "business_key:variant,payload:variant,metadata:struct<start_lsn:string,seqval:string>>"
-)
+ENVELOPE = {
+    "capture_instance": "string",
+    "operation_code": "int",
+    "operation_type": "string",
+    "event_time": "string",
+    "business_key": "variant",
+    "payload": "variant",
+    "metadata": "struct<start_lsn:string,seqval:string>",
+}
 
 # Payload columns an upsert cannot do without; a delete needs its key columns.
 REQUIRED_COLUMNS = {
@@ -87,17 +92,18 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     position = ("key", "value", "topic", "partition", "offset", "received_at")
     documents = messages.select(*position, F.try_parse_json(F.when(F.is_valid_utf8(text), text)).alias("event"))
     event = F.col("event")
-    outline = documents.select(*position, "event", F.try_variant_get(event, "$", ENVELOPE).alias("head"))
+    head = {name: F.try_variant_get(event, f"$.{name}", kind).alias(f"head_{name}") for name, kind in ENVELOPE.items()}
+    outline = documents.select(*position, "event", *head.values())
     fields = outline.select(
         *position,
         "event",
-        *[F.col(f"head.{name}").alias(name) for name in ("capture_instance", "operation_code", "metadata")],
-        F.col("head.operation_type").alias("given_type"),
-        F.col("head.event_time").alias("event_time_text"),
-        *[F.col(f"head.{name}").alias(f"{name}_value") for name in ("business_key", "payload")],
-        *[F.to_json(F.col(f"head.{name}")).alias(name) for name in ("business_key", "payload")],
-        F.nullif(F.col("head.metadata.start_lsn"), F.lit("")).alias("start_lsn"),
-        F.nullif(F.col("head.metadata.seqval"), F.lit("")).alias("seqval"),
+        *[F.col(f"head_{name}").alias(name) for name in ("capture_instance", "operation_code", "metadata")],
+        F.col("head_operation_type").alias("given_type"),
+        F.col("head_event_time").alias("event_time_text"),
+        *[F.col(f"head_{name}").alias(f"{name}_value") for name in ("business_key", "payload")],
+        *[F.to_json(F.col(f"head_{name}")).alias(name) for name in ("business_key", "payload")],
+        F.nullif(F.col("head_metadata.start_lsn"), F.lit("")).alias("start_lsn"),
+        F.nullif(F.col("head_metadata.seqval"), F.lit("")).alias("seqval"),
     )
     operation = F.col("operation_code")
     typed, bad_payload = {"event_time": F.col("event_time_text").try_cast("timestamp")}, F.lit(False)

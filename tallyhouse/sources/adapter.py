@@ -262,14 +262,16 @@ class StagingAdapter:
             )
         )
         damaged = F.when(number % 31 == 0, "{broken").when(number % 37 == 0, "[]").otherwise(envelope)
-        return events.select(
+        # Each message is built once, before it is repeated.
+        built = events.select(
             F.col("event_id").cast("string").alias("key"),
             F.when(number % 53 != 0, F.encode(damaged, "UTF-8")).alias("value"),
             "topic",
             "partition",
-            F.explode(F.array(number * 2, number * 2 + 1)).alias("offset"),
+            F.array(number * 2, number * 2 + 1).alias("offsets"),
             "received_at",
         )
+        return built.select("key", "value", "topic", "partition", F.explode("offsets").alias("offset"), "received_at")
 
     def wrapped_images(self) -> DataFrame:
         """Documents as binary payloads: an image signature behind a wrapper, none, or nothing at all."""
