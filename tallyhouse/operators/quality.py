@@ -122,21 +122,22 @@ def unknown_members(facts: DataFrame) -> DataFrame:
 def orphan_keys(facts: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     """Facts whose key has no dimension row, per lookup.
 
-    Facts are scanned once: the lookup keys of a row are laid out as (lookup, key) pairs and
+    Facts are scanned once: the lookup keys of a row are laid out as (lookup, key) pairs, the lookup by its number, and
     counted map-side before the only shuffle, so hot keys shrink to one row per task.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("lookup"), F.col(k).alias("key")) for k in FACT_LOOKUPS]))
+    number = {key: F.lit(n).cast("byte") for n, key in enumerate(FACT_LOOKUPS)}
+    pairs = F.explode(F.array(*[F.struct(number[k].alias("lookup"), F.col(k).alias("key")) for k in FACT_LOOKUPS]))
     used = facts.select(pairs.alias("pair")).groupBy("pair.lookup", "pair.key").agg(F.count("*").alias("rows"))
-    exempt = [key for key, (_, unknown_allowed) in FACT_LOOKUPS.items() if unknown_allowed]
+    exempt = [number[key] for key, (_, unknown_allowed) in FACT_LOOKUPS.items() if unknown_allowed]
     used = used.where(~(F.col("lookup").isin(*exempt) & (F.col("key") == 0)))
     known = reduce(
         DataFrame.unionByName,
-        [dimensions[table].select(F.lit(key).alias("lookup"), F.col(key).alias("key")) for key, (table, _) in FACT_LOOKUPS.items()],
+        [dimensions[table].select(number[key].alias("lookup"), F.col(key).alias("key")) for key, (table, _) in FACT_LOOKUPS.items()],
     )
     orphans = used.join(known, ["lookup", "key"], "left_anti")
     return orphans.agg(
         *[
-            F.coalesce(F.sum(F.when(F.col("lookup") == key, F.col("rows"))), F.lit(0)).alias(
+            F.coalesce(F.sum(F.when(F.col("lookup") == number[key], F.col("rows"))), F.lit(0)).alias(
                 f"orphan_{key.removesuffix('_key')}_keys"
             )
             for key in FACT_LOOKUPS

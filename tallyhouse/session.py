@@ -13,9 +13,11 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Splitting a hot join key is worth one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Partitions are merged up to this size, small enough to be sorted in memory.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
 }
+# Partitions are merged up to this size, small enough to be sorted in memory.
+PARTITION_SIZE = "32m"
+# The same for the warehouse, whose tasks hold several sorts at once.
+SMALL_PARTITIONS = "16m"
 # Shuffles are dealt to so many partitions at least, which Spark merges up to the size above: tasks do not grow with the input.
 # Up to 200 Spark writes a file per partition, without sorting the rows.
 MIN_PARTITIONS = 200
@@ -23,9 +25,10 @@ MIN_PARTITIONS = 200
 _local_folders: dict[str, str] = {}
 
 
-def configure(spark: SparkSession) -> SparkSession:
+def configure(spark: SparkSession, partition_size: str = PARTITION_SIZE) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", partition_size)
     dealt = max(MIN_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", dealt)
     return spark

@@ -169,14 +169,13 @@ class StagingAdapter:
         order = ("l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
         keys = ["l_orderkey", "l_partkey"]
         lines = newest(self.source("lineitem").repartition(*keys), keys, [F.asc(c) for c in order])
-        prices = self.source("part").selectExpr("p_partkey AS l_partkey", "p_retailprice")
-        return lines.join(prices, "l_partkey", "left").selectExpr(
-            "l_orderkey AS order_id",
-            "l_partkey AS product_id",
-            "p_retailprice AS unit_price",
-            "l_quantity AS quantity",
-            "l_discount AS discount",
+        details = lines.selectExpr(
+            "l_orderkey AS order_id", "cast(l_partkey AS int) AS product_id", "l_quantity AS quantity", "l_discount AS discount"
         )
+        prices = self.source("part").selectExpr("p_partkey", "p_retailprice AS unit_price")
+        # By the staged product id, widened as product lookups widen it: those then find the lines dealt and sorted already.
+        priced = details.join(prices, F.col("product_id").cast("long") == F.col("p_partkey"), "left")
+        return priced.select("order_id", "product_id", "unit_price", "quantity", "discount")
 
     def raw_events(self) -> DataFrame:
         """Change-event log: two captured tables, all operations, delays, gaps and errors."""

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.latest import latest_rows, newest, overlay
 
 BATCH_COLUMN = "apply_batch"
+# Rows of one order lie together, so stored tables hold long runs of equal keys and dates.
+CODEC = "zstd"
 
 
 class Ledger:
@@ -79,7 +81,7 @@ class Lake:
     def write_base(self, table: str, rows: DataFrame, version: int) -> DataFrame:
         """Write an unpublished base and return it as read back, with its lineage cut."""
         folder = f"{self.root}/{table}/v{version}/base"
-        rows.write.mode("overwrite").parquet(folder)
+        rows.write.mode("overwrite").parquet(folder, compression=CODEC)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
     def publish(self, version: int, *tables: str) -> None:
@@ -113,7 +115,7 @@ class Lake:
     def append(self, table: str, rows: DataFrame, batch_id: str) -> DataFrame:
         """Add one batch of new row versions and read it back. The same batch id replaces what it wrote before."""
         target = f"{self.folder(table)}/changes/{BATCH_COLUMN}={batch_id}"
-        rows.write.mode("overwrite").parquet(target)
+        rows.write.mode("overwrite").parquet(target, compression=CODEC)
         return self.spark.read.schema(rows.schema).parquet(target)
 
     def parts(self, table: str) -> tuple[DataFrame, DataFrame | None]:

@@ -4,8 +4,11 @@ from datetime import datetime
 
 from tallyhouse.checks import operators
 from tallyhouse.checks.registry import Inputs
+from tallyhouse.operators import quality
+from tallyhouse.operators.facts import Lookups, order_lines
 from tallyhouse.session import MIN_PARTITIONS, configure
 from tallyhouse.sources.adapter import StagingAdapter
+from tallyhouse.sources.lake import Lake
 
 
 def plan(rows):
@@ -61,3 +64,48 @@ def test_the_batch_is_written_once(spark, tmp_path):
     assert kept is operators._batch_aside(inputs)
     assert "get_json_object" not in plan(kept)
     assert sorted(r.start_lsn for r in kept.collect()) == [f"0x{k:020X}" for k in range(1, 6)]
+
+
+def test_lines_are_dealt_by_product_once(spark, tmp_path, frame):
+    day = datetime(1996, 1, 1)
+    lines = [(k, p, 1, 1, 5.0, 1.0, 0.0, 0.0, day) for k, p in ((1, 7), (2, 8), (3, None))]
+    schema = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber long, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_shipdate timestamp"
+    )
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(7, 2.5), (7, 3.5)], "p_partkey long, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    lookup = frame("product_alternate_key long, product_key long", (7, 70), (8, 80))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = order_lines(StagingAdapter(spark, str(tmp_path)).table("order_details"), Lookups(lookup, None, None, None))
+        by_product = [line for line in plan(rows).split("\n") if "Exchange hashpartitioning(" in line and "product_id" in line]
+        assert len(by_product) == 1 and "hashpartitioning(l_partkey" not in plan(rows)
+        found = sorted((r.order_id, r.product_key, float(r.unit_price)) for r in rows.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == [(1, 70, 2.5), (1, 70, 3.5), (2, 80, 0.0)]
+
+
+def test_warehouse_tables_are_stored_as_zstd_from_small_partitions(spark, tmp_path):
+    events(spark, tmp_path)
+    try:
+        Inputs.of(spark, str(tmp_path))
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    finally:
+        configure(spark)
+    lake = Lake(spark, f"{tmp_path}/lake")
+    lake.write_base("t", spark.range(3), 1)
+    lake.publish(1, "t")
+    lake.append("t", spark.range(3, 4), "b")
+    assert list(tmp_path.glob("lake/t/v1/base/*.zstd.parquet")) and list(tmp_path.glob("lake/t/v1/changes/*/*.zstd.parquet"))
+
+
+def test_orphans_are_counted_by_the_number_of_their_lookup(frame):
+    schema = ", ".join(f"{key} long" for key in quality.FACT_LOOKUPS)
+    facts = frame(schema, (1, 0, 3, 4, 5), (9, 9, 0, 9, 0), (0, 9, 3, 0, 5), (1, 2, 3, 4, None))
+    tables = {table: frame(f"{key} long", (n,)) for n, (key, (table, _)) in enumerate(quality.FACT_LOOKUPS.items(), 1)}
+    rows = quality.orphan_keys(facts, tables)
+    assert "geography_key AS lookup" not in plan(rows)
+    assert list(rows.first().asDict().values()) == [2, 2, 0, 1, 2]
