@@ -18,6 +18,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,12 @@ END_ID = 1
 WORDS_KEPT = 700_000
 #: White space for Python's split, but not for the tokenizer.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+#: Parts that are encoded as one text.
+PARTS_AT_ONCE = 1000
+#: In words that can hold a control string, or compose with what is beside them.
+_ODD = re.compile("<\\||[^\x00-\u02ff]")
+#: What the vocabulary puts behind the last token of a part, a fixed value.
+_SUFFIX = "</w>"
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
@@ -58,44 +65,70 @@ class WordEncoder:
         self.tokenizer.no_padding()
         # The pattern of the vocabulary file, a fixed value.
         self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        # The same for lower-case ASCII.
+        self.ascii_parts = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        # Whether an id ends a part: the last token of each has the vocabulary's suffix, and no other.
+        self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(_SUFFIX)]] = True
         self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _split(self, word: str) -> list[str]:
-        """Parts that are encoded alone. Below U+0300 nothing composes, so lower case can come first."""
-        if "<|" in word or not word.isascii() and max(word) >= "\u0300":
-            return [word]
-        word = word.lower()
-        return [word] if word.isalpha() else self.parts.findall(word)
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """As `_encode`, for parts of the pattern: encoded as one text, which is cut where an id ends a part."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(stops) != len(parts) or stops[-1] != 4 * len(ids):
+            return self._encode(parts)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *stops], stops)]
+
+    def _split(self, words: list[str]) -> list[list[str]]:
+        """Parts of each word that are encoded alone. Below U+0300 nothing composes, so lower case can come first."""
+        all_ = " ".join(words)
+        if _ODD.search(all_):
+            plain = iter(self._split([w for w in words if not _ODD.search(w)]))
+            return [[w] if _ODD.search(w) else next(plain) for w in words]
+        found, of_ascii, of_any = [], self.ascii_parts.findall, self.parts.findall
+        for word in all_.lower().split(" ") if words else []:
+            found.append([word] if word.isalpha() else of_ascii(word) if word.isascii() else of_any(word))
+        return found
 
     def learn(self, words: list[str]) -> None:
-        parts = {w: self._split(w) for w in words}
-        new = list({p for each in parts.values() for p in each if p not in self.known})
+        parts = self._split(words)
+        distinct = set(chain.from_iterable(parts))
+        new = distinct.difference(self.known)
         if len(self.known) + len(new) > WORDS_KEPT:
             self.known.clear()
-            new = list({p for each in parts.values() for p in each})
-        if new:
-            self.known.update(zip(new, self._encode(new), strict=True))
-        for word, each in parts.items():
-            self.words[word] = b"".join([self.known[p] for p in each]) if len(each) != 1 else self.known[each[0]]
+            new = distinct
+        alone = [p for p in new if _ODD.search(p)]
+        if alone:
+            self.known.update(zip(alone, self._encode(alone), strict=True))
+            new = new.difference(alone)
+        new = list(new)
+        for at in range(0, len(new), PARTS_AT_ONCE):
+            some = new[at : at + PARTS_AT_ONCE]
+            self.known.update(zip(some, self._encode_parts(some), strict=True))
+        ids = self.known.__getitem__
+        self.words.update((w, ids(p[0]) if len(p) == 1 else b"".join(map(ids, p))) for w, p in zip(words, parts, strict=True))
 
     def __call__(self, text: str) -> bytes:
         if _SEPARATORS.search(text):
             return self._encode([text])[0]
-        words = text.split()
+        words, ids = text.split(), self.words.__getitem__
         try:
-            return b"".join([self.words[w] for w in words])
+            return b"".join(map(ids, words))
         except KeyError:
             distinct = set(words)
-            missing = [w for w in distinct if w not in self.words]
+            missing = distinct.difference(self.words)
             if len(self.words) + len(missing) > WORDS_KEPT:
                 self.words.clear()
-                missing = list(distinct)
-            self.learn(missing)
-            return b"".join([self.words[w] for w in words])
+                missing = distinct
+            self.learn(list(missing))
+            return b"".join(map(ids, words))
 
 
 class Packer:

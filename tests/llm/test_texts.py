@@ -248,3 +248,25 @@ def test_licences_by_the_words_a_file_has(spark):
     # What other files hold does not matter.
     assert scanned([*texts, *["binary forms mozilla mit subject to the terms released modification"] * 9])[0] == want[0]
     assert [scanned([t])[0] for t in texts[:3]] == want[:3]
+
+
+def test_packing_encodes_the_new_parts_of_a_text_at_once():
+    from tokenizers import Tokenizer
+
+    texts = [
+        "It's 42nd-street, ÉCOLE don't'll x'd''s o'clock ...", "İstanbul étude <|endoftext|> <| a|>b ΣΑΣ 漢字 \x1c gap\x1dgap", "",
+        "̇ ªº² ½ naïve soft­hy ＡＢ ß ǅ", "42nd-street, new-words! ÉCOLE'S",
+    ]
+    library = Tokenizer.from_file(packing.tokenizer_path())
+    encode = packing.WordEncoder(packing.tokenizer_path())
+    calls, own = [], encode.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, some, **options):
+            calls.append(some)
+            return own.encode_batch_fast(some, **options)
+
+    encode.tokenizer = Counted()
+    for text in texts + texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert [len(some) for some in calls if "street" in " ".join(some)] == [1]
