@@ -40,11 +40,12 @@ ENVELOPE = {
     "operation_code": "int",
     "operation_type": "string",
     "event_time": "string",
-    "business_key": "variant",
-    "payload": "variant",
     "metadata": "struct<start_lsn:string,seqval:string>",
 }
 
+# Parts of a message that are objects, and kept as JSON text.
+DOCUMENTS = ("business_key", "payload")
+
 # Payload columns an upsert cannot do without; a delete needs its key columns.
 REQUIRED_COLUMNS = {
     "orders": ("order_id",),
@@ -69,9 +70,9 @@ def _row_type(spec: TableSpec, columns=None, as_text: bool = False) -> str:
     return f"struct<{','.join(fields)}>"
 
 
-def _row(document: Column, spec: TableSpec, columns=None, as_text: bool = False) -> Column:
-    """The document as a row; fields that are missing or do not convert are NULL."""
-    return F.try_variant_get(document, "$", _row_type(spec, columns, as_text))
+def _row(document: Column, spec: TableSpec, columns=None, as_text: bool = False, path: str = "$") -> Column:
+    """The document at `path` as a row; fields that are missing or do not convert are NULL."""
+    return F.try_variant_get(document, path, _row_type(spec, columns, as_text))
 
 
 def _incomplete(row: Column, spec: TableSpec, columns) -> Column:
@@ -100,8 +101,9 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         *[F.col(f"head_{name}").alias(name) for name in ("capture_instance", "operation_code", "metadata")],
         F.col("head_operation_type").alias("given_type"),
         F.col("head_event_time").alias("event_time_text"),
-        *[F.col(f"head_{name}").alias(f"{name}_value") for name in ("business_key", "payload")],
-        *[F.to_json(F.col(f"head_{name}")).alias(name) for name in ("business_key", "payload")],
+        # As text for those who read them; what is judged is read from the event.
+        *[F.to_json(F.try_variant_get(event, f"$.{name}", "variant")).alias(name) for name in DOCUMENTS],
+        *[F.try_variant_get(event, f"$.{name}", "struct<>").alias(f"{name}_object") for name in DOCUMENTS],
         F.nullif(F.col("head_metadata.start_lsn"), F.lit("")).alias("start_lsn"),
         F.nullif(F.col("head_metadata.seqval"), F.lit("")).alias("seqval"),
     )
@@ -112,9 +114,9 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         this = F.col("capture_instance") == capture.instance
         row, key = f"{spec.name}_row", f"{spec.name}_key"
         upsert, delete = this & operation.isin(INSERT, UPDATE_AFTER), this & (operation == DELETE)
-        typed[row] = F.when(upsert, _row(F.col("payload_value"), spec))
-        typed[f"{row}_text"] = F.when(upsert, _row(F.col("payload_value"), spec, as_text=True))
-        typed[key] = F.when(delete, _row(F.col("business_key_value"), spec, spec.keys))
+        typed[row] = F.when(upsert, _row(event, spec, path="$.payload"))
+        typed[f"{row}_text"] = F.when(upsert, _row(event, spec, as_text=True, path="$.payload"))
+        typed[key] = F.when(delete, _row(event, spec, spec.keys, path="$.business_key"))
         bad_row = _incomplete(F.col(row), spec, REQUIRED_COLUMNS[spec.name]) | _unconverted(
             F.col(row), F.col(f"{row}_text"), spec
         )
@@ -128,24 +130,24 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         .when(~known, UNSUPPORTED_INSTANCE)
         .when(operation.isNull(), INVALID_OPERATION)
         .when(~operation.isin(*OPERATION_NAMES), UNSUPPORTED_OPERATION)
-        .when(~_is_object(F.col("business_key")), KEY_NOT_OBJECT)
-        .when(~_is_object(F.col("payload")), PAYLOAD_NOT_OBJECT)
+        .when(F.col("business_key_object").isNull(), KEY_NOT_OBJECT)
+        .when(F.col("payload_object").isNull(), PAYLOAD_NOT_OBJECT)
         .when(F.col("metadata").isNull(), METADATA_NOT_OBJECT)
         .when(F.col("start_lsn").isNull(), NO_START_LSN)
         .when(F.col("seqval").isNull(), NO_SEQVAL)
         .when(bad_payload, INVALID_PAYLOAD)
     )
     # Laid out through a generator: a filter on the reason then stays above the parsing
-    # instead of being copied, with all the parsing in it, below every step.
+    # instead of being copied, with all the parsing in it, below every step. Texts go beside it, as it gives all its columns.
     parsed = F.struct(
         *EVENT_IDENTITY,
         F.coalesce("given_type", operation_name(operation)).alias("operation_type"),
         "event_time",
-        "business_key",
-        "payload",
         reason.alias("reject_reason"),
     )
-    return fields.withColumns(typed).select(*position, F.inline(F.array(parsed)))
+    rows = fields.withColumns(typed).select(*position, *[F.col(n).alias(f"text_{n}") for n in DOCUMENTS], F.inline(F.array(parsed)))
+    texts = [F.col(f"text_{n}").alias(n) for n in DOCUMENTS]
+    return rows.select(*position, *EVENT_IDENTITY, "operation_type", "event_time", *texts, "reject_reason")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

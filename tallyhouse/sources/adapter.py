@@ -177,12 +177,19 @@ class StagingAdapter:
         priced = details.join(prices, F.col("product_id").cast("long") == F.col("p_partkey"), "left")
         return priced.select("order_id", "product_id", "unit_price", "quantity", "discount")
 
-    def raw_events(self) -> DataFrame:
-        """Change-event log: two captured tables, all operations, delays, gaps and errors."""
+    def raw_events(self, dealt: bool = False) -> DataFrame:
+        """Change-event log: two captured tables, all operations, delays, gaps and errors.
+
+        A few MB of events are the work of many tasks where messages are built and parsed, but no more tasks than the file
+        has row groups would read them. `dealt` spreads them first.
+        """
+        events = self.source("events")
+        if dealt:
+            events = events.repartition("event_id", "ts", "user_id")
         number, kind = F.col("event_id"), F.col("event_type")
         lsn = F.concat(F.lit("0x"), F.lpad(F.hex(number), 20, "0"))
         code = F.create_map(*[F.lit(p) for item in EVENT_OPERATIONS.items() for p in item])[kind]
-        rows = self.source("events").select(
+        rows = events.select(
             "event_id",
             F.when(number % 2 == 0, ORDERS_INSTANCE).otherwise(LINES_INSTANCE).alias("capture_instance"),
             lsn.alias("start_lsn"),
@@ -248,7 +255,7 @@ class StagingAdapter:
 
     def messages(self) -> DataFrame:
         """The same events as stream messages, each delivered twice, some of them damaged."""
-        events = self.raw_events()
+        events = self.raw_events(dealt=True)
         number = F.col("event_id")
         envelope = F.to_json(
             F.struct(

@@ -4,7 +4,7 @@ from datetime import datetime
 
 from tallyhouse.checks import operators
 from tallyhouse.checks.registry import Inputs
-from tallyhouse.operators import quality
+from tallyhouse.operators import changes, quality
 from tallyhouse.operators.facts import Lookups, order_lines
 from tallyhouse.session import MIN_PARTITIONS, configure
 from tallyhouse.sources.adapter import StagingAdapter
@@ -109,3 +109,19 @@ def test_orphans_are_counted_by_the_number_of_their_lookup(frame):
     rows = quality.orphan_keys(facts, tables)
     assert "geography_key AS lookup" not in plan(rows)
     assert list(rows.first().asDict().values()) == [2, 2, 0, 1, 2]
+
+
+def test_messages_are_dealt_before_they_are_built(spark, tmp_path):
+    events(spark, tmp_path)
+    built = StagingAdapter(spark, str(tmp_path)).messages()
+    lines = plan(built).splitlines()
+    dealt = next(k for k, line in enumerate(lines) if "REPARTITION" in line)
+    made = [k for k, line in enumerate(lines) if "parseJson" in line]
+    assert made and max(made) < dealt  # plans read upwards
+    assert built.count() == 12
+
+
+def test_texts_of_messages_are_made_for_those_who_read_them(spark):
+    schema = "key string, value binary, topic string, partition int, offset long, received_at timestamp"
+    parsed = changes.parse_messages(spark.createDataFrame([("1", b"{}", "t", 0, 0, datetime(2024, 1, 1))], schema))
+    assert "StructsToJson" in plan(parsed) and "StructsToJson" not in plan(parsed.select("reject_reason"))
