@@ -17,6 +17,7 @@ no rows. Other columns go along, whatever their names.
 from __future__ import annotations
 
 import functools
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +51,19 @@ NOTICES = (
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# WORDS of lower-cased text, its separators one by one: Java looks these up in one table, and tries ranges one after another.
+_RUNS = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if not re.fullmatch("[0-9a-z]", chr(c))) + "]+"
+#: The one letter beyond ASCII that `lower` makes ASCII, the sign for kelvin.
+_KELVIN = "\u212a"
+
+
+def lowered(text: Column) -> Column:
+    """`text` with A-Z in lower case, in a form good for WORDS: other letters, which no template has, may be lowered too."""
+    return F.when(F.contains(text, F.lit(_KELVIN)), F.translate(text, _UPPER, _LOWER)).otherwise(F.lower(text))
+
+
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(WORDS), F.lit(0))
+    return F.regexp_extract_all(lowered(F.coalesce(text, F.lit(""))), F.lit(_RUNS), F.lit(0))
 
 
 def rare_words(docs: DataFrame, templates=TEMPLATES, text: str = "text") -> list[list[tuple[str, int]]]:

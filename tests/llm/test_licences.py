@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from tallyhouse.llm import license_scan
 from tallyhouse.llm.license_scan import BASE, NOTICES, ROOTS, TEMPLATES, WORDS
 
@@ -74,3 +76,14 @@ def test_every_template_at_every_offset(spark):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert license_scan.scan(empty).isEmpty()
+
+
+def test_words_are_taken_without_ranges_and_letters_beyond_ascii_stay_apart(spark):
+    assert "-" not in license_scan._RUNS  # ranges are tried one after another
+    texts = ["MIT Lıcense LİCENSE licKns work", "K mit", "worK WORK MIT LICENSE", "ÉTÉ ΣΑΣ \x00\x7f\x80 a_b`c{d", None, ""]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, text string")
+    words = [r["w"] for r in rows.select("k", license_scan.words_of(F.col("text")).alias("w")).orderBy("k").collect()]
+    plain = [re.findall(WORDS, "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) for t in texts]
+    known = {w for _, notice, _ in TEMPLATES + NOTICES for w in notice.split()} | {"work"}
+    assert [len(w) for w in words] == [len(w) for w in plain]
+    assert [[x if x in known else None for x in w] for w in words] == [[x if x in known else None for x in w] for w in plain]
