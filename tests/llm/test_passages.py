@@ -89,3 +89,20 @@ def test_large_groups_of_near_copies(spark, tmp_path, monkeypatch):
     signed = jaccard_join.signed_sets(docs.select("doc_id", "text"))
     leaves = jaccard_join.buckets(signed, signed.where("text is not null").select("c", "text"))
     assert leaves.groupBy("path").count().where(F.col("count") > 100).count() <= 4  # not one for each run
+
+
+def test_one_number_holds_rank_and_place():
+    rng = np.random.default_rng(3)
+    for size, width in ((35, 35), (36, 35), (400, 35), (5, 1), (9, 4)):
+        few = rng.integers(0, 5, size).astype(np.uint64) << np.uint64(59)  # ties
+        for rank in (few, rng.integers(0, 1 << 64, size, dtype=np.uint64)):
+            want = [k + int(np.argmin(rank[k : k + width])) for k in range(size - width + 1)]
+            assert suffix_dedup.first_smallest(rank, width).tolist() == want
+
+
+def test_names_of_more_strings_than_are_named_at_a_time(monkeypatch):
+    data = np.frombuffer(b"abcdefghij" * 9, np.uint8)
+    start = np.arange(40)
+    whole = suffix_dedup.names(data, start, 50, 0)
+    monkeypatch.setattr(suffix_dedup, "NAMES_AT_ONCE", 7)
+    assert (suffix_dedup.names(data, start, 50, 0) == whole).all() and len(set(whole.tolist())) == 10
