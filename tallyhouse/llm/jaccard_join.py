@@ -52,19 +52,32 @@ def runs_for(recall: float, depth: int) -> int:
 
 
 RUNS = runs_for(RECALL, DEPTH)
+_STARTS = np.arange(RUNS, dtype=np.uint64) * np.uint64(0x1F123BB5) + np.uint64(1)
+#: Numbers hashed at a time, few enough for a core's cache.
+AT_ONCE = 1 << 14
+
+
+def chosen_of(values: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The paths that a set takes on from `paths`, and the place in `paths` of the one that each goes on from."""
+    share, parts = 1 / (SIMILARITY * len(values)), []
+    wide = max(1, AT_ONCE // len(paths))
+    for at in range(0, len(values), wide):
+        hashes = mix(paths[:, None] ^ values[None, at : at + wide])
+        origin, k = np.nonzero(hashes < np.uint64(int(share * (1 << 64))) if share < 1 else np.ones(hashes.shape, bool))
+        parts.append((hashes[origin, k], origin))
+    picked, origin = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return mix(picked, 5), origin
 
 
 def chosen(values: np.ndarray, path: int) -> np.ndarray:
     """The paths that a set takes on from `path`."""
-    hashes = mix(values ^ np.uint64(path))
-    share = 1 / (SIMILARITY * len(values))
-    picked = hashes if share >= 1 else hashes[hashes < np.uint64(int(share * (1 << 64)))]
-    return mix(picked, 5)
+    return chosen_of(values, np.array([path], np.uint64))[0]
 
 
 def first_picks(values: np.ndarray) -> np.ndarray:
     """The paths that a set takes at first, in all runs."""
-    return np.unique(np.concatenate([chosen(values, r * 0x1F123BB5 + 1) ^ np.uint64(r) for r in range(RUNS)]))
+    picks, run = chosen_of(values, _STARTS)
+    return np.unique(picks ^ run.astype(np.uint64))
 
 
 def sketch(values: np.ndarray) -> int:
@@ -129,8 +142,9 @@ def next_paths(rows: DataFrame) -> DataFrame:
             out, c, n = [np.zeros(0, np.uint64)], [], []
             for d, t, paths in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 values = shingle_set(t)
-                for p in paths:
-                    picks = chosen(values, p % (1 << 64))
+                every = np.array(paths, np.int64).view(np.uint64)
+                for low in range(0, len(every), RUNS):
+                    picks, _ = chosen_of(values, every[low : low + RUNS])
                     out.append(picks)
                     c.extend([d] * len(picks))
                     n.extend([len(values)] * len(picks))

@@ -15,9 +15,12 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit mixing of each number (the finaliser of splitmix64)."""
     x = np.asarray(x, np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(30)  # the sum is a new array
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 _BYTE = mix(np.arange(256))

@@ -270,3 +270,17 @@ def test_packing_encodes_the_new_parts_of_a_text_at_once():
     for text in texts + texts:
         assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     assert [len(some) for some in calls if "street" in " ".join(some)] == [1]
+
+
+def test_all_runs_pick_at_once(monkeypatch):
+    from tallyhouse.llm import shingles
+
+    calls = []
+    monkeypatch.setattr(jaccard_join, "mix", lambda *a: calls.append(1) or shingles.mix(*a))
+    rng = np.random.default_rng(2)
+    for size in (1, 2, 40, 3000):
+        values = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        each = [jaccard_join.chosen(values, r * 0x1F123BB5 + 1) ^ np.uint64(r) for r in range(jaccard_join.RUNS)]
+        calls.clear()
+        assert jaccard_join.first_picks(values).tolist() == np.unique(np.concatenate(each)).tolist()
+        assert len(calls) <= 1 + -(-size * jaccard_join.RUNS // (jaccard_join.AT_ONCE // 2))  # not one for each run
