@@ -18,7 +18,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from tallyhouse.llm.common import ready, table, worker_cache
 
 WINDOW = 2048
 END_ID = 1
-#: Words whose ids a worker remembers; beyond it starts again with none.
+#: Words and parts whose ids a worker remembers; beyond it starts again with none.
 WORDS_KEPT = 700_000
 #: White space for Python's split, but not for the tokenizer.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -52,30 +52,35 @@ def tokenizer_path() -> str:
 
 class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit numbers. The tokenizer never joins across white space nor across the
-    parts of its own pattern, so the ids of a text are those of the parts of its words. Words and parts are remembered;
-    each new part goes through the tokenizer once."""
+    parts of its own pattern, so the ids of a text are those of the parts of its words. Words and parts are remembered in one
+    table; each new part goes through the merges once."""
 
     def __init__(self, path: str):
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        # The same merges for parts, which are lower-case and cut already: only spaces between them are left to split at.
+        self.tokenizer = Tokenizer(self.whole.model)
+        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         # The pattern of the vocabulary file, a fixed value.
         self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         # The same for lower-case ASCII.
         self.ascii_parts = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        vocabulary = self.whole.get_vocab(with_added_tokens=False)
         # Whether an id ends a part: the last token of each has the vocabulary's suffix, and no other.
-        self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
+        self.ends = np.zeros(1 + max(self.whole.get_vocab().values()), bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_SUFFIX)]] = True
+        # Of words and of parts alike: a part, taken as a word, is its own only part.
         self.words: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         """As `_encode`, for parts of the pattern: encoded as one text, which is cut where an id ends a part."""
@@ -86,49 +91,47 @@ class WordEncoder:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip([0, *stops], stops)]
 
-    def _split(self, words: list[str]) -> list[list[str]]:
-        """Parts of each word that are encoded alone. Below U+0300 nothing composes, so lower case can come first."""
-        all_ = " ".join(words)
-        if _ODD.search(all_):
-            plain = iter(self._split([w for w in words if not _ODD.search(w)]))
-            return [[w] if _ODD.search(w) else next(plain) for w in words]
-        found, of_ascii, of_any = [], self.ascii_parts.findall, self.parts.findall
-        for word in all_.lower().split(" ") if words else []:
-            found.append([word] if word.isalpha() else of_ascii(word) if word.isascii() else of_any(word))
-        return found
-
     def learn(self, words: list[str]) -> None:
-        parts = self._split(words)
-        distinct = set(chain.from_iterable(parts))
-        new = distinct.difference(self.known)
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known.clear()
-            new = distinct
-        alone = [p for p in new if _ODD.search(p)]
-        if alone:
-            self.known.update(zip(alone, self._encode(alone), strict=True))
-            new = new.difference(alone)
-        new = list(new)
+        """Puts `words` and their parts into the table. Below U+0300 nothing composes, so lower case can come before the parts."""
+        odd = [w for w in words if _ODD.search(w)] if _ODD.search(" ".join(words)) else []
+        if odd:
+            self.words.update(zip(odd, self._encode(odd), strict=True))
+            odd = set(odd)
+            words = [w for w in words if w not in odd]
+        parts, cased, several = set(), [], []
+        of_ascii, of_any = self.ascii_parts.findall, self.parts.findall
+        for word, low in zip(words, " ".join(words).lower().split(" ") if words else [], strict=True):
+            if low.isalpha():
+                parts.add(low)
+                if low != word:
+                    cased.append((word, low))
+            else:
+                found = of_ascii(low) if low.isascii() else of_any(low)
+                parts.update(found)
+                several.append((word, found))
+        new = list(filterfalse(self.words.__contains__, parts))
+        if _ODD.search(" ".join(new)):  # lower case can be a letter and a mark
+            alone = [p for p in new if _ODD.search(p)]
+            self.words.update(zip(alone, self._encode(alone), strict=True))
+            new = [p for p in new if p not in self.words]
         for at in range(0, len(new), PARTS_AT_ONCE):
             some = new[at : at + PARTS_AT_ONCE]
-            self.known.update(zip(some, self._encode_parts(some), strict=True))
-        ids = self.known.__getitem__
-        self.words.update((w, ids(p[0]) if len(p) == 1 else b"".join(map(ids, p))) for w, p in zip(words, parts, strict=True))
+            self.words.update(zip(some, self._encode_parts(some), strict=True))
+        ids = self.words.__getitem__
+        self.words.update([(word, ids(low)) for word, low in cased])
+        self.words.update([(word, b"".join(map(ids, found))) for word, found in several])
 
     def __call__(self, text: str) -> bytes:
         if _SEPARATORS.search(text):
             return self._encode([text])[0]
-        words, ids = text.split(), self.words.__getitem__
-        try:
-            return b"".join(map(ids, words))
-        except KeyError:
-            distinct = set(words)
-            missing = distinct.difference(self.words)
+        words = text.split()
+        missing = set(filterfalse(self.words.__contains__, words))
+        if missing:
             if len(self.words) + len(missing) > WORDS_KEPT:
                 self.words.clear()
-                missing = distinct
+                missing = set(words)
             self.learn(list(missing))
-            return b"".join(map(ids, words))
+        return b"".join(map(self.words.__getitem__, words))
 
 
 class Packer:

@@ -284,3 +284,9 @@ def test_all_runs_pick_at_once(monkeypatch):
         calls.clear()
         assert jaccard_join.first_picks(values).tolist() == np.unique(np.concatenate(each)).tolist()
         assert len(calls) <= 1 + -(-size * jaccard_join.RUNS // (jaccard_join.AT_ONCE // 2))  # not one for each run
+
+
+def test_words_and_parts_are_in_one_table():
+    encode = packing.WordEncoder(packing.tokenizer_path())
+    encode("Street street, streets 42nd")
+    assert set(encode.words) == {"Street", "street", "street,", ",", "streets", "42nd", "4", "2", "nd"}
