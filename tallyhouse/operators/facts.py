@@ -57,21 +57,22 @@ def resolve(rows: DataFrame, column: str, lookup: DataFrame, dimension: Dimensio
 
 
 def order_headers(orders: DataFrame, lookups: Lookups, key_method: str) -> DataFrame:
-    """Header part of the fact: keys are looked up once per order, before lines multiply the rows."""
-    rows = resolve(orders, "customer_id", lookups.customer, CUSTOMER)
-    rows = resolve(rows, "employee_id", lookups.employee, EMPLOYEE)
-    rows = resolve(rows, "ship_via", lookups.shipper, SHIPPER)
-    return rows.select(
+    """Header part of the fact: keys are looked up once per order, before lines multiply the rows. Addresses become a key
+    before the lookups, which may shuffle the rows; date keys are made of the dates after the last shuffle."""
+    rows = orders.select(
         F.col("order_id").cast("long").alias("order_id"),
         geography_key(*map(F.col, _SHIP_PLACE), method=key_method).alias("geography_key"),
-        "customer_key",
-        "employee_key",
-        "shipper_key",
-        *[date_key(F.col(c)).alias(f"{c}_key") for c in _DATES],
+        "customer_id",
+        "employee_id",
+        "ship_via",
         or_zero(F.col("freight"), "decimal(19,4)").alias("freight"),
         clean_text(F.col("ship_name")).alias("ship_name"),
         *[F.col(c).cast("timestamp").alias(c) for c in _DATES],
     )
+    rows = resolve(rows, "customer_id", lookups.customer, CUSTOMER)
+    rows = resolve(rows, "employee_id", lookups.employee, EMPLOYEE)
+    rows = resolve(rows, "ship_via", lookups.shipper, SHIPPER)
+    return rows.select("order_id", "geography_key", "customer_key", "employee_key", "shipper_key", "freight", "ship_name", *_DATES)
 
 
 def order_lines(details: DataFrame, lookups: Lookups) -> DataFrame:
@@ -94,12 +95,14 @@ def order_facts(
     """One live row per order line, without load stamps."""
     headers = order_headers(orders, lookups, key_method)
     lines = order_lines(details, lookups)
-    return headers.join(lines, "order_id").withColumns(
-        {
-            "is_deleted": F.lit(0).cast("short"),
-            "source_lsn": F.lit("") if source_lsn is None else source_lsn,
-        }
-    )
+    return headers.join(lines, "order_id").select(
+        "order_id", "geography_key", "customer_key", "employee_key", "shipper_key",
+        *[date_key(F.col(c)).alias(f"{c}_key") for c in _DATES],
+        "freight", "ship_name", *_DATES,
+        "product_key", "unit_price", "quantity", "discount",
+        F.lit(0).cast("short").alias("is_deleted"),
+        (F.lit("") if source_lsn is None else source_lsn).alias("source_lsn"),
+    )
 
 
 def employee_territory_facts(bridge: DataFrame, employee_dim: DataFrame, territory_dim: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from datetime import datetime
 from tallyhouse.checks import operators
 from tallyhouse.checks.registry import Inputs
 from tallyhouse.operators import changes, quality
-from tallyhouse.operators.facts import Lookups, order_lines
+from tallyhouse.operators.facts import Lookups, order_facts, order_lines
 from tallyhouse.session import MIN_PARTITIONS, configure
 from tallyhouse.sources.adapter import StagingAdapter
 from tallyhouse.sources.lake import Lake
@@ -88,6 +88,40 @@ def test_lines_are_dealt_by_product_once(spark, tmp_path, frame):
     assert found == [(1, 70, 2.5), (1, 70, 3.5), (2, 80, 0.0)]
 
 
+def test_only_what_decides_a_line_is_shuffled(spark, tmp_path):
+    line = "1L l_orderkey, 7L l_partkey, 1L l_suppkey, 1 l_linenumber, 5D l_quantity, 1D l_extendedprice, 0D l_discount"
+    rows = spark.sql(f"SELECT {line}, explode(array(0D, 1D)) l_tax, DATE '1996-01-01' l_shipdate")
+    rows.union(spark.sql(f"SELECT {line.replace('5D', '4D')}, 2D, null")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT 7L p_partkey, 2.5D p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    details = StagingAdapter(spark, str(tmp_path)).order_details()
+    assert "l_tax" not in plan(details) and "l_shipdate" not in plan(details)
+    assert [(r.order_id, r.quantity, r.unit_price) for r in details.collect()] == [(1, 4.0, 2.5)]
+
+
+def test_addresses_are_keys_before_lookups_and_dates_are_after_the_last(spark, frame):
+    day = datetime(1996, 1, 2)
+    schema = (
+        "order_id long, customer_id string, employee_id int, ship_via int, freight decimal(19,4), ship_name string, ship_address string, "
+        "ship_city string, ship_region string, ship_postal_code string, ship_country string, order_date timestamp, "
+        "required_date timestamp, shipped_date timestamp"
+    )
+    orders = frame(schema, (1, "5", 1, 1, None, "n", None, "c", " ", "1", "A", day, day, None), (2, None, None, None, None, *[None] * 9))
+    details = frame("order_id long, product_id int, unit_price double, quantity int, discount float", (1, 7, 2.5, 3, 0.0), (2, 7, 2.5, 1, 0.0))
+    known = [frame(f"{d.natural} {kind}, {d.surrogate} long", row) for d, kind, row in zip(Lookups.DIMENSIONS, ("int", "string", "int", "int"), ((7, 70), ("5", 50), (1, 10), (1, 20)))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = order_facts(orders, details, Lookups(*known))
+        lines = plan(facts).split("\n")  # reads upwards
+        joins = [k for k, line in enumerate(lines) if "Join" in line]
+        assert all(k > joins[1] for k, line in enumerate(lines) if "xxhash64(" in line)
+        assert all(k < joins[0] for k, line in enumerate(lines) if "year(" in line)
+        found = sorted((r.order_id, r.customer_key, r.employee_key, r.shipper_key, r.order_date_key, r.shipped_date_key) for r in facts.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == [(1, 50, 10, 20, 19960102, 0), (2, 0, 0, 0, 0, 0)]
+
+
 def test_warehouse_tables_are_stored_as_zstd_from_small_partitions(spark, tmp_path):
     events(spark, tmp_path)
     try:
