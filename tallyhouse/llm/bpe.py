@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,6 +69,9 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token |= {i: t.encode() for t, i in self.special.items()}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.odd_space = re.compile(r" (?:\s|\Z)")
+        # Letters and what follows them, as far as the pattern below takes each as a piece: no apostrophe.
+        self.simple_word = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)")
         # The pattern of byte-level vocabularies, a fixed value.
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         # Only tokens that their own bytes encode to can stand in an encoding.
@@ -130,18 +134,27 @@ class Bpe:
 
     def last_tokens(self, data: bytes) -> list[int]:
         """Per prefix (1 byte and up) the last token of its encoding."""
-        ends: list[list[tuple[int, int]]] = [[] for _ in data]
-        for end, match in self.automaton.iter(data.decode("latin-1")):
-            ends[end].append(match)
-        last: list[int] = []
-        for end, matches in enumerate(ends):
-            for size, token in sorted(matches, reverse=True):
-                start = end + 1 - size
-                if self.alone(token) if not start else self.compatible(last[start - 1], token):
-                    last.append(token)
-                    break
+        own, fits = self.own, self.fits
+        last, done = [], 0
+        for end, (size, token) in self.automaton.iter(data.decode("latin-1")):
+            if end < done:  # found already: there is only one
+                continue
+            if end > done:
+                break
+            if end < size:
+                good = own.get(token)
+                if good is None:
+                    good = self.alone(token)
             else:
-                raise ValueError("the vocabulary does not hold every byte")
+                before = last[end - size]
+                good = fits.get((before, token))
+                if good is None:
+                    good = self.compatible(before, token)
+            if good:
+                last.append(token)
+                done += 1
+        if done < len(data):
+            raise ValueError("the vocabulary does not hold every byte")
         return last
 
     def encode_piece(self, piece: str) -> bytes:
@@ -152,13 +165,16 @@ class Bpe:
         else:
             last, end, ids = self.last_tokens(data), len(data), []
             while end:
-                ids.append(last[end - 1])
-                end -= len(self.token[last[end - 1]])
+                token = last[end - 1]
+                ids.append(token)
+                end -= len(self.token[token])
             ids.reverse()
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _encode_plain(self, text: str) -> bytes:
-        pieces = self.pattern.findall(text)
+        return self._encode_pieces(self.pattern.findall(text))
+
+    def _encode_pieces(self, pieces: list[str]) -> bytes:
         try:
             return b"".join([self.pieces[p] for p in pieces])
         except KeyError:
@@ -182,22 +198,28 @@ class Bpe:
     def encode_words(self, text: str) -> bytes:
         """A piece always begins at a space before something else than white space, so what lies between such spaces is looked
         up whole."""
-        words = text.split(" ")
-        if any(not w or w[0].isspace() for w in words[1:]):
+        if self.odd_space.search(text):
             return self._encode_plain(text)
+        words = text.split(" ")
         first = self._encode_plain(words[0]) if words[0] else b""
         del words[0]
-        try:
-            return first + b"".join([self.words[w] for w in words])
-        except KeyError:
-            distinct = set(words)
-            missing = [w for w in distinct if w not in self.words]
+        found = list(map(self.words.get, words))
+        if None in found:
+            missing = {w for w, ids in zip(words, found) if ids is None}
             if len(self.words) + len(missing) > PIECES_KEPT:
                 self.words.clear()
-                missing = list(distinct)
-            for w in missing:
-                self.words[w] = self._encode_plain(" " + w)
-            return first + b"".join([self.words[w] for w in words])
+            new = {w: self._encode_word(w) for w in missing}
+            self.words.update(new)
+            found = [new[w] if ids is None else ids for w, ids in zip(words, found)]
+        return first + b"".join(found)
+
+    def _encode_word(self, word: str) -> bytes:
+        """The ids of a space and a word."""
+        simple = self.simple_word.fullmatch(word)
+        if simple is None:
+            return self._encode_plain(" " + word)
+        letters, signs = simple.groups()
+        return self._encode_pieces([" " + letters, signs] if signs else [" " + letters])
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.token.__getitem__, ids.tolist())).decode("utf-8", "replace")

@@ -179,6 +179,28 @@ def test_bpe_is_that_of_the_library():
         assert own.decode(ids) == library.decode(ids.tolist(), skip_special_tokens=False)
 
 
+def test_bpe_takes_words_of_letters_without_the_pattern_and_stops_at_the_token_found():
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(bpe.tokenizer_path()), bpe.Bpe(bpe.tokenizer_path())
+    library.no_truncation()
+    asked, searched, whole = [], [], own.pattern
+
+    class Pattern:
+        def findall(self, text):
+            searched.append(text)
+            return whole.findall(text)
+
+    own.pattern, compatible = Pattern(), own.compatible
+    own.compatible = lambda a, b: asked.append((a, b)) or compatible(a, b)
+    text = "x queíción theaonin, undenteschü%%% ÿ×÷ don't a'a ªº x_1 [Ab] the\u00a0a zz\u2003b it's's ciónjacoco."
+    ids = own.encode(text)
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert searched and not {" queíción", " theaonin,", " undenteschü%%%", " ciónjacoco."} & set(searched)
+    own.encode(text)
+    assert len(asked) == len(set(asked))  # what is known is not asked for again
+
+
 def test_bpe_digests(spark, docs, folder):
     rows = bpe.op7_bpe(spark, folder).collect()
     assert len(rows) == docs.count() and {r.n_tokens for r in rows if r.doc_id in (4, 5)} == {0}
